@@ -40,31 +40,41 @@ def review_words(x: str) -> str:
     return keras_words(f"array_to_string({drop_stop_words(ml_tokens(x))}, ' ')")
 
 
-def words_ctes(source_sql: str, keys: str = "doc_id, label", text: str = "value") -> str:
-    """CTEs ``src`` and ``w(keys, words)``."""
-    return (f"src AS ({source_sql}),\n"
-            f"w AS (SELECT {keys}, {review_words(text)} AS words FROM src)")
+def words_ctes(source_sql: str, keys: str = "doc_id, label", text: str = "value",
+               p: str = "") -> str:
+    """CTEs ``{p}src`` and ``{p}w(keys, words)``."""
+    return (f"{p}src AS ({source_sql}),\n"
+            f"{p}w AS (SELECT {keys}, {review_words(text)} AS words FROM {p}src)")
 
 
-def vocab_ctes(num_words: int, words: str = "w", by: str = "") -> str:
-    """CTEs ``tok(..., word, pos)``, ``counts`` and ``vocab(word, n, id)``."""
+def tok_cte(p: str = "", by: str = "") -> str:
+    """CTE ``{p}tok(doc_id, [by,] word, pos)`` from ``{p}w``."""
+    by_sel = f"{by}, " if by else ""
+    return (f"{p}tok AS (SELECT {by_sel}doc_id, unnest(words) AS word, "
+            f"generate_subscripts(words, 1) - 1 AS pos FROM {p}w)")
+
+
+def vocab_ctes(num_words: int, p: str = "", by: str = "") -> str:
+    """CTEs ``{p}tok``, ``{p}counts`` and ``{p}vocab([by,] word, n, id)``."""
     by_sel = f"{by}, " if by else ""
     part = f"PARTITION BY {by} " if by else ""
-    return (f"tok AS (SELECT {by_sel}doc_id, unnest(words) AS word, "
-            f"generate_subscripts(words, 1) - 1 AS pos FROM {words}),\n"
-            f"counts AS (SELECT {by_sel}word, count(*) AS n, min(doc_id * 1000000 + pos) AS first "
-            f"FROM tok GROUP BY {by_sel}word),\n"
-            f"vocab AS (SELECT {by_sel}word, n, CAST(row_number() OVER ({part}ORDER BY n DESC, first) AS INTEGER) AS id "
-            f"FROM counts QUALIFY id < {num_words})")
+    return (tok_cte(p, by) + ",\n"
+            f"{p}counts AS (SELECT {by_sel}word, count(*) AS n, min(doc_id * 1000000 + pos) AS first "
+            f"FROM {p}tok GROUP BY {by_sel}word),\n"
+            f"{p}vocab AS (SELECT {by_sel}word, n, "
+            f"CAST(row_number() OVER ({part}ORDER BY n DESC, first) AS INTEGER) AS id "
+            f"FROM {p}counts QUALIFY id < {num_words})")
 
 
-def encode_ctes(keys: str = "doc_id, label", words: str = "w", by: str = "") -> str:
-    """CTEs ``hits`` and ``enc(keys, seq)`` (needs ``tok`` and ``vocab``)."""
+def encode_ctes(keys: str = "doc_id, label", p: str = "", by: str = "", vocab: str | None = None) -> str:
+    """CTEs ``{p}hits`` and ``{p}enc(keys, seq)`` (needs ``{p}tok`` and a vocabulary)."""
+    vocab = vocab or f"{p}vocab"
     using = f"word, {by}" if by else "word"
-    return (f"hits AS (SELECT tok.doc_id, list(vocab.id ORDER BY tok.pos) AS seq "
-            f"FROM tok JOIN vocab USING ({using}) GROUP BY tok.doc_id),\n"
-            f"enc AS (SELECT {', '.join(f'{words}.' + k.strip() for k in keys.split(','))}, "
-            f"coalesce(hits.seq, []::INTEGER[]) AS seq FROM {words} LEFT JOIN hits ON {words}.doc_id = hits.doc_id)")
+    sel = ", ".join(f"{p}w." + k.strip() for k in keys.split(","))
+    return (f"{p}hits AS (SELECT {p}tok.doc_id, list({vocab}.id ORDER BY {p}tok.pos) AS seq "
+            f"FROM {p}tok JOIN {vocab} USING ({using}) GROUP BY {p}tok.doc_id),\n"
+            f"{p}enc AS (SELECT {sel}, coalesce({p}hits.seq, []::INTEGER[]) AS seq "
+            f"FROM {p}w LEFT JOIN {p}hits ON {p}w.doc_id = {p}hits.doc_id)")
 
 
 def pad(seq: str, max_len: int) -> str:

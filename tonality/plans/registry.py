@@ -7,6 +7,7 @@ exact.  ``QUERIES[name] = (spark_fn, sql_or_None)``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,16 @@ from tonality.operators.reviews import with_label, union_reviews
 from tonality.operators.vocab import fit_vocabulary, word_counts
 from tonality.plans import oracle as O
 from tonality.plans.features import preprocess, tokenize
-from tonality.sources.tables import labelled_reviews, table
+from tonality.operators.evaluate import accuracy_f1, log_loss, roc_auc
+from tonality.operators.score import linear_scores, resolve_titles
+from tonality.operators.select import best_run
+from tonality.operators.vocab import fit_vocabulary_by
+from tonality.operators.weights import idf_weights
+from tonality.plans.serving import score_titles
+from tonality.session import shared_dir
+from tonality.sources.runs import log_runs, search_experiments, search_runs
+from tonality.sources.stages import new_stage_root, read_features, read_raw, write_features, write_raw
+from tonality.sources.tables import labelled_reviews, table, title_catalogue, title_reviews
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -139,6 +149,239 @@ def q_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_ops.holdout_split(reviews, "doc_id", test_size=0.2, seed=42)
 
 
+# --- T9 -------------------------------------------------------------------------
+@register("idf_weights", f"""
+WITH docs AS (SELECT doc_id, list_filter({O.drop_stop_words(O.ml_tokens('value'))}, lambda w: w <> '') AS toks
+              FROM ({O.REVIEWS})),
+m AS (SELECT count(*) AS m FROM docs),
+dfs AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, word FROM
+        (SELECT doc_id, unnest(toks) AS word FROM docs)) GROUP BY word)
+SELECT word, df, round(ln((m + 1.0) / (df + 1.0)), 6) AS idf FROM dfs, m
+""")
+def q_idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reviews = labelled_reviews(spark, sf_dir)
+    words = reviews.select("doc_id", F.filter(remove_stop_words(ml_tokens(F.col("value"))),
+                                              lambda w: w != "").alias("words"))
+    w = idf_weights(words)
+    return w.select("word", "df", F.round("idf", 6).alias("idf"))
+
+
+# --- A3 A5 / A4 / M9 over a score derived from the data -------------------------
+def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled reviews with ``score = (n_chars % 1000) / 1000``, a hard
+    prediction (score above 0.5), the hold-out split and the slice keys."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", F.col("source").alias("title"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    score = (F.col("n_chars") % 1000) / F.lit(1000.0)
+    j = docs.join(labels, "doc_id").withColumn("score", score)
+    j = j.withColumn("prediction", F.when(F.col("score") > 0.5, F.lit(1)).otherwise(F.lit(0)))
+    return split_ops.holdout_split(j, "doc_id", 0.2, 42)
+
+
+SCORED_SQL = f"""SELECT d.doc_id, d.lang, d.source AS title, l.quality AS label,
+  (d.n_chars % 1000) / 1000.0::DOUBLE AS score,
+  CASE WHEN (d.n_chars % 1000) / 1000.0::DOUBLE > 0.5 THEN 1 ELSE 0 END AS prediction,
+  CASE WHEN {O.split_bucket('d.doc_id')} < 80 THEN 'train' ELSE 'test' END AS split
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+@register("accuracy_f1", f"""
+WITH s AS ({SCORED_SQL}),
+c AS (SELECT split, count(*) AS n,
+  CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+  CAST(sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+  CAST(sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+  CAST(sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+  FROM s GROUP BY split)
+SELECT split, n, tp, fp, fn, tn, round((tp + tn) / n, 6) AS accuracy,
+  round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END, 6) AS f1_score
+FROM c
+""")
+def q_accuracy_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = accuracy_f1(scored_reviews(spark, sf_dir), by=["split"])
+    return m.withColumn("accuracy", F.round("accuracy", 6)).withColumn("f1_score", F.round("f1_score", 6))
+
+
+@register("roc_auc", f"""
+WITH s AS ({SCORED_SQL}),
+g AS (SELECT split, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+      sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS neg FROM s GROUP BY split, score),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY score
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+SELECT split, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
+  round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS roc_auc
+FROM c GROUP BY split
+""")
+def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = roc_auc(scored_reviews(spark, sf_dir), score_col="score", by=["split"])
+    return r.withColumn("roc_auc", F.round("roc_auc", 6))
+
+
+@register("log_loss", f"""
+WITH s AS ({SCORED_SQL})
+SELECT split, round(-avg(label * ln(least(greatest(score, 1e-7), 1 - 1e-7))
+  + (1 - label) * ln(1 - least(greatest(score, 1e-7), 1 - 1e-7))), 6) AS log_loss, count(*) AS n
+FROM s GROUP BY split
+""")
+def q_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = log_loss(scored_reviews(spark, sf_dir), prob_col="score", by=["split"])
+    return r.withColumn("log_loss", F.round("log_loss", 6))
+
+
+# --- M4 M5 with pinned weights ---------------------------------------------------
+# Fixed query parameters: dyadic weights so every dot product is exact.
+PINNED_COEF = [((j % 5) - 2) / 2.0 ** 20 for j in range(MAX_LEN)]
+PINNED_INTERCEPT = 1.0 / 64
+PINNED_SQL_W = "[" + ", ".join(repr(x) for x in PINNED_COEF) + "]::DOUBLE[]"
+
+
+def pinned_scorer(df: DataFrame) -> DataFrame:
+    return linear_scores(df, PINNED_COEF, PINNED_INTERCEPT)
+
+
+def _margin_sql(features: str) -> str:
+    return f"({PINNED_INTERCEPT!r} + list_dot_product(CAST({features} AS DOUBLE[]), {PINNED_SQL_W}))"
+
+
+@register("linear_score", f"""
+{O.padded_ctes(MAX_WORDS, MAX_LEN)},
+sc AS (SELECT doc_id, label, {_margin_sql('features')} AS margin FROM feat)
+SELECT doc_id, label, round(margin, 6) AS margin, round(1.0 / (1.0 + exp(-margin)), 6) AS probability,
+  CASE WHEN margin > 0 THEN 1 ELSE 0 END AS prediction FROM sc
+""")
+def q_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, _ = preprocess(labelled_reviews(spark, sf_dir), max_words=MAX_WORDS, max_len=MAX_LEN)
+    s = pinned_scorer(feats)
+    return s.select("doc_id", "label", F.round("margin", 6).alias("margin"),
+                    F.round("probability", 6).alias("probability"), "prediction")
+
+
+# --- J2 K3 P3 ------------------------------------------------------------------
+def title_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests derived from the catalogue: an upper-case and a punctuated
+    spelling of every title (both resolve) and one unknown title each."""
+    cat = title_catalogue(spark, sf_dir)
+    return union_reviews(cat.select(F.upper("title").alias("request")),
+                         cat.select(F.concat("title", F.lit("!")).alias("request")),
+                         cat.select(F.concat(F.lit("no such "), "title").alias("request")))
+
+
+_NORM = r"'[^\p{L}\p{N}]'"
+RESOLVE_CTES = f"""cat AS (SELECT DISTINCT source AS title FROM documents),
+req AS (SELECT DISTINCT request FROM (SELECT upper(title) AS request FROM cat
+        UNION ALL SELECT title || '!' FROM cat UNION ALL SELECT 'no such ' || title FROM cat)),
+rk AS (SELECT request, regexp_replace(lower(request), {_NORM}, '', 'g') AS k FROM req),
+ck AS (SELECT title, regexp_replace(lower(title), {_NORM}, '', 'g') AS k FROM cat),
+hit AS (SELECT rk.request, ck.title, row_number() OVER (PARTITION BY rk.request
+        ORDER BY length(ck.title), ck.title) AS rn FROM rk LEFT JOIN ck ON rk.k = ck.k),
+res AS (SELECT request, title, CASE WHEN title IS NULL THEN 'invalid_title' ELSE 'ok' END AS status
+        FROM hit WHERE rn = 1)"""
+
+
+@register("title_resolution", f"""
+WITH {RESOLVE_CTES}
+SELECT request, title, status FROM res
+""")
+def q_title_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_titles(title_requests(spark, sf_dir), title_catalogue(spark, sf_dir))
+
+
+# --- J3 P4 A2 P5 (M6 with the pinned scorer) ------------------------------------
+@register("title_sentiment", f"""
+WITH {RESOLVE_CTES},
+{O.words_ctes(O.REVIEWS)},
+{O.vocab_ctes(MAX_WORDS)},
+{O.words_ctes("SELECT d.doc_id, d.source AS title, coalesce(d.text, '') AS value FROM documents d "
+              "WHERE d.source IN (SELECT title FROM res WHERE status = 'ok')", "doc_id, title", p="r")},
+{O.tok_cte("r")},
+{O.encode_ctes("doc_id, title", p="r", vocab="vocab")},
+rsc AS (SELECT doc_id, title, {_margin_sql(O.pad('seq', MAX_LEN))} AS margin FROM renc),
+pt AS (SELECT title, count(*) AS n_reviews, avg(CASE WHEN margin > 0 THEN 1.0 ELSE 0.0 END) AS score
+       FROM rsc GROUP BY title)
+SELECT res.request, res.title, coalesce(pt.n_reviews, 0) AS n_reviews, round(pt.score, 6) AS score,
+  CASE WHEN pt.n_reviews IS NULL THEN NULL WHEN pt.score >= 0.5 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+  CASE WHEN res.status <> 'ok' THEN res.status WHEN pt.n_reviews IS NULL THEN 'no_reviews' ELSE 'ok' END AS status
+FROM res LEFT JOIN pt ON res.title = pt.title
+""")
+def q_title_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS)
+    out = score_titles(title_requests(spark, sf_dir), title_catalogue(spark, sf_dir),
+                       title_reviews(spark, sf_dir), pinned_scorer, vocab=vocab,
+                       max_words=MAX_WORDS, max_len=MAX_LEN)
+    return out.withColumn("score", F.round("score", 6))
+
+
+# --- M7 ----------------------------------------------------------------------------
+@register("title_vocabulary", f"""
+WITH {O.words_ctes("SELECT doc_id, source AS title, text AS value FROM documents", "doc_id, title")},
+{O.vocab_ctes(MAX_WORDS, by="title")}
+SELECT title, word, n, id FROM vocab
+""")
+def q_title_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reviews = title_reviews(spark, sf_dir)
+    words = tokenize(reviews, text_col="review", keep=["doc_id", "title"])
+    return fit_vocabulary_by(words, "title", MAX_WORDS)
+
+
+# --- A6 over runs derived from the data ----------------------------------------
+def slice_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per (language, title) slice: its accuracy under the score rule,
+    the newest document id as the run's start, the slice size as a param."""
+    s = scored_reviews(spark, sf_dir)
+    hit = F.when(F.col("prediction") == F.col("label"), F.lit(1.0)).otherwise(F.lit(0.0))
+    return s.groupBy("lang", "title").agg(
+        F.avg(hit).alias("accuracy"), F.max("doc_id").alias("start_ts"), F.count(F.lit(1)).alias("n")
+    ).select(F.col("lang").alias("experiment"), F.concat_ws("/", "lang", "title").alias("run_id"),
+             "accuracy", "start_ts",
+             F.create_map(F.lit("lang"), F.col("lang"), F.lit("n"), F.col("n").cast("string")).alias("params"))
+
+
+SLICE_RUNS_SQL = f"""SELECT lang AS experiment, lang || '/' || title AS run_id,
+  avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) AS accuracy, max(doc_id) AS start_ts, count(*) AS n
+  FROM ({SCORED_SQL}) GROUP BY lang, title"""
+
+
+@register("best_run", f"""
+WITH runs AS ({SLICE_RUNS_SQL})
+SELECT experiment, run_id, round(accuracy, 6) AS accuracy, CAST(start_ts AS BIGINT) AS start_ts FROM runs
+WHERE accuracy IS NOT NULL AND NOT isnan(accuracy)
+QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY accuracy DESC, start_ts DESC, run_id) = 1
+""")
+def q_best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = best_run(slice_runs(spark, sf_dir), by=["experiment"])
+    return b.select("experiment", "run_id", F.round("accuracy", 6).alias("accuracy"),
+                    F.col("start_ts").cast("bigint").alias("start_ts"))
+
+
+# --- S7 S8 S9 ----------------------------------------------------------------------
+@register("run_log_roundtrip", f"""
+WITH runs AS ({SLICE_RUNS_SQL})
+SELECT CAST(CAST(('0x' || substr(sha256(experiment), 1, 15)) AS BIGINT) AS VARCHAR) AS experiment_id,
+  experiment, run_id, round(accuracy, 6) AS accuracy, CAST(start_ts AS BIGINT) AS start_ts,
+  CAST(n AS VARCHAR) AS n, 'active' AS lifecycle_stage
+FROM runs
+""")
+def q_run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "tracking", uuid.uuid4().hex)
+    log_runs(slice_runs(spark, sf_dir), root=root)
+    runs = search_runs(spark, root=root)
+    exps = search_experiments(spark, root=root).select("experiment_id", "lifecycle_stage")
+    return runs.join(exps, "experiment_id").select(
+        "experiment_id", "experiment", "run_id", F.round("accuracy", 6).alias("accuracy"),
+        F.col("start_ts").cast("bigint").alias("start_ts"), F.col("params")["n"].alias("n"),
+        "lifecycle_stage")
+
+
+# --- S5 S6 -------------------------------------------------------------------------
+@register("stage_roundtrip", PADDED_SQL)
+def q_stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_stage_root(spark)
+    write_raw(labelled_reviews(spark, sf_dir), root)
+    feats, _ = preprocess(read_raw(spark, root), max_words=MAX_WORDS, max_len=MAX_LEN)
+    write_features(feats, root)
+    return read_features(spark, root).select("doc_id", "label", ids_text("features").alias("features"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in QUERIES.items()}
 
