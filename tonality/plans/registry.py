@@ -7,6 +7,7 @@ exact.  ``QUERIES[name] = (spark_fn, sql_or_None)``.
 
 from __future__ import annotations
 
+import posixpath
 import uuid
 from collections.abc import Callable
 
@@ -21,6 +22,9 @@ from tonality.operators.vocab import fit_vocabulary, word_counts
 from tonality.plans import oracle as O
 from tonality.plans.features import preprocess, tokenize
 from tonality.operators.evaluate import accuracy_f1, log_loss, roc_auc
+from tonality.operators.metrics import counter_deltas, gauges, metrics_long, request_log, request_totals, resample
+from tonality.streaming.metrics import file_stream, single_file_glob, start_metrics_stream
+from tonality.streaming.scoring import freeze_vocabulary, start_scoring_stream
 from tonality.operators.score import linear_scores, resolve_titles
 from tonality.operators.select import best_run
 from tonality.operators.vocab import fit_vocabulary_by
@@ -382,6 +386,122 @@ def q_stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_features(spark, root).select("doc_id", "label", ids_text("features").alias("features"))
 
 
+# --- request log (A7-A9, R2-R6) ---------------------------------------------------
+LOG_SQL = """SELECT event_id, user_id AS instance, event_type AS handler, epoch_us(ts) AS start_us,
+  (CAST(round(value * 1e6) AS BIGINT)) / 1e6 AS run_time_s,
+  abs(value * 1048576 - json_extract(props, '$.k')::DOUBLE * 1048576) / 1024.0 AS memory_kib,
+  json_extract(props, '$.k')::DOUBLE AS cpu_percent,
+  event_id * 1500 AS net_bytes_sent,
+  event_id * 900 + CAST(json_extract(props, '$.k')::DOUBLE AS BIGINT) AS net_bytes_recv
+FROM events"""
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return request_log(table(spark, sf_dir, "events"))
+
+
+def _latest_sql(v: str) -> str:
+    return f"arg_max({v}, {{'a': start_us, 'b': event_id}})"
+
+
+@register("request_totals", f"""
+SELECT handler, count(*) AS requests_total, round(sum(run_time_s), 6) AS duration_sum_s,
+  CAST(sum(CASE WHEN run_time_s <= 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS le_0_1,
+  CAST(sum(CASE WHEN run_time_s <= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS le_0_5,
+  CAST(sum(CASE WHEN run_time_s <= 1.0 THEN 1 ELSE 0 END) AS BIGINT) AS le_1,
+  count(*) AS le_inf
+FROM ({LOG_SQL}) GROUP BY handler
+""")
+def q_request_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = request_totals(_log(spark, sf_dir))
+    return t.withColumn("duration_sum_s", F.round("duration_sum_s", 6))
+
+
+@register("request_gauges", f"""
+SELECT instance, count(*) AS requests, round({_latest_sql('run_time_s')}, 6) AS run_time_s,
+  round({_latest_sql('memory_kib')}, 6) AS memory_kib, round({_latest_sql('cpu_percent')}, 6) AS cpu_percent,
+  {_latest_sql('net_bytes_sent')} AS net_bytes_sent, {_latest_sql('net_bytes_recv')} AS net_bytes_recv,
+  max(start_us) AS last_start_us
+FROM ({LOG_SQL}) GROUP BY instance
+""")
+def q_request_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = gauges(_log(spark, sf_dir))
+    for c in ("run_time_s", "memory_kib", "cpu_percent"):
+        g = g.withColumn(c, F.round(c, 6))
+    return g
+
+
+@register("counter_deltas", f"""
+SELECT instance, start_us, event_id,
+  net_bytes_sent - lag(net_bytes_sent) OVER w AS net_bytes_sent_delta,
+  net_bytes_recv - lag(net_bytes_recv) OVER w AS net_bytes_recv_delta
+FROM ({LOG_SQL}) WINDOW w AS (PARTITION BY instance ORDER BY start_us, event_id)
+""")
+def q_counter_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counter_deltas(_log(spark, sf_dir))
+
+
+RESAMPLE_INTERVAL = "1 hour"   # the scrape interval (10 s) makes one-row windows on this data
+RESAMPLED_SQL = f"""
+SELECT (start_us // 3600000000) * 3600 AS window_start_s, handler, count(*) AS requests,
+  round({_latest_sql('run_time_s')}, 6) AS run_time_s, round({_latest_sql('cpu_percent')}, 6) AS cpu_percent,
+  round({_latest_sql('memory_kib')}, 6) AS memory_kib
+FROM ({LOG_SQL}) GROUP BY window_start_s, handler
+"""
+
+
+def _round_gauges(df: DataFrame) -> DataFrame:
+    for c in ("run_time_s", "cpu_percent", "memory_kib"):
+        df = df.withColumn(c, F.round(c, 6))
+    return df
+
+
+@register("metrics_resampled", RESAMPLED_SQL)
+def q_metrics_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir).withWatermark("event_time", "10 minutes")
+    return _round_gauges(resample(log, RESAMPLE_INTERVAL))
+
+
+@register("metrics_long", f"""
+UNPIVOT (SELECT window_start_s, handler, CAST(requests AS DOUBLE) AS requests, run_time_s, cpu_percent, memory_kib
+         FROM ({RESAMPLED_SQL}))
+ON requests, run_time_s, cpu_percent, memory_kib INTO NAME metric VALUE value
+""")
+def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = q_metrics_resampled(spark, sf_dir)
+    return metrics_long(wide, ["window_start_s", "handler"], ["requests", "run_time_s", "cpu_percent", "memory_kib"])
+
+
+# --- streams (R1, R5, R7) ---------------------------------------------------------
+@register("metrics_stream", RESAMPLED_SQL)
+def q_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = single_file_glob(posixpath.join(sf_dir, "events.parquet"))
+    q, out = start_metrics_stream(spark, src, interval=RESAMPLE_INTERVAL, mode="complete")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    cols = ["window_start_s", "handler", "requests", "run_time_s", "cpu_percent", "memory_kib"]
+    return _round_gauges(spark.read.parquet(out).select(*cols))
+
+
+@register("stream_scoring", QUERIES["linear_score"][1])
+def q_stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = freeze_vocabulary(fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS))
+    docs_path = posixpath.join(sf_dir, "documents.parquet")
+    docs = file_stream(spark, single_file_glob(docs_path), spark.read.parquet(docs_path).schema)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    reviews = docs.select("doc_id", F.col("text").alias("value")).join(labels, "doc_id")
+    q, out = start_scoring_stream(spark, reviews, vocab, pinned_scorer, max_words=MAX_WORDS, max_len=MAX_LEN)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    s = spark.read.parquet(out)
+    return s.select("doc_id", "label", F.round("margin", 6).alias("margin"),
+                    F.round("probability", 6).alias("probability"), "prediction")
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in QUERIES.items()}
 
