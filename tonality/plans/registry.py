@@ -21,7 +21,14 @@ from tonality.operators.reviews import with_label, union_reviews
 from tonality.operators.vocab import fit_vocabulary, word_counts
 from tonality.plans import oracle as O
 from tonality.plans.features import preprocess, tokenize
+from pyspark.ml import PipelineModel
+
 from tonality.operators.evaluate import accuracy_f1, log_loss, roc_auc
+from tonality.operators.score import model_scores
+from tonality.operators.train import (LOGISTIC_GRID, NEURAL_GRID, as_vectors, evaluate_text_classifier,
+                                      fit_text_classifier, train_neural_grid)
+from tonality.plans.training import build_features, train_and_log
+from tonality.sources.stages import load_model, save_model
 from tonality.operators.metrics import counter_deltas, gauges, metrics_long, request_log, request_totals, resample
 from tonality.streaming.metrics import file_stream, single_file_glob, start_metrics_stream
 from tonality.streaming.scoring import freeze_vocabulary, start_scoring_stream
@@ -502,6 +509,81 @@ def q_stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("probability", 6).alias("probability"), "prediction")
 
 
+# --- ML: rows-only checks ---------------------------------------------------------
+def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    feats, _ = preprocess(labelled_reviews(spark, sf_dir), max_words=MAX_WORDS, max_len=MAX_LEN)
+    split = split_ops.holdout_split(feats, "doc_id", 0.2, 42)
+    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+
+
+def _round_metrics(df: DataFrame) -> DataFrame:
+    for c in ("accuracy", "roc_auc", "f1_score", "log_loss"):
+        if c in df.columns:
+            df = df.withColumn(c, F.round(c, 6))
+    return df
+
+
+@register("logistic_grid", None)
+def q_logistic_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 12-config grid, logged and read back."""
+    feats, _ = build_features(spark, labelled_reviews(spark, sf_dir), MAX_WORDS, MAX_LEN)
+    root = shared_dir(spark, "tracking", uuid.uuid4().hex)
+    runs = train_and_log(spark, feats, root=root)
+    return _round_metrics(runs.select(
+        "run_id", F.col("params")["penalty"].alias("penalty"), F.col("params")["C"].alias("C"),
+        F.col("params")["max_iter"].alias("max_iter"), "accuracy", "roc_auc", "f1_score"))
+
+
+@register("model_roundtrip", None)
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit one config, save, load, predict every labelled review with the loaded model."""
+    train, _ = _train_test(spark, sf_dir)
+    tr = as_vectors(train)
+    n = tr.count()
+    model = PipelineModel(stages=[LOGISTIC_GRID[2].estimator(n).fit(tr)])
+    path = save_model(model, shared_dir(spark, "models", uuid.uuid4().hex))
+    feats, _ = preprocess(labelled_reviews(spark, sf_dir), max_words=MAX_WORDS, max_len=MAX_LEN)
+    scored = model_scores(feats, load_model(path).stages[0])
+    return scored.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
+
+
+def _tfidf_words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    reviews = labelled_reviews(spark, sf_dir)
+    words = reviews.select("doc_id", "label", F.filter(remove_stop_words(ml_tokens(F.col("value"))),
+                                                       lambda w: w != "").alias("words"))
+    split = split_ops.holdout_split(words, "doc_id", 0.2, 42)
+    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+
+
+@register("tfidf_logistic", None)
+def q_tfidf_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 + M2: hashed TF-IDF -> logistic regression, hold-out metrics."""
+    train, test = _tfidf_words(spark, sf_dir)
+    model = fit_text_classifier(train, "logistic")
+    return _round_metrics(evaluate_text_classifier(model, test, "tfidf_logistic"))
+
+
+@register("linear_svm", None)
+def q_linear_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 + M10: hashed TF-IDF -> linear SVM, hold-out metrics."""
+    train, test = _tfidf_words(spark, sf_dir)
+    model = fit_text_classifier(train, "svm")
+    return _round_metrics(evaluate_text_classifier(model, test, "linear_svm"))
+
+
+@register("neural_grid", None)
+def q_neural_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 + M9: the 8 neural configs re-aimed as Word2Vec + perceptron."""
+    reviews = labelled_reviews(spark, sf_dir)
+    words = tokenize(reviews)
+    vocab = fit_vocabulary(words, max(c.max_words for c in NEURAL_GRID))
+    split = split_ops.holdout_split(words, "doc_id", 0.2, 42)
+    runs = train_neural_grid(split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), vocab)
+    return _round_metrics(runs.select(
+        "run_id", F.col("params")["embedding_dim"].alias("embedding_dim"),
+        F.col("params")["lstm_units"].alias("lstm_units"), "accuracy", "roc_auc", "f1_score", "log_loss"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in QUERIES.items()}
 
