@@ -15,7 +15,7 @@ def _one(spark, expr, value, schema="value string"):
     return spark.createDataFrame([(value,)], schema).select(expr(F.col("value")).alias("r")).first().r
 
 
-def test_stop_word_list_is_spark_default():
+def test_stop_word_list_is_spark_default(spark):
     assert list(ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
     assert len(ENGLISH_STOP_WORDS) == 181
 

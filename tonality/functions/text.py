@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from tonality.functions.stopwords import ENGLISH_STOP_WORDS
 
-# Java's ``\s``: the six ASCII whitespace characters [ \t\n\x0B\f\r].
-_WS = r"\s"
-
 # --- fixed values: the second tokeniser's filter characters (T5) -----------
 # Each of these becomes a separator; the apostrophe is not among them.
 KERAS_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
@@ -22,27 +19,15 @@ KERAS_SPLIT = " "
 # ---------------------------------------------------------------------------
 
 
-def _java_char_class(chars: str) -> str:
-    out = []
-    for c in chars:
-        if c == "\t":
-            out.append(r"\t")
-        elif c == "\n":
-            out.append(r"\n")
-        elif c.isalnum():
-            out.append(c)
-        else:
-            out.append("\\" + c)
-    return "[" + "".join(out) + "]"
-
-
-KERAS_FILTER_CLASS = _java_char_class(KERAS_FILTERS)
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The six characters of Java's ``\\s`` and, for translate(), one space each.
+_WS_CHARS = " \t\n\x0b\f\r"
+_WS_SPACES = " " * len(_WS_CHARS)
+
+
 def ml_tokens(text) -> Column:
     """Lower-case, split on each single whitespace character.
 
@@ -50,16 +35,20 @@ def ml_tokens(text) -> Column:
     tokens are kept, trailing ones dropped, ``''`` gives ``['']`` and a string
     of only whitespace gives ``[]``.  A null text gives ``[]`` (the ML
     tokeniser throws).
+
+    Built without a regex engine: trailing whitespace is trimmed, every
+    whitespace character is mapped to a space (``translate``) and the text is
+    split on the single space, which Java splits on a fast path.
     """
     text = _col(text)
     lowered = F.lower(text)
-    trimmed = F.regexp_replace(lowered, _WS + r"+\z", "")
+    trimmed = F.rtrim(lowered, F.lit(_WS_CHARS))
     empty = F.array().cast("array<string>")
     return (
         F.when(text.isNull(), empty)
         .when(lowered == F.lit(""), F.array(F.lit("")))
         .when(trimmed == F.lit(""), empty)
-        .otherwise(F.split(trimmed, _WS))
+        .otherwise(F.split(F.translate(trimmed, _WS_CHARS, _WS_SPACES), " "))
     )
 
 
@@ -92,7 +81,7 @@ def keras_words(text) -> Column:
     Lower-case; each filter character becomes a space; split on the space;
     empty pieces dropped.  Other whitespace stays inside words.
     """
-    replaced = F.regexp_replace(F.lower(_col(text)), KERAS_FILTER_CLASS, KERAS_SPLIT)
+    replaced = F.translate(F.lower(_col(text)), KERAS_FILTERS, KERAS_SPLIT * len(KERAS_FILTERS))
     return F.filter(F.split(replaced, KERAS_SPLIT), lambda w: w != F.lit(""))
 
 

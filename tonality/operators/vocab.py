@@ -30,14 +30,28 @@ def _rank_order():
     return (F.desc("n"), F.asc("first"))
 
 
+def first_key(key_col: str, pos_col: str) -> "F.Column":
+    """``(key, pos)`` packed into one orderable ``decimal(38,0)``: ``key * 2^31 + pos``.
+
+    A single numeric ``min`` keeps the count a hash aggregate; a ``min`` over
+    a struct would force a sort-based aggregate (a sort of every token).
+    """
+    return (F.col(key_col).cast("decimal(38,0)") * F.lit(2 ** 31).cast("decimal(38,0)")
+            + F.col(pos_col).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+
 def word_counts(df: DataFrame, words_col: str = "words", key_col: str = "doc_id",
                 by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, word, n, first)``: occurrences of each word and where it first appears."""
-    exploded = df.select(*by, key_col, F.posexplode(words_col).alias("pos", "word"))
+    """``(*by, word, n, first)``: occurrences of each word and where it first appears.
+
+    ``posexplode_outer`` + a null filter rather than ``posexplode``: the
+    latter makes Catalyst infer ``size(words) > 0`` and push that filter (and
+    with it the whole tokenisation) below joins that would have dropped rows.
+    """
+    exploded = df.select(*by, key_col, F.posexplode_outer(words_col).alias("pos", "word")) \
+        .where(F.col("word").isNotNull())
     return exploded.groupBy(*by, "word").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col(key_col).alias("k"), F.col("pos").alias("p"))).alias("first"),
-    )
+        F.count(F.lit(1)).alias("n"), F.min(first_key(key_col, "pos")).alias("first"))
 
 
 def _check_num_words(num_words: int) -> None:

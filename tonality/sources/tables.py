@@ -17,8 +17,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Tables whose rows carry long text: the CPU-heavy steps run on them.
+TEXT_TABLES = ("documents",)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
+    return spread(df, "doc_id") if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread an input read in fewer splits than the cluster has cores.
+
+    A Parquet file is split by row groups; a table stored as one large row
+    group is otherwise tokenised by a single task.  Only then (the input is
+    by definition small next to the cluster) the rows are hash-partitioned
+    on ``key`` over the default parallelism; a large input already has more
+    splits than cores and is left as it is, with no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def labelled_reviews(spark: SparkSession, sf_dir: str, with_title: bool = False) -> DataFrame:
