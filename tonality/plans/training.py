@@ -36,7 +36,7 @@ def build_features(spark: SparkSession, reviews: DataFrame, max_words: int = 100
 
 
 def train_and_log(spark: SparkSession, features: DataFrame, experiment: str = EXPERIMENT,
-                  grid=LOGISTIC_GRID, root: str | None = None, parallelism: int = 4,
+                  grid=LOGISTIC_GRID, root: str | None = None, parallelism: int = 12,
                   test_size: float = 0.2, seed: int = 42, save_models: bool = True) -> DataFrame:
     """M1 + M3 + S7: fits the grid on the hash-split train rows, logs one run per config,
     and returns the logged runs of ``experiment`` (S8)."""

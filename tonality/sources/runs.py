@@ -81,13 +81,14 @@ def log_runs(runs: DataFrame, experiment: str | None = None, root: str | None =
     """Append runs ``(run_id, start_ts, params, accuracy, roc_auc, f1_score[, model_path])``.
 
     The experiment is ``experiment`` or, when that is None, each row's
-    ``experiment`` column.  Returns the root used.
+    ``experiment`` column.  The runs are computed once, by the write; the
+    experiment names are then taken from the partition folders just written.
+    Returns the root used.
     """
     spark = runs.sparkSession
     root = root or default_root(spark)
     if experiment is not None:
         runs = runs.withColumn("experiment", F.lit(experiment))
-    log_experiments(runs, root)
     cols = {f.name for f in runs.schema.fields}
     out = runs.select(
         F.col("run_id").cast("string"),
@@ -99,6 +100,7 @@ def log_runs(runs: DataFrame, experiment: str | None = None, root: str | None =
         (F.col("model_path") if "model_path" in cols else F.lit(None).cast("string")).alias("model_path"),
         F.col("experiment").cast("string"))
     out.write.mode("append").partitionBy("experiment").parquet(posixpath.join(root, "runs"))
+    log_experiments(search_runs(spark, None, root).select("experiment"), root)
     return root
 
 
