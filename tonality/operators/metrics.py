@@ -74,8 +74,19 @@ def with_derived(log: DataFrame) -> DataFrame:
             .withColumn("event_time", F.timestamp_micros("start_us")))
 
 
+def order_key(time_col: str = "start_us", id_col: str = "event_id") -> Column:
+    """``(time, id)`` packed into one orderable ``decimal(38,0)``: ``time * 2^64 + id + 2^63``.
+
+    ``max_by`` over a single numeric key stays a hash aggregate; over a struct
+    it would sort every row first.
+    """
+    d = "decimal(38,0)"
+    return (F.col(time_col).cast(d) * F.lit(str(2 ** 64)).cast(d)
+            + F.col(id_col).cast(d) + F.lit(str(2 ** 63)).cast(d)).cast(d)
+
+
 def _latest(value: str) -> Column:
-    return F.max_by(F.col(value), F.struct("start_us", "event_id"))
+    return F.max_by(F.col(value), order_key())
 
 
 def request_totals(log: DataFrame, by: Sequence[str] = ("handler",),
@@ -117,7 +128,7 @@ def counter_deltas(log: DataFrame, values: Sequence[str] = ("net_bytes_sent", "n
 
     # Level 2: last call of each bucket, then the previous non-empty bucket's last call.
     last = keyed.groupBy(instance_col, "_b").agg(
-        *[F.max_by(F.col(v), F.struct(*order)).alias(f"_last_{v}") for v in values])
+        *[F.max_by(F.col(v), order_key(*order)).alias(f"_last_{v}") for v in values])
     wb = Window.partitionBy(instance_col).orderBy("_b")
     carry = last.select(instance_col, "_b", *[F.lag(f"_last_{v}").over(wb).alias(f"_carry_{v}") for v in values])
 

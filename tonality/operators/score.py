@@ -100,8 +100,19 @@ def title_verdicts(resolved: DataFrame, predictions: DataFrame, title_col: str =
         status.alias("status"))
 
 
+MAX_BROADCAST_TITLES = 1_000_000
+
+
 def requested_reviews(resolved: DataFrame, reviews: DataFrame, title_col: str = "title",
                       review_col: str = "review") -> DataFrame:
-    """The reviews of resolved titles only (a semi-join), empty text as ``''``."""
+    """The reviews of resolved titles only (a semi-join), empty text as ``''``.
+
+    The wanted-title set is counted first: at most ``MAX_BROADCAST_TITLES``
+    titles are broadcast, so the reviews are filtered where they are read and
+    their text is never shuffled by title.  A larger set falls back to a
+    shuffle join, where AQE splits a hot title.
+    """
     wanted = resolved.where(F.col("status") == "ok").select(F.col("title").alias(title_col)).distinct()
+    if wanted.count() <= MAX_BROADCAST_TITLES:
+        wanted = F.broadcast(wanted)
     return default_empty(reviews.join(wanted, title_col, "left_semi"), review_col)

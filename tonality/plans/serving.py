@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from tonality.operators.score import requested_reviews, resolve_titles, title_verdicts
 from tonality.plans.features import preprocess, preprocess_by_group
+from tonality.session import shared_dir
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -30,7 +31,10 @@ def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
     serving code does.  ``average='vote'`` averages hard predictions,
     ``'mean_prob'`` the class-1 probabilities.
     """
-    resolved = resolve_titles(requests, catalogue)
+    # One row per request; used twice (filter and verdict), so materialised once
+    # in the shared checkpoint folder.
+    shared_dir(requests.sparkSession)
+    resolved = resolve_titles(requests, catalogue).checkpoint(eager=True)
     wanted = requested_reviews(resolved, reviews)
     if vocab_scope == "training":
         if vocab is None:
