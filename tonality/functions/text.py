@@ -82,7 +82,7 @@ def keras_words(text) -> Column:
     empty pieces dropped.  Other whitespace stays inside words.
     """
     replaced = F.translate(F.lower(_col(text)), KERAS_FILTERS, KERAS_SPLIT * len(KERAS_FILTERS))
-    return F.filter(F.split(replaced, KERAS_SPLIT), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(replaced, KERAS_SPLIT), "")
 
 
 def review_words(text) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 def idf_weights(df: DataFrame, words_col: str = "words", key_col: str = "doc_id",
                 min_doc_freq: int = 0) -> DataFrame:
     """``(word, df, idf)``.  The document count is a scalar subquery (one row)."""
-    per_doc = df.select(key_col, F.explode(F.array_distinct(F.col(words_col))).alias("word"))
+    per_doc = df.select(F.explode_outer(F.array_distinct(F.col(words_col))).alias("word")) \
+        .where(F.col("word").isNotNull())
     dfreq = per_doc.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     if min_doc_freq > 0:
         dfreq = dfreq.where(F.col("df") >= min_doc_freq)

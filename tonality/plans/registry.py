@@ -88,8 +88,11 @@ WHERE token <> ''
 """)
 def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", ml_tokens(F.col("text")).alias("toks"))
-    return (docs.select("doc_id", F.posexplode("toks").alias("pos", "token"))
-            .where(F.col("token") != "").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token"))
+    # outer + null filter: a plain posexplode lets Catalyst push a tokenising
+    # size() filter below the input spreading (see operators/vocab.word_counts)
+    return (docs.select("doc_id", F.posexplode_outer("toks").alias("pos", "token"))
+            .where(F.col("token").isNotNull() & (F.col("token") != ""))
+            .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token"))
 
 
 # --- T2 T4 ----------------------------------------------------------------------
