@@ -25,7 +25,7 @@ from pyspark.ml import PipelineModel
 
 from tonality.operators.evaluate import accuracy_f1, log_loss, roc_auc
 from tonality.operators.score import model_scores
-from tonality.operators.train import (LOGISTIC_GRID, NEURAL_GRID, as_vectors, evaluate_text_classifier,
+from tonality.operators.train import (LOGISTIC_GRID, NEURAL_GRID, evaluate_text_classifier, fit_logistic,
                                       fit_text_classifier, train_neural_grid)
 from tonality.plans.training import build_features, train_and_log
 from tonality.sources.stages import load_model, save_model
@@ -513,12 +513,6 @@ def q_stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- ML: rows-only checks ---------------------------------------------------------
-def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    feats, _ = preprocess(labelled_reviews(spark, sf_dir), max_words=MAX_WORDS, max_len=MAX_LEN)
-    split = split_ops.holdout_split(feats, "doc_id", 0.2, 42)
-    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
-
-
 def _round_metrics(df: DataFrame) -> DataFrame:
     for c in ("accuracy", "roc_auc", "f1_score", "log_loss"):
         if c in df.columns:
@@ -540,12 +534,12 @@ def q_logistic_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("model_roundtrip", None)
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit one config, save, load, predict every labelled review with the loaded model."""
-    train, _ = _train_test(spark, sf_dir)
-    tr = as_vectors(train)
-    n = tr.count()
-    model = PipelineModel(stages=[LOGISTIC_GRID[2].estimator(n).fit(tr)])
-    path = save_model(model, shared_dir(spark, "models", uuid.uuid4().hex))
     feats, _ = preprocess(labelled_reviews(spark, sf_dir), max_words=MAX_WORDS, max_len=MAX_LEN)
+    shared_dir(spark)
+    feats = feats.checkpoint(eager=True)   # fitted on and scored: computed once
+    train = split_ops.train_rows(feats, "doc_id", 0.2, 42)
+    model = PipelineModel(stages=[fit_logistic(train, LOGISTIC_GRID[2])])
+    path = save_model(model, shared_dir(spark, "models", uuid.uuid4().hex))
     scored = model_scores(feats, load_model(path).stages[0])
     return scored.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
 
