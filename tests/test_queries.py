@@ -70,3 +70,22 @@ def test_flagship_plan_broadcasts_bounded_vocabulary_and_prunes(spark):
     assert "BroadcastHashJoin" in plan
     assert "TakeOrderedAndProject" in plan       # top-k per task, then merged
     assert "n_chars" not in plan and "lang" not in plan   # pruned columns never read
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scale_properties_of_key_plans(spark):
+    q = E.queries()
+    flagship = _plan(E.entry(spark))
+    assert "SortAggregate" not in flagship            # counts stay hash aggregates
+    auc = _plan(q["roc_auc"](spark, SF_SMALL))
+    assert "hashpartitioning(split" in auc and "_r#" in auc   # range-split prefix sums
+    gauges = _plan(q["request_gauges"](spark, SF_SMALL))
+    assert "SortAggregate" not in gauges
+    deltas = _plan(q["counter_deltas"](spark, SF_SMALL))
+    assert "windowspecdefinition(instance" in deltas and "_b#" in deltas
+    titles = _plan(q["title_sentiment"](spark, SF_SMALL))
+    assert "LeftSemi, BuildRight" in titles          # requested titles broadcast, text not shuffled by title

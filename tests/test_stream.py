@@ -31,3 +31,36 @@ def test_fixture10_complete_equals_batch(spark):
     assert out.count() == 3385
     assert out.select(*cols).exceptAll(batch.select(*cols)).count() == 0
     assert batch.select(*cols).exceptAll(out.select(*cols)).count() == 0
+
+
+def test_late_rows_are_dropped_in_append_mode(spark):
+    """Three micro-batches: the late 09:30 row arrives after the watermark has
+    passed 10:00 (Spark drops rows older than the previous batch's watermark)."""
+    import tempfile
+    from tonality.session import shared_dir
+    from tonality.streaming.metrics import file_stream, metrics_stream
+    src = tempfile.mkdtemp(prefix="tonality-late-")
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+    def rows(spec):
+        import datetime
+        return [(i, datetime.datetime(2024, 1, 1, h, m), 1, "view", 1.0, '{"k": 5}') for i, h, m in spec]
+
+    for name, spec in (("f1", [(1, 9, 5), (2, 11, 0)]), ("f2", [(3, 12, 30)]), ("f3", [(4, 9, 30)])):
+        spark.createDataFrame(rows(spec), schema).coalesce(1).write.parquet(f"{src}/{name}")
+    events = file_stream(spark, src + "/f*/*.parquet", schema, max_files_per_trigger=1)
+    out = shared_dir(spark, "late-test")
+    q = (metrics_stream(events, "1 hour", "10 minutes").writeStream.outputMode("append").format("parquet")
+         .option("path", out + "/o").option("checkpointLocation", out + "/c").start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.window_start_s, r.requests) for r in spark.read.parquet(out + "/o").collect())
+    # 09:00 keeps one call (the late one is dropped), 11:00 closed, 12:00 still open
+    assert got == [(int(datetime_utc(9)), 1), (int(datetime_utc(11)), 1)]
+
+
+def datetime_utc(hour):
+    import datetime
+    return datetime.datetime(2024, 1, 1, hour, tzinfo=datetime.timezone.utc).timestamp()

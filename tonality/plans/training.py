@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.operators.select import best_run
-from tonality.operators.split import holdout_split
+from tonality.operators.split import holdout_split, shuffled
 from tonality.operators.train import LOGISTIC_GRID, train_logistic_grid
 from tonality.plans.features import preprocess
 from tonality.sources.runs import log_runs, search_runs
 from tonality.sources.stages import (new_stage_root, read_features, read_raw, write_features,
                                      write_raw)
+from tonality.sources.text_files import load_labelled_dirs
 
 EXPERIMENT = "Logistic_Regression_Experiments"
 
@@ -61,3 +62,22 @@ def best_model(spark: SparkSession, experiment: str = EXPERIMENT, root: str | No
         return None, None
     from pyspark.ml.classification import LogisticRegressionModel
     return row.run_id, PipelineModel(stages=[LogisticRegressionModel.load(row.model_path)])
+
+
+def train_from_text_dirs(spark: SparkSession, data_root: str, classes=None, experiment: str = EXPERIMENT,
+                         root: str | None = None, max_words: int = 10000, max_len: int = 100,
+                         grid=LOGISTIC_GRID, seed: int = 42):
+    """The reference's training script as one Spark job chain.
+
+    ``data_root/<class>/*.txt`` (default ``pos`` = 1, ``neg`` = 0) -> one row
+    per line with its label (S1, S2, U1) -> repeatable shuffle (K1) -> raw and
+    feature stages (S5, S6) -> the grid (M1, M3) -> run log (S7) -> best run
+    and its model (A6, S10).  Returns ``(runs, best_run_id, best_model)``.
+    """
+    reviews = load_labelled_dirs(spark, data_root, classes).select("doc_id", "value", "label")
+    reviews = shuffled(reviews, "doc_id", seed).drop("shuffle_key")
+    feats, _ = build_features(spark, reviews, max_words, max_len)
+    root = root or posixpath.join(new_stage_root(spark, "tracking"))
+    runs = train_and_log(spark, feats, experiment, grid, root, seed=seed)
+    run_id, model = best_model(spark, experiment, root)
+    return runs, run_id, model
