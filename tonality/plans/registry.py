@@ -40,7 +40,7 @@ from tonality.plans.serving import score_titles
 from tonality.session import shared_dir
 from tonality.sources.runs import log_runs, search_experiments, search_runs
 from tonality.sources.stages import new_stage_root, read_features, read_raw, write_features, write_raw
-from tonality.sources.tables import labelled_reviews, table, title_catalogue, title_reviews
+from tonality.sources.tables import labelled_reviews, table, text_table, title_catalogue, title_reviews
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -87,7 +87,7 @@ SELECT doc_id, pos, token FROM (
 WHERE token <> ''
 """)
 def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", ml_tokens(F.col("text")).alias("toks"))
+    docs = text_table(spark, sf_dir).select("doc_id", ml_tokens(F.col("text")).alias("toks"))
     # outer + null filter: a plain posexplode lets Catalyst push a tokenising
     # size() filter below the input spreading (see operators/vocab.word_counts)
     return (docs.select("doc_id", F.posexplode_outer("toks").alias("pos", "token"))
@@ -101,7 +101,7 @@ SELECT doc_id, array_to_string({O.drop_stop_words(O.ml_tokens('text'))}, ' ') AS
 FROM documents
 """)
 def q_stopwords_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir)
     return docs.select("doc_id", join_tokens(remove_stop_words(ml_tokens(F.col("text")))).alias("filtered_text"))
 
 
@@ -111,7 +111,7 @@ WITH {O.words_ctes("SELECT doc_id, text AS value FROM documents", "doc_id")}
 SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM w) GROUP BY word
 """)
 def q_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    docs = text_table(spark, sf_dir).select("doc_id", F.col("text").alias("value"))
     return word_counts(tokenize(docs, keep=["doc_id"])).select("word", "n")
 
 

@@ -17,13 +17,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Tables whose rows carry long text: the CPU-heavy steps run on them.
-TEXT_TABLES = ("documents",)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
-    return spread(df, "doc_id") if name in TEXT_TABLES else df
+def text_table(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """A table whose text is about to be tokenised: spread if under-split."""
+    return spread(table(spark, sf_dir, name), key)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -50,14 +50,14 @@ def labelled_reviews(spark: SparkSession, sf_dir: str, with_title: bool = False)
     cols = [F.col("doc_id"), F.col("text").alias("value")]
     if with_title:
         cols.append(F.col("source").alias("title"))
-    docs = table(spark, sf_dir, "documents").select(*cols)
+    docs = text_table(spark, sf_dir).select(*cols)
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return docs.join(labels, "doc_id")
 
 
 def title_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(title, doc_id, review)``: every document is a review of its source."""
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir).select(
         F.col("source").alias("title"), "doc_id", F.col("text").alias("review"))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tonality.plans.features import preprocess
 from tonality.session import shared_dir
+from tonality.sources.tables import spread
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -43,7 +44,7 @@ def start_scoring_stream(spark: SparkSession, reviews: DataFrame, vocab: DataFra
     def score_batch(batch: DataFrame, epoch: int) -> None:
         # One folder per micro-batch, overwritten: a retried batch replaces
         # its own output instead of appending a second copy.
-        feats, _ = preprocess(batch, text_col=text_col, key_col=key_col, carry=list(carry),
+        feats, _ = preprocess(spread(batch, key_col), text_col=text_col, key_col=key_col, carry=list(carry),
                               max_words=max_words, max_len=max_len, vocab=vocab)
         scorer(feats).select(*columns).write.mode("overwrite").parquet(posixpath.join(out, f"batch={epoch}"))
 
