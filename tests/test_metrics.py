@@ -42,3 +42,11 @@ def test_counter_deltas_equal_plain_lag_across_buckets(spark):
     ref = log.select("instance", "event_id", (F.col("net_bytes_sent") - F.lag("net_bytes_sent").over(w)).alias("a"),
                      (F.col("net_bytes_recv") - F.lag("net_bytes_recv").over(w)).alias("b"))
     assert got == {(r.instance, r.event_id): (r.a, r.b) for r in ref.collect()}
+
+
+def test_request_metrics_long_form(spark):
+    import tonality
+    t0 = 1_700_000_000_000_000
+    log = _log(spark, [(1, 1, "/predict", t0, t0 + 1_000_000, 0.0, 0.0, 5.0, 0, 0)])
+    rows = {r.metric: r.value for r in tonality.request_metrics(log, "10 seconds").collect()}
+    assert rows == {"requests": 1.0, "run_time_s": 1.0, "cpu_percent": 5.0, "memory_kib": 0.0}

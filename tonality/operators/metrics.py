@@ -155,3 +155,15 @@ def metrics_long(wide: DataFrame, ids: Sequence[str], values: Sequence[str]) ->
     """One ``(ids..., metric, value)`` row per metric (``unpivot``, no shuffle)."""
     cast = wide.select(*ids, *[F.col(v).cast("double").alias(v) for v in values])
     return cast.unpivot(list(ids), list(values), "metric", "value")
+
+
+def request_metrics(log: DataFrame, interval: str = "10 seconds", by: Sequence[str] = ("handler",),
+                    watermark: str | None = None) -> DataFrame:
+    """The metric snapshot per scrape interval in long form: R5 then R6.
+
+    Works on a batch or a streaming request log (give ``watermark`` for a stream).
+    """
+    if watermark:
+        log = log.withWatermark("event_time", watermark)
+    wide = resample(log, interval, by=by)
+    return metrics_long(wide, ["window_start_s", *by], ["requests", "run_time_s", "cpu_percent", "memory_kib"])
