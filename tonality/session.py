@@ -50,7 +50,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     global _FALLBACK_DIR
     sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if configured and not current:
+        sc.setCheckpointDir(configured)      # named by the cluster: make checkpoint() use it
+    base = configured or current
     if not base:
         if _FALLBACK_DIR is None:
             _FALLBACK_DIR = tempfile.mkdtemp(prefix="tonality-ckpt-")
