@@ -42,9 +42,14 @@ def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = _rows(df.columns, [tuple(r) for r in df.collect()])
     res = duck.sql(SQL[name])
+    d_types = {c: _DUCK_TYPES.get(str(t), str(t)) for c, t in zip(res.columns, res.types)}
     d_cols, d_rows = _rows(list(res.columns), res.fetchall())
     assert s_cols == d_cols
     assert s_rows == d_rows
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == d_types
+
+
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
 
 
 def test_entry_runs(spark):
