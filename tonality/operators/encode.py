@@ -53,5 +53,5 @@ def encode(df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
 
 def pad(df: DataFrame, max_len: int = 100, seq_col: str = "seq", out: str = "features") -> DataFrame:
     """T7 on a column: fixed length ``max_len``, zeros on the left."""
-    return df.withColumn(out, pad_sequence(seq_col, max_len)).drop(seq_col) if out != seq_col \
-        else df.withColumn(out, pad_sequence(seq_col, max_len))
+    padded = df.withColumn(out, pad_sequence(seq_col, max_len))
+    return padded.drop(seq_col) if out != seq_col else padded
