@@ -60,3 +60,12 @@ def test_run_log_partition_pruning_and_experiments(spark):
     exps = search_experiments(spark, root).collect()
     assert sorted(e.name for e in exps) == ["exp_a", "exp_b"]
     assert all(e.lifecycle_stage == "active" for e in exps)
+
+
+def test_spread_only_touches_under_split_inputs(spark):
+    from tonality.sources.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2).withColumnRenamed("id", "doc_id")
+    assert spread(many, "doc_id") is many
+    few = spark.range(0, 1000, numPartitions=1).withColumnRenamed("id", "doc_id")
+    assert spread(few, "doc_id").rdd.getNumPartitions() == cores
