@@ -42,3 +42,17 @@ def test_score_titles_end_to_end(spark):
     per_title = {r.request: r.status for r in score_titles(
         requests, catalogue, reviews, scorer, vocab_scope="per_title", max_words=10, max_len=3).collect()}
     assert per_title["up"] == "ok"
+
+
+def test_mean_probability_average(spark):
+    catalogue = spark.createDataFrame([("Up",)], "title string")
+    requests = spark.createDataFrame([("up",)], "request string")
+    reviews = spark.createDataFrame([("Up", 1, "good"), ("Up", 2, "bad")], "title string, doc_id long, review string")
+    train = spark.createDataFrame([(1, "good good bad", 1)], "doc_id long, value string, label int")
+    _, vocab = preprocess(train, max_words=10, max_len=1)
+
+    def scorer(df):   # margin = id - 1.5: good (1) -> -0.5, bad (2) -> +0.5
+        return linear_scores(df, [1.0], -1.5)
+
+    r = score_titles(requests, catalogue, reviews, scorer, vocab, 10, 1, average="mean_prob").first()
+    assert abs(r.score - 0.5) < 1e-12 and r.sentiment == "Positive" and r.n_reviews == 2

@@ -53,3 +53,13 @@ def test_padded_length_and_id_range(spark):
     feats, _ = preprocess(labelled_reviews(spark, SF_SMALL), max_words=50, max_len=7)
     bad = feats.where((F.size("features") != 7) | F.exists("features", lambda x: (x < 0) | (x >= 50)))
     assert bad.count() == 0
+
+
+def test_fit_on_train_uses_only_train_rows(spark):
+    from tonality.operators.split import train_rows
+    rows = [(i, f"w{i} common", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, value string, label int")
+    _, vocab = preprocess(df, max_words=1000, max_len=4, fit_on="train")
+    train_ids = {r.doc_id for r in train_rows(df).collect()}
+    words = {r.word for r in vocab.collect()}
+    assert words == {"common"} | {f"w{i}" for i in train_ids}
