@@ -337,6 +337,42 @@ def q_title_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_vocabulary_by(words, "title", MAX_WORDS)
 
 
+# --- M1 + K2: vocabulary fitted on the train rows only ---------------------------
+@register("padded_sequences_train_vocab", f"""
+WITH {O.words_ctes(O.REVIEWS)},
+tw AS (SELECT * FROM w WHERE {O.split_bucket('doc_id')} < 80),
+{O.vocab_ctes(MAX_WORDS, p="t")},
+{O.tok_cte()},
+{O.encode_ctes(vocab="tvocab")}
+SELECT doc_id, label, {O.ids_text(O.pad('seq', MAX_LEN))} AS features FROM enc
+""")
+def q_padded_sequences_train_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, _ = preprocess(labelled_reviews(spark, sf_dir), max_words=MAX_WORDS, max_len=MAX_LEN, fit_on="train")
+    return feats.select("doc_id", "label", ids_text("features").alias("features"))
+
+
+# --- M6 with M7: vocabulary refitted per title at scoring ------------------------
+@register("title_sentiment_per_title", f"""
+WITH {RESOLVE_CTES},
+{O.words_ctes("SELECT d.doc_id, d.source AS title, coalesce(d.text, '') AS value FROM documents d "
+              "WHERE d.source IN (SELECT title FROM res WHERE status = 'ok')", "doc_id, title", p="r")},
+{O.vocab_ctes(MAX_WORDS, p="r", by="title")},
+{O.encode_ctes("doc_id, title", p="r", by="title")},
+rsc AS (SELECT doc_id, title, {_margin_sql(O.pad('seq', MAX_LEN))} AS margin FROM renc),
+pt AS (SELECT title, count(*) AS n_reviews, avg(CASE WHEN margin > 0 THEN 1.0 ELSE 0.0 END) AS score
+       FROM rsc GROUP BY title)
+SELECT res.request, res.title, coalesce(pt.n_reviews, 0) AS n_reviews, round(pt.score, 6) AS score,
+  CASE WHEN pt.n_reviews IS NULL THEN NULL WHEN pt.score >= 0.5 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+  CASE WHEN res.status <> 'ok' THEN res.status WHEN pt.n_reviews IS NULL THEN 'no_reviews' ELSE 'ok' END AS status
+FROM res LEFT JOIN pt ON res.title = pt.title
+""")
+def q_title_sentiment_per_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_titles(title_requests(spark, sf_dir), title_catalogue(spark, sf_dir),
+                       title_reviews(spark, sf_dir), pinned_scorer, vocab_scope="per_title",
+                       max_words=MAX_WORDS, max_len=MAX_LEN)
+    return out.withColumn("score", F.round("score", 6))
+
+
 # --- A6 over runs derived from the data ----------------------------------------
 def slice_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per (language, title) slice: its accuracy under the score rule,
