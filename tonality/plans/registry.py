@@ -373,6 +373,30 @@ def q_title_sentiment_per_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("score", F.round("score", 6))
 
 
+# --- M6 averaging class-1 probabilities instead of votes ---------------------------
+@register("title_sentiment_mean_prob", f"""
+WITH {RESOLVE_CTES},
+{O.words_ctes(O.REVIEWS)},
+{O.vocab_ctes(MAX_WORDS)},
+{O.words_ctes("SELECT d.doc_id, d.source AS title, coalesce(d.text, '') AS value FROM documents d "
+              "WHERE d.source IN (SELECT title FROM res WHERE status = 'ok')", "doc_id, title", p="r")},
+{O.tok_cte("r")},
+{O.encode_ctes("doc_id, title", p="r", vocab="vocab")},
+rsc AS (SELECT doc_id, title, {_margin_sql(O.pad('seq', MAX_LEN))} AS margin FROM renc),
+pt AS (SELECT title, count(*) AS n_reviews, avg(1.0 / (1.0 + exp(-margin))) AS score FROM rsc GROUP BY title)
+SELECT res.request, res.title, coalesce(pt.n_reviews, 0) AS n_reviews, round(pt.score, 6) AS score,
+  CASE WHEN pt.n_reviews IS NULL THEN NULL WHEN pt.score >= 0.5 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+  CASE WHEN res.status <> 'ok' THEN res.status WHEN pt.n_reviews IS NULL THEN 'no_reviews' ELSE 'ok' END AS status
+FROM res LEFT JOIN pt ON res.title = pt.title
+""")
+def q_title_sentiment_mean_prob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS)
+    out = score_titles(title_requests(spark, sf_dir), title_catalogue(spark, sf_dir),
+                       title_reviews(spark, sf_dir), pinned_scorer, vocab=vocab,
+                       max_words=MAX_WORDS, max_len=MAX_LEN, average="mean_prob")
+    return out.withColumn("score", F.round("score", 6))
+
+
 # --- A6 over runs derived from the data ----------------------------------------
 def slice_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per (language, title) slice: its accuracy under the score rule,
@@ -508,6 +532,15 @@ def q_metrics_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_gauges(resample(log, RESAMPLE_INTERVAL))
 
 
+SCRAPE_INTERVAL = "10 seconds"   # the service's scrape interval
+
+
+@register("metrics_resampled_10s", RESAMPLED_SQL.replace("3600000000) * 3600", "10000000) * 10"))
+def q_metrics_resampled_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir).withWatermark("event_time", "10 minutes")
+    return _round_gauges(resample(log, SCRAPE_INTERVAL))
+
+
 @register("metrics_long", f"""
 UNPIVOT (SELECT window_start_s, handler, CAST(requests AS DOUBLE) AS requests, run_time_s, cpu_percent, memory_kib
          FROM ({RESAMPLED_SQL}))
