@@ -35,10 +35,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     on ``key`` over the default parallelism; a large input already has more
     splits than cores and is left as it is, with no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
         return df
-    return df.repartition(cores, key)
+    return df if splits >= cores else df.repartition(cores, key)
 
 
 def labelled_reviews(spark: SparkSession, sf_dir: str, with_title: bool = False) -> DataFrame:
