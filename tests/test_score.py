@@ -56,3 +56,10 @@ def test_mean_probability_average(spark):
 
     r = score_titles(requests, catalogue, reviews, scorer, vocab, 10, 1, average="mean_prob").first()
     assert abs(r.score - 0.5) < 1e-12 and r.sentiment == "Positive" and r.n_reviews == 2
+
+
+def test_punctuation_only_titles_never_match(spark):
+    catalogue = spark.createDataFrame([("!!!",), ("...",), ("Up",)], "title string")
+    requests = spark.createDataFrame([("???",), ("UP",)], "request string")
+    out = {r.request: (r.title, r.status) for r in resolve_titles(requests, catalogue).collect()}
+    assert out == {"???": (None, "invalid_title"), "UP": ("Up", "ok")}

@@ -63,7 +63,9 @@ def resolve_titles(requests: DataFrame, catalogue: DataFrame, request_col: str =
     """J2 + K3 + P3: ``(request, title, status)``; unknown requests get ``invalid_title``."""
     req = requests.select(F.col(request_col).alias("request")).distinct() \
         .withColumn("_k", title_key("request"))
-    cat = catalogue.select(F.col(title_col).alias("_t")).withColumn("_k", title_key("_t"))
+    # an empty key (a title of punctuation only) never matches: no all-with-all pairing on ''
+    cat = catalogue.select(F.col(title_col).alias("_t")).withColumn("_k", title_key("_t")) \
+        .where(F.col("_k") != F.lit(""))
     hits = req.join(cat, "_k", "left")
     best = hits.groupBy("request").agg(
         F.min(F.when(F.col("_t").isNotNull(), F.struct(F.length("_t").alias("l"), F.col("_t").alias("t"))))

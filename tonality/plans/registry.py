@@ -285,7 +285,7 @@ RESOLVE_CTES = f"""cat AS (SELECT DISTINCT source AS title FROM documents),
 req AS (SELECT DISTINCT request FROM (SELECT upper(title) AS request FROM cat
         UNION ALL SELECT title || '!' FROM cat UNION ALL SELECT 'no such ' || title FROM cat)),
 rk AS (SELECT request, regexp_replace(lower(request), {_NORM}, '', 'g') AS k FROM req),
-ck AS (SELECT title, regexp_replace(lower(title), {_NORM}, '', 'g') AS k FROM cat),
+ck AS (SELECT * FROM (SELECT title, regexp_replace(lower(title), {_NORM}, '', 'g') AS k FROM cat) WHERE k <> ''),
 hit AS (SELECT rk.request, ck.title, row_number() OVER (PARTITION BY rk.request
         ORDER BY length(ck.title), ck.title) AS rn FROM rk LEFT JOIN ck ON rk.k = ck.k),
 res AS (SELECT request, title, CASE WHEN title IS NULL THEN 'invalid_title' ELSE 'ok' END AS status
