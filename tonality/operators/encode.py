@@ -10,9 +10,10 @@ is broadcast when that bound is below ``MAX_BROADCAST_WORDS``; the big side
 is then never shuffled for the lookup.  The fold is one hash aggregate on
 the document key whose partial step runs before the shuffle, so each
 document crosses the network once as a compact id list.  Per-group
-vocabularies have no fixed bound (groups x k), so their join is left to
-Catalyst/AQE, which broadcasts at run time when the measured size allows
-and otherwise shuffles with skew splitting.
+vocabularies are bounded only by groups x k: they are broadcast when the
+caller has counted the groups and that product is under the limit, and
+otherwise the join is left to Catalyst/AQE (a run-time broadcast when the
+measured size allows, else a shuffle with skew splitting).
 """
 
 from __future__ import annotations
@@ -29,18 +30,25 @@ MAX_BROADCAST_WORDS = 1_000_000
 
 def encode(df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
            words_col: str = "words", out: str = "seq", group_col: str | None = None,
-           num_words: int | None = None) -> DataFrame:
+           num_words: int | None = None, n_groups: int | None = None) -> DataFrame:
     """``(*keys, out)``: the in-vocabulary ids of each row's words, in order.
 
     ``keys`` must identify a row.  With ``group_col`` the vocabulary has one
-    id space per group (``vocab`` then carries that column too).
+    id space per group (``vocab`` then carries that column too); a caller
+    that has counted the groups passes ``n_groups``, which bounds the
+    vocabulary at ``n_groups * (num_words - 1)`` rows and allows the
+    broadcast under the same limit.
     """
     keys = list(keys)
     lookup_keys = ["word"] + ([group_col] if group_col else [])
     carry = keys + ([group_col] if group_col and group_col not in keys else [])
     exploded = df.select(*carry, F.posexplode_outer(words_col).alias("pos", "word"))
     v = vocab.select(*lookup_keys, "id")
-    if group_col is None and (num_words is None or num_words - 1 <= MAX_BROADCAST_WORDS):
+    if group_col is None:
+        bound = None if num_words is None else num_words - 1
+    else:
+        bound = None if (n_groups is None or num_words is None) else n_groups * (num_words - 1)
+    if (group_col is None and bound is None) or (bound is not None and bound <= MAX_BROADCAST_WORDS):
         v = F.broadcast(v)
     joined = exploded.join(v, lookup_keys, "left")
     # One placeholder row per document survives so empty documents stay.

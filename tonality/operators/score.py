@@ -105,8 +105,13 @@ def title_verdicts(resolved: DataFrame, predictions: DataFrame, title_col: str =
 MAX_BROADCAST_TITLES = 1_000_000
 
 
+def wanted_titles(resolved: DataFrame, title_col: str = "title") -> DataFrame:
+    """The distinct titles that resolved."""
+    return resolved.where(F.col("status") == "ok").select(F.col("title").alias(title_col)).distinct()
+
+
 def requested_reviews(resolved: DataFrame, reviews: DataFrame, title_col: str = "title",
-                      review_col: str = "review") -> DataFrame:
+                      review_col: str = "review", n_wanted: int | None = None) -> DataFrame:
     """The reviews of resolved titles only (a semi-join), empty text as ``''``.
 
     The wanted-title set is counted first: at most ``MAX_BROADCAST_TITLES``
@@ -114,7 +119,7 @@ def requested_reviews(resolved: DataFrame, reviews: DataFrame, title_col: str =
     their text is never shuffled by title.  A larger set falls back to a
     shuffle join, where AQE splits a hot title.
     """
-    wanted = resolved.where(F.col("status") == "ok").select(F.col("title").alias(title_col)).distinct()
-    if wanted.count() <= MAX_BROADCAST_TITLES:
+    wanted = wanted_titles(resolved, title_col)
+    if (n_wanted if n_wanted is not None else wanted.count()) <= MAX_BROADCAST_TITLES:
         wanted = F.broadcast(wanted)
     return default_empty(reviews.join(wanted, title_col, "left_semi"), review_col)

@@ -50,9 +50,13 @@ def preprocess(df: DataFrame, text_col: str = "value", key_col: str = "doc_id",
 
 def preprocess_by_group(df: DataFrame, group_col: str, text_col: str = "value",
                         key_col: str = "doc_id", max_words: int = 10000,
-                        max_len: int = 100) -> tuple[DataFrame, DataFrame]:
-    """M7: the vocabulary refitted inside each group (the serving variant)."""
+                        max_len: int = 100, n_groups: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """M7: the vocabulary refitted inside each group (the serving variant).
+
+    ``n_groups``, when the caller knows it, bounds the vocabulary size (see
+    :func:`tonality.operators.encode.encode`)."""
     words = tokenize(df, text_col, [key_col, group_col])
     vocab = fit_vocabulary_by(words, group_col, max_words, key_col=key_col)
-    seqs = encode(words, vocab, keys=[key_col, group_col], group_col=group_col)
+    seqs = encode(words, vocab, keys=[key_col, group_col], group_col=group_col,
+                  num_words=max_words, n_groups=n_groups)
     return pad(seqs, max_len), vocab

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tonality.operators.score import requested_reviews, resolve_titles, title_verdicts
+from tonality.operators.score import requested_reviews, resolve_titles, title_verdicts, wanted_titles
 from tonality.plans.features import preprocess, preprocess_by_group
 from tonality.session import shared_dir
 
@@ -35,7 +35,8 @@ def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
     # in the shared checkpoint folder.
     shared_dir(requests.sparkSession)
     resolved = resolve_titles(requests, catalogue).checkpoint(eager=True)
-    wanted = requested_reviews(resolved, reviews)
+    n_titles = wanted_titles(resolved).count()
+    wanted = requested_reviews(resolved, reviews, n_wanted=n_titles)
     if vocab_scope == "training":
         if vocab is None:
             raise ValueError("vocab_scope='training' needs the training vocabulary")
@@ -43,7 +44,7 @@ def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
                               max_words=max_words, max_len=max_len, vocab=vocab)
     elif vocab_scope == "per_title":
         feats, _ = preprocess_by_group(wanted, "title", text_col="review", key_col="doc_id",
-                                       max_words=max_words, max_len=max_len)
+                                       max_words=max_words, max_len=max_len, n_groups=n_titles)
     else:
         raise ValueError("vocab_scope must be 'training' or 'per_title'")
     scored = scorer(feats)
