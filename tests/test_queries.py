@@ -94,3 +94,5 @@ def test_scale_properties_of_key_plans(spark):
     assert "windowspecdefinition(instance" in deltas and "_b#" in deltas
     titles = _plan(q["title_sentiment"](spark, SF_SMALL))
     assert "LeftSemi, BuildRight" in titles          # requested titles broadcast, text not shuffled by title
+    per_title = _plan(q["title_sentiment_per_title"](spark, SF_SMALL))
+    assert "BroadcastHashJoin [word" in per_title and "title" in per_title   # counted titles x k bound
