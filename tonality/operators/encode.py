@@ -53,10 +53,12 @@ def encode(df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
     joined = exploded.join(v, lookup_keys, "left")
     # One placeholder row per document survives so empty documents stay.
     joined = joined.where(F.col("id").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))
+    # (pos, id) packed into one bigint, pos * 2^32 + id (both < 2^31, so exact):
+    # the collected lists hold primitives and sort numerically into text order.
+    packed = F.col("pos").cast("bigint") * F.lit(1 << 32) + F.col("id").cast("bigint")
     folded = joined.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(
-            F.when(F.col("id").isNotNull(), F.struct(F.col("pos"), F.col("id"))))).alias("_p"))
-    return folded.select(*keys, F.transform("_p", lambda x: x["id"]).alias(out))
+        F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), packed))).alias("_p"))
+    return folded.select(*keys, F.transform("_p", lambda x: (x % F.lit(1 << 32)).cast("int")).alias(out))
 
 
 def pad(df: DataFrame, max_len: int = 100, seq_col: str = "seq", out: str = "features") -> DataFrame:

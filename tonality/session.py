@@ -16,11 +16,17 @@ _FALLBACK_DIR: str | None = None
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tonality") -> SparkSession:
-    """A local session configured the way the library expects."""
+                  app: str = "tonality", event_log_dir: str | None = None) -> SparkSession:
+    """A local session configured the way the library expects.
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    for offline reading; the web UI stays off)."""
     scratch = tempfile.mkdtemp(prefix="tonality-run-")
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
