@@ -75,19 +75,23 @@ def join_tokens(tokens, sep: str = " ") -> Column:
     return F.concat_ws(sep, _col(tokens))
 
 
-def keras_words(text) -> Column:
+def keras_words(text, lowered: bool = False) -> Column:
     """T5: the second tokeniser.
 
     Lower-case; each filter character becomes a space; split on the space;
     empty pieces dropped.  Other whitespace stays inside words.
+    ``lowered=True`` skips the lower-casing for input that already is.
     """
-    replaced = F.translate(F.lower(_col(text)), KERAS_FILTERS, KERAS_SPLIT * len(KERAS_FILTERS))
+    text = _col(text) if lowered else F.lower(_col(text))
+    replaced = F.translate(text, KERAS_FILTERS, KERAS_SPLIT * len(KERAS_FILTERS))
     return F.array_remove(F.split(replaced, KERAS_SPLIT), "")
 
 
 def review_words(text) -> Column:
-    """T1 -> T2 -> T4 -> T5 as one expression: the words the vocabulary sees."""
-    return keras_words(join_tokens(remove_stop_words(ml_tokens(text))))
+    """T1 -> T2 -> T4 -> T5 as one expression: the words the vocabulary sees.
+
+    T1 already lower-cases, so T5 does not lower-case the joined text again."""
+    return keras_words(join_tokens(remove_stop_words(ml_tokens(text))), lowered=True)
 
 
 def pad_sequence(seq, max_len: int, value: int = 0) -> Column:
