@@ -38,17 +38,19 @@ def ml_tokens(text) -> Column:
 
     Built without a regex engine: trailing whitespace is trimmed, every
     whitespace character is mapped to a space (``translate``) and the text is
-    split on the single space, which Java splits on a fast path.
+    split on the single space, which Java splits on a fast path.  The trim
+    runs on the raw text (lower-casing neither makes nor removes ASCII
+    whitespace), so the full-text ``lower`` appears once even where Spark
+    evaluates this without code generation (inside the T2 lambda).
     """
     text = _col(text)
-    lowered = F.lower(text)
-    trimmed = F.rtrim(lowered, F.lit(_WS_CHARS))
+    trimmed = F.rtrim(text, F.lit(_WS_CHARS))
     empty = F.array().cast("array<string>")
     return (
         F.when(text.isNull(), empty)
-        .when(lowered == F.lit(""), F.array(F.lit("")))
+        .when(text == F.lit(""), F.array(F.lit("")))
         .when(trimmed == F.lit(""), empty)
-        .otherwise(F.split(F.translate(trimmed, _WS_CHARS, _WS_SPACES), " "))
+        .otherwise(F.split(F.translate(F.lower(trimmed), _WS_CHARS, _WS_SPACES), " "))
     )
 
 
