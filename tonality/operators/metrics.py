@@ -14,7 +14,7 @@ Scale notes
   task.
 * Counter deltas need the previous call of the same instance (``lag``).  A
   window partitioned by instance alone would put a hot instance into one
-  task, so the window is partitioned by ``(instance, time bucket)`` and the
+  task, so the window is partitioned by ``(instance, hour)`` and the
   first call of each bucket takes the last call of the instance's previous
   bucket, found over one row per bucket.
 """
@@ -110,11 +110,12 @@ def gauges(log: DataFrame, by: Sequence[str] = ("instance",),
 
 
 def counter_deltas(log: DataFrame, values: Sequence[str] = ("net_bytes_sent", "net_bytes_recv"),
-                   instance_col: str = "instance", bucket_us: int = 86_400_000_000) -> DataFrame:
+                   instance_col: str = "instance", bucket_us: int = 3_600_000_000) -> DataFrame:
     """``value - previous value`` per instance in call order (null for the first call).
 
-    ``bucket_us`` is the time slice (default one day) that bounds each
-    window partition.
+    ``bucket_us`` is the time slice that bounds each window partition
+    (default one hour: a window partition holds one instance-hour of calls,
+    and the carry table has at most one row per non-empty instance-hour).
     """
     order = ["start_us", "event_id"]
     b = F.floor(F.col("start_us") / F.lit(bucket_us)).cast("bigint")
