@@ -63,8 +63,6 @@ def _plan(df):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_no_python_in_plans(spark, name):
-    if name in ("metrics_stream", "stream_scoring", "run_log_roundtrip", "stage_roundtrip"):
-        pytest.skip("runs a job while building the frame")
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert marker not in plan, (name, marker)
