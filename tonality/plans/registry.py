@@ -3,6 +3,13 @@
 Every query reads the given tables in full; floats are rounded to 6 places
 and arrays are emitted as space-separated text so the oracle comparison is
 exact.  ``QUERIES[name] = (spark_fn, sql_or_None)``.
+
+Inputs the reference gets from elsewhere are derived from the tables, so each
+query's work grows with them: reviews are ``documents`` joined to ``labels``;
+scores for the metric queries are ``(n_chars % 1000) / 1000``; the linear
+scorer uses pinned dyadic weights; title requests are spellings of every
+catalogue title plus one unknown title each; runs are one per (language,
+title) slice; the request log is ``events`` read through ``request_log``.
 """
 
 from __future__ import annotations
