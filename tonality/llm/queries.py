@@ -15,8 +15,9 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tonality.llm import forced_bpe, length_histogram, repair
+from tonality.llm import decontaminate, forced_bpe, html_density, length_histogram, licenses, repair
 from tonality.llm.common import run_dir
 from tonality.sources.tables import table
 
@@ -37,6 +38,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register
+def op2_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and lines of documents, that are a known license text."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_license_digests"] = licenses.scan_sql()
+
+
 @register
 def op3_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
@@ -56,6 +66,15 @@ def op3_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+@register
+def op4_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op4_spaced_seed_leaks"] = decontaminate.leaks_sql()
+
+
 @register
 def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token file of all documents, reads it back and digests each document's ids."""
@@ -77,3 +96,9 @@ def op8_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every context limit keeps: one row per distinct encoded length of the documents."""
     lengths = length_histogram.token_lengths(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return length_histogram.suffix_sums(length_histogram.histogram(lengths))
+
+
+@register
+def op10_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_density.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
