@@ -141,33 +141,32 @@ def range_bounds(df: DataFrame, col: str, parts: int) -> list[int]:
     return sorted(set(got.q)) if got and got.q else []
 
 
-def sum_blocks(df: DataFrame, n_blocks: int, dtype: str = "int64") -> list[np.ndarray]:
-    """Element-wise sums of count blocks ``(block int, counts binary)``, one array a block.
+def sum_blocks(df: DataFrame, n_blocks: int) -> list[np.ndarray | None]:
+    """Element-wise sums of count blocks ``(part int, block int, counts binary of int32)``, one int64 array a block.
 
     The counts have a fixed number of cells whatever the input, so that the
     sums that reach the driver have a proven size.  Salted in two steps: the
-    tasks' blocks are first summed in groups of about 16.
+    tasks' blocks are first summed in groups of about 16 tasks.
     """
-    def add(key, table: pa.Table) -> pa.Table:
-        total = None
-        for blob in table.column("counts"):
-            x = np.frombuffer(blob.as_buffer(), dtype)
-            total = x.copy() if total is None else total + x
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
-
-    salted = df.withColumn("salt", F.col("part") % F.lit(max(1, 1 + _parts(df) // 16)))
-    first = salted.groupBy("block", "salt").applyInArrow(add, "block int, counts binary")
-    rows = first.groupBy("block").applyInArrow(add, "block int, counts binary").collect()
+    def adder(kind: str):
+        def add(key, table):
+            total = np.zeros(0, np.int64)
+            for blob in table.column("counts"):
+                x = np.frombuffer(blob.as_buffer(), kind).astype(np.int64)
+                total = total + x if len(total) else x
+            return pa.table({"block": pa.array([key[0].as_py()], pa.int32()),
+                             "counts": pa.array([total.tobytes()], pa.binary())})
+        return add
+
+    groups = max(1, df.sparkSession.sparkContext.defaultParallelism // 16, shuffle_parts(df.sparkSession) // 16)
+    salted = df.withColumn("salt", F.col("part") % F.lit(groups))
+    first = salted.groupBy("block", "salt").applyInArrow(adder("i4"), "block int, counts binary")
+    rows = first.groupBy("block").applyInArrow(adder("i8"), "block int, counts binary").collect()
     out: list[np.ndarray | None] = [None] * n_blocks
     for r in rows:
-        out[r.block] = np.frombuffer(r.counts, dtype)
+        out[r.block] = np.frombuffer(r.counts, np.int64)
     return out
 
 
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

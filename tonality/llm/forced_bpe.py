@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tonality.llm.common import cast_like, clean_strings, workers_import
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000   # entries a worker keeps by piece, word and fragment
+SLICE = 500              # rows a worker holds results of
 
 # Fixed value: the splitting pattern of the vocabulary file that the shortcut below is proven for.
 LETTERS_THEN_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -154,36 +155,44 @@ class _Filled(dict):
         return ids
 
 
-def encode(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, ids binary)``: each whole text's ids as little-endian unsigned 32-bit integers."""
-    spark = docs.sparkSession
+def _mapped(df: DataFrame, vocab_path: str, key: str, col: str, run, columns: str) -> DataFrame:
+    """``run(codec, column) -> columns`` over slices of a batch, so that large results leave a worker early."""
+    spark = df.sparkSession
     workers_import(spark)
     config = load(spark, vocab_path)
-    kind = dict(docs.dtypes)[key]
+    kind = dict(df.dtypes)[key]
+    names = ["key", *[c.split()[0] for c in columns.split(", ")]]
 
-    def run(batches):
+    def batches(it):
         c = codec(config)
-        for b in batches:
-            out = list(c.encode(s.as_py() for s in clean_strings(b.column(1))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["key", "ids"])
+        for b in it:
+            for i in range(0, b.num_rows, SLICE):
+                part = b.slice(i, SLICE)
+                yield pa.RecordBatch.from_arrays([part.column(0), *run(c, part.column(1))], names)
+
+    return cast_like(df, key, col).mapInArrow(batches, f"key {kind}, {columns}").withColumnRenamed("key", key)
+
+
+def encode(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, ids binary)``: each whole text's ids as little-endian unsigned 32-bit integers."""
+    def run(c: ForcedBPE, col: pa.Array) -> list[pa.Array]:
+        return [pa.array(list(c.encode(s.as_py() for s in clean_strings(col))), pa.binary())]
 
-    return cast_like(docs, key, text).mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return _mapped(docs, vocab_path, key, text, run, "ids binary")
 
 
 def decode(ids: DataFrame, vocab_path: str, key: str = "doc_id", col: str = "ids") -> DataFrame:
-    """``(key, ids, text)``: the decoded text beside its ids; null ids decode to an empty text."""
-    spark = ids.sparkSession
-    workers_import(spark)
-    config = load(spark, vocab_path)
-    kind = dict(ids.dtypes)[key]
+    """``(key, text string)``: the ids' text; null ids decode to an empty text."""
+    def run(c: ForcedBPE, blobs: pa.Array) -> list[pa.Array]:
+        return [pa.array([c.decode(x.as_py() or b"") for x in blobs], pa.string())]
 
-    def run(batches):
-        c = codec(config)
-        for b in batches:
-            blobs = [x.as_py() or b"" for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(blobs, pa.binary()), pa.array([c.decode(x) for x in blobs], pa.string())],
-                ["key", "ids", "text"])
-
-    out = cast_like(ids, key, col).mapInArrow(run, f"key {kind}, ids binary, text string")
-    return out.withColumnRenamed("key", key)
+    return _mapped(ids, vocab_path, key, col, run, "text string")
+
+
+def round_trip(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, ids binary, text string)``: encoded and decoded by one worker, which holds the vocabulary once."""
+    def run(c: ForcedBPE, col: pa.Array) -> list[pa.Array]:
+        ids = list(c.encode(s.as_py() for s in clean_strings(col)))
+        return [pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())]
+
+    return _mapped(docs, vocab_path, key, text, run, "ids binary, text string")

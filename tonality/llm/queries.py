@@ -8,17 +8,15 @@ held against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
-import hashlib
 import posixpath
-import zlib
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonality.llm import decontaminate, forced_bpe, html_density, length_histogram, licenses, repair
-from tonality.llm.common import run_dir
+from tonality.llm import (adsampling, decontaminate, forced_bpe, html_density, length_histogram, licenses, quality,
+                          repair)
+from tonality.llm.common import run_dir, via_table
 from tonality.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +36,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register
+def op1_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of largest inner product for every vector whose id is divisible by 20."""
+    return adsampling.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @register
 def op2_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, and lines of documents, that are a known license text."""
@@ -50,20 +54,10 @@ ORACLE["op2_license_digests"] = licenses.scan_sql()
 @register
 def op3_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
-    path = vocabulary("word_bpe_49k.json")
-    decoded = forced_bpe.decode(forced_bpe.encode(table(spark, sf_dir, "documents"), path), path)
-
-    def digests(batches):
-        for b in batches:
-            ids = [x.as_buffer() for x in b.column(1)]
-            texts = [x.as_buffer() for x in b.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = forced_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
 @register
@@ -81,21 +75,21 @@ def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = repair.write(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
                         posixpath.join(run_dir(spark, "tokens"), "shards"))
 
-    def digests(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2),
-                 pa.array([zlib.crc32(x.as_buffer()) for x in b.column(3)], pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"])
+    return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
 
-    return repair.read(spark, path).mapInArrow(digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+@register
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight, rank and decision."""
+    out = quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "log_weight", "key_weight", "rank", "kept")
 
 
 @register
 def op8_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every context limit keeps: one row per distinct encoded length of the documents."""
     lengths = length_histogram.token_lengths(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    return length_histogram.suffix_sums(length_histogram.histogram(lengths))
+    return length_histogram.suffix_sums(via_table(length_histogram.histogram(lengths), "lengths"))
 
 
 @register
