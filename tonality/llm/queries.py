@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonality.llm import (adsampling, decontaminate, forced_bpe, html_density, length_histogram, licenses, quality,
-                          repair)
+from tonality.llm import (adsampling, decontaminate, forced_bpe, html_density, jaccard, length_histogram, licenses,
+                          quality, repair)
 from tonality.llm.common import run_dir, via_table
 from tonality.sources.tables import table
 
@@ -92,6 +92,12 @@ def op8_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.suffix_sums(via_table(length_histogram.histogram(lengths), "lengths"))
 
 
+@register
+def op9_size_aware_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of 4-word shingles reach a similarity of 0.85."""
+    return jaccard.classes(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 @register
 def op10_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
