@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.llm import (adsampling, decontaminate, forced_bpe, html_density, jaccard, length_histogram, licenses,
-                          quality, repair)
+                          prefix_free, quality, repair)
 from tonality.llm.common import run_dir, via_table
 from tonality.sources.tables import table
 
@@ -78,6 +78,14 @@ def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op6_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of earlier ones."""
+    out = prefix_free.deduplicate(table(spark, sf_dir, "documents"), width=50)
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's importance weight, rank and decision."""
