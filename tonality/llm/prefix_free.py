@@ -39,8 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import (cast_like, mix64, pieces, range_bounds, runs_of, shuffle_parts, utf8,
-                                 workers_import)
+from tonality.llm.common import mix64, pieces, range_bounds, runs_of, shuffle_parts, utf8, workers_import
 
 WIDTH = 50
 GRAM = 24
@@ -131,11 +130,11 @@ class Batch:
         table = table.combine_chunks()
         order = pc.sort_indices(table, sort_keys=[("key", "ascending")])
         table = table.take(order).combine_chunks()
-        self.keys = table.column("key").combine_chunks() if table.num_rows else table.column("key")
+        self.keys, self.rest = table.column("key"), table.column("rest")
         text = table.column("text")
         self.data, self.offsets = utf8(text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text)
         self.width = width
-        values = self.keys.to_numpy(zero_copy_only=False) if table.num_rows else np.empty(0)
+        values = self.keys.to_numpy()
         self.rank = np.concatenate([[0], np.cumsum(values[1:] != values[:-1])]) if len(values) else np.empty(0, np.int64)
         parts = []
         for i, j in pieces(self.offsets):
@@ -330,13 +329,13 @@ def _kept(batch: Batch, mask: np.ndarray, whole_characters: bool) -> pa.Table:
         kept.append(batch.data[at:z].tobytes())
         rows.append((z - a, b"".join(kept), [x - a for x, _ in runs], [y - x for x, y in runs]))
     cols = list(zip(*rows)) if rows else [[], [], [], []]
-    return pa.table({"key": batch.keys, "n_bytes": pa.array(cols[0], pa.int64()), "kept": pa.array(cols[1], pa.binary()),
+    return pa.table({"key": batch.keys, "rest": batch.rest, "n_bytes": pa.array(cols[0], pa.int64()), "kept": pa.array(cols[1], pa.binary()),
                      "starts": pa.array(cols[2], pa.list_(pa.int64())), "lengths": pa.array(cols[3], pa.list_(pa.int64()))})
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM,
-                whole_characters: bool = False) -> DataFrame:
-    """``(key, n_bytes, kept binary, starts, lengths)``: what is left of each row, and the removed runs.
+                whole_characters: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, *carry, n_bytes, kept binary, starts, lengths)``: what is left of each row, and the removed runs.
 
     ``whole_characters`` shrinks removed runs to whole characters, so that
     ``kept`` is text again.  Keys are whole numbers.
@@ -344,7 +343,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     spark = docs.sparkSession
     workers_import(spark)
     kind = dict(docs.dtypes)[key]
-    plain = cast_like(docs, key, text).toDF("key", "text")
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("boolean")
+    plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), rest.alias("rest"))
     parts = shuffle_parts(spark)
     bounds = range_bounds(plain, "key", BATCHES_A_PART * parts)
     number = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b < F.col("key")))
@@ -366,7 +366,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
         _, _, sent, check, _ = _distinct_suffixes(batch, _codes(answers, 0, len(values)), numbered)
         return _send(group[0].as_py(), 1, sent, parts, [sent.astype("<u8"), check])
 
-    out_schema = f"key {kind}, n_bytes long, kept binary, starts array<long>, lengths array<long>"
+    out_schema = f"key {kind}, rest {dict(plain.dtypes)['rest']}, n_bytes long, kept binary, starts array<long>, lengths array<long>"
 
     def remove(group, table, answers):
         batch = Batch(table, width, gram)
@@ -380,7 +380,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     both = phrases.unionAll(suffixes)
     out = batched.groupBy("batch").cogroup(both.groupBy("batch")).applyInArrow(remove, out_schema)
     lone = plain.where("key IS NULL").select(
-        "key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "key", "rest", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("kept"),
         F.array().cast("array<bigint>").alias("starts"), F.array().cast("array<bigint>").alias("lengths"))
-    return out.unionAll(lone).withColumnRenamed("key", key)
+    columns = [F.col("key").alias(key), *[F.col("rest")[c].alias(c) for c in carry]]
+    return out.unionAll(lone).select(*columns, "n_bytes", "kept", "starts", "lengths")
