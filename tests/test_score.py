@@ -63,3 +63,45 @@ def test_punctuation_only_titles_never_match(spark):
     requests = spark.createDataFrame([("???",), ("UP",)], "request string")
     out = {r.request: (r.title, r.status) for r in resolve_titles(requests, catalogue).collect()}
     assert out == {"???": (None, "invalid_title"), "UP": ("Up", "ok")}
+
+
+def test_the_exact_spelling_wins(spark):
+    catalogue = spark.createDataFrame([("AB",), ("a b!",), ("a-b",)], "title string")
+    requests = spark.createDataFrame([("a b!",), ("a-b",), ("ab",)], "request string")
+    out = {r.request: r.title for r in resolve_titles(requests, catalogue).collect()}
+    assert out == {"a b!": "a b!", "a-b": "a-b", "ab": "AB"}
+
+
+def test_features_of_a_wrong_length_fail(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, [1, 2])], "doc_id long, features array<int>")
+    with pytest.raises(Exception, match="3 features expected"):
+        linear_scores(df, [0.1, 0.2, 0.3], 0.0).collect()
+
+
+def test_a_given_vocabulary_is_limited(spark):
+    train = spark.createDataFrame([(1, "xa xa xa xb xb xc", 1)], "doc_id long, value string, label int")
+    _, vocab = preprocess(train, max_words=10, max_len=3)
+    assert vocab.count() == 3
+    feats, _ = preprocess(train, max_words=2, max_len=6, vocab=vocab)
+    assert feats.first().features == [0, 0, 0, 1, 1, 1]
+
+
+def test_title_requests_as_a_stream(spark):
+    from tonality.session import shared_dir
+    from tonality.streaming.metrics import file_stream
+    from tonality.streaming.scoring import start_title_stream
+
+    source = shared_dir(spark, "test-title-requests")
+    spark.createDataFrame([("up",), ("zz",)], "request string").write.mode("overwrite").parquet(source)
+    catalogue = spark.createDataFrame([("Up",)], "title string")
+    reviews = spark.createDataFrame([("Up", 1, "good"), ("Up", 2, "bad")], "title string, doc_id long, review string")
+    train = spark.createDataFrame([(1, "good good bad", 1)], "doc_id long, value string, label int")
+    _, vocab = preprocess(train, max_words=10, max_len=1)
+    q, out = start_title_stream(spark, file_stream(spark, source, "request string"), catalogue, reviews,
+                                lambda df: linear_scores(df, [1.0], -1.5), vocab=vocab, max_words=10, max_len=1)
+    q.processAllAvailable()
+    q.stop()
+    got = {r.request: (r.n_reviews, r.score, r.status) for r in spark.read.parquet(out).collect()}
+    assert got == {"up": (2, 0.5, "ok"), "zz": (0, None, "invalid_title")}

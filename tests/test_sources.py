@@ -62,10 +62,55 @@ def test_run_log_partition_pruning_and_experiments(spark):
     assert all(e.lifecycle_stage == "active" for e in exps)
 
 
-def test_spread_only_touches_under_split_inputs(spark):
-    from tonality.sources.tables import spread
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2).withColumnRenamed("id", "doc_id")
-    assert spread(many, "doc_id") is many
+def test_spread_is_the_callers_decision(spark):
+    from tonality.sources.tables import SPREAD_SETTING, spread, text_table
     few = spark.range(0, 1000, numPartitions=1).withColumnRenamed("id", "doc_id")
-    assert spread(few, "doc_id").rdd.getNumPartitions() == cores
+    assert spread(few, "doc_id") is few
+    assert spread(few, "doc_id", 5).rdd.getNumPartitions() == 5
+    was = spark.conf.get(SPREAD_SETTING)
+    try:
+        spark.conf.unset(SPREAD_SETTING)
+        assert "Exchange" not in text_table(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert text_table(spark, SF_SMALL, spread_to=3).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.set(SPREAD_SETTING, was)
+
+
+def test_text_keys_are_unique_across_loads_and_stable(spark):
+    root = _text_dirs()
+    pos, neg = (load_reviews(spark, os.path.join(root, c), i) for c, i in (("pos", 1), ("neg", 0)))
+    both = pos.unionByName(neg)
+    keys = {r.value: r.doc_id for r in both.collect()}
+    assert len(set(keys.values())) == both.count() == 4
+    was = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+        assert {r.value: r.doc_id for r in load_labelled_dirs(spark, root).collect()} == keys
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", was)
+
+
+def test_odd_folder_names_and_line_ends(spark):
+    root = tempfile.mkdtemp(prefix="tonality-text-")
+    for name, body in (("very good", "a\r\nb\rc\n\nd"), ("100%+", "x\n")):
+        os.makedirs(os.path.join(root, name))
+        with open(os.path.join(root, name, "f 1.txt"), "w", newline="") as f:
+            f.write(body)
+    got = load_labelled_dirs(spark, root, {"very good": 1, "100%+": 0}).collect()
+    assert sorted((r.value, r.label) for r in got) == [("", 1), ("a", 1), ("b", 1), ("c", 1), ("d", 1), ("x", 0)]
+
+
+def test_a_repeated_log_call_adds_nothing_and_errors_are_raised(spark):
+    import pytest
+
+    root = shared_dir(spark, "test-repeat")
+    runs = spark.createDataFrame([("r1", 1.0, .5), ("r2", 2.0, .7)], "run_id string, start_ts double, accuracy double")
+    assert search_experiments(spark, root).count() == 0 and search_runs(spark, "e", root).count() == 0
+    for _ in range(2):
+        log_runs(runs, "e", root)
+    assert search_runs(spark, "e", root).count() == 2 and search_experiments(spark, root).count() == 1
+    own = search_experiments(spark, root).first().experiment_id
+    assert search_runs(spark, root=root, experiment_id=own).count() == 2
+    assert search_runs(spark, root=root, experiment_id="1").count() == 0
+    with pytest.raises(Exception):
+        search_experiments(spark, "nosuchscheme://x/y").count()

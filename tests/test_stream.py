@@ -5,17 +5,18 @@ import posixpath
 from tests.conftest import SF_MID
 from tonality.operators.metrics import request_log, resample
 from tonality.sources.tables import table
-from tonality.streaming.metrics import single_file_glob, start_metrics_stream
+from tonality.streaming.metrics import latest_windows, single_file_glob, start_metrics_stream
 
 
 def _run(spark, mode):
     q, out = start_metrics_stream(spark, single_file_glob(posixpath.join(SF_MID, "events.parquet")),
-                                  interval="1 hour", watermark="10 minutes", mode=mode)
+                                  interval="1 hour", watermark="10 minutes", mode=mode,
+                                  schema=table(spark, SF_MID, "events").schema)
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    return spark.read.parquet(out)
+    return latest_windows(spark, out) if mode == "update" else spark.read.parquet(out)
 
 
 def test_fixture10_append_withholds_open_windows(spark):
@@ -24,8 +25,8 @@ def test_fixture10_append_withholds_open_windows(spark):
     assert out.agg({"requests": "sum"}).first()[0] == 9986
 
 
-def test_fixture10_complete_equals_batch(spark):
-    out = _run(spark, "complete")
+def test_fixture10_update_equals_batch(spark):
+    out = _run(spark, "update")
     batch = resample(request_log(table(spark, SF_MID, "events")), "1 hour")
     cols = ["window_start_s", "handler", "requests", "run_time_s", "cpu_percent", "memory_kib"]
     assert out.count() == 3385

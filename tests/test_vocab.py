@@ -63,3 +63,8 @@ def test_fit_on_train_uses_only_train_rows(spark):
     train_ids = {r.doc_id for r in train_rows(df).collect()}
     words = {r.word for r in vocab.collect()}
     assert words == {"common"} | {f"w{i}" for i in train_ids}
+
+
+def test_string_keys(spark):
+    df = spark.createDataFrame([("b", ["y", "x"]), ("a", ["x", "y", "z"])], "doc_id string, words array<string>")
+    assert [(r.word, r.id) for r in fit_vocabulary(df, 10).orderBy("id").collect()] == [("x", 1), ("y", 2), ("z", 3)]

@@ -5,15 +5,13 @@ word up in the vocabulary with an equi-join, and folds the ids back into one
 array per document in text order.  Out-of-vocabulary words vanish; a
 document with no known word keeps its row with an empty sequence.
 
-Plan: the vocabulary of one corpus has at most ``num_words - 1`` rows, so it
-is broadcast when that bound is below ``MAX_BROADCAST_WORDS``; the big side
-is then never shuffled for the lookup.  The fold is one hash aggregate on
-the document key whose partial step runs before the shuffle, so each
-document crosses the network once as a compact id list.  Per-group
-vocabularies are bounded only by groups x k: they are broadcast when the
-caller has counted the groups and that product is under the limit, and
-otherwise the join is left to Catalyst/AQE (a run-time broadcast when the
-measured size allows, else a shuffle with skew splitting).
+Plan: the lookup is an equi-join whose strategy Catalyst picks from the
+vocabulary's size in bytes - the top-k plan carries its row limit and a frozen
+vocabulary its file size, so a small one is broadcast and the text is not
+shuffled; beyond the session's broadcast threshold both sides shuffle on the
+word, with skew splitting.  The fold is one aggregate on the document key
+whose partial step runs before the shuffle, so each document crosses the
+network as a compact id list.
 """
 
 from __future__ import annotations
@@ -25,31 +23,23 @@ from pyspark.sql import functions as F
 
 from tonality.functions.text import pad_sequence
 
-MAX_BROADCAST_WORDS = 1_000_000
-
 
 def encode(df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
            words_col: str = "words", out: str = "seq", group_col: str | None = None,
-           num_words: int | None = None, n_groups: int | None = None) -> DataFrame:
+           num_words: int | None = None) -> DataFrame:
     """``(*keys, out)``: the in-vocabulary ids of each row's words, in order.
 
-    ``keys`` must identify a row.  With ``group_col`` the vocabulary has one
-    id space per group (``vocab`` then carries that column too); a caller
-    that has counted the groups passes ``n_groups``, which bounds the
-    vocabulary at ``n_groups * (num_words - 1)`` rows and allows the
-    broadcast under the same limit.
+    ``keys`` must identify a row.  Only ids below ``num_words`` count, whatever
+    the vocabulary holds.  With ``group_col`` the vocabulary has one id space
+    per group (``vocab`` then carries that column too).
     """
     keys = list(keys)
     lookup_keys = ["word"] + ([group_col] if group_col else [])
     carry = keys + ([group_col] if group_col and group_col not in keys else [])
     exploded = df.select(*carry, F.posexplode_outer(words_col).alias("pos", "word"))
     v = vocab.select(*lookup_keys, "id")
-    if group_col is None:
-        bound = None if num_words is None else num_words - 1
-    else:
-        bound = None if (n_groups is None or num_words is None) else n_groups * (num_words - 1)
-    if (group_col is None and bound is None) or (bound is not None and bound <= MAX_BROADCAST_WORDS):
-        v = F.broadcast(v)
+    if num_words is not None:
+        v = v.where(F.col("id") < num_words)
     joined = exploded.join(v, lookup_keys, "left")
     # One placeholder row per document survives so empty documents stay.
     joined = joined.where(F.col("id").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonality.functions.text import abs_diff, bytes_to_kib
 
@@ -36,9 +37,11 @@ GAUGES = ("run_time_s", "memory_kib", "cpu_percent", "net_bytes_sent", "net_byte
 MiB = 1024 * 1024
 
 
-def epoch_micros(ts) -> Column:
-    """Microseconds since 1970 of a ``TIMESTAMP_NTZ`` (or ``TIMESTAMP``), zone-free."""
+def epoch_micros(ts, instant: bool = False) -> Column:
+    """Microseconds since 1970, zone-free: of a ``TIMESTAMP`` if ``instant``, else of a ``TIMESTAMP_NTZ``."""
     ts = F.col(ts) if isinstance(ts, str) else ts
+    if instant:
+        return F.unix_micros(ts)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz"))
 
@@ -53,7 +56,7 @@ def request_log(events: DataFrame) -> DataFrame:
     received) = ``event_id * 1500`` / ``event_id * 900 + k``.
     """
     k = F.get_json_object("props", "$.k").cast("double")
-    start_us = epoch_micros("ts")
+    start_us = epoch_micros("ts", isinstance(events.schema["ts"].dataType, T.TimestampType))
     end_us = start_us + F.round(F.col("value") * F.lit(1e6)).cast("bigint")
     log = events.select(
         "event_id", "ts",

@@ -4,8 +4,8 @@ per-title verdict (J3, P4, A2, P5), batched over many titles at once (M6).
 Title lookup rule (the reference asks a remote search service and takes its
 first hit; that ranking is unknown): a request matches a catalogue title when
 both are equal after lower-casing and dropping every character that is not a
-letter or digit; when several titles match, the shortest wins, then the
-smallest.  It is an equi-join on the normalised key followed by a ``min``
+letter or digit; when several titles match, the one spelled exactly as
+requested wins, then the shortest, then the smallest.  It is an equi-join on the normalised key followed by a ``min``
 aggregate, so neither side is ever paired all-with-all and a popular key
 costs one partial row per task.
 """
@@ -34,12 +34,15 @@ def linear_scores(df: DataFrame, coefficients: Sequence[float], intercept: float
     ``margin = intercept + w . x``; ``probability = 1 / (1 + exp(-margin))``;
     ``prediction = 1`` when ``margin > 0`` (probability above 0.5), as
     Spark's and scikit-learn's ``predict`` do.  The weights are a literal
-    array of ``len(coefficients)`` values, evaluated by a JVM lambda.
+    array of ``len(coefficients)`` values, evaluated by a JVM lambda.  Features
+    of another length are an error, not a prediction.
     """
     w = F.array(*[F.lit(float(x)) for x in coefficients])
     x = F.col(features_col).cast("array<double>")
     dot = F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    margin = F.lit(float(intercept)) + dot
+    wrong = F.concat(F.lit(f"{len(coefficients)} features expected, found "), F.coalesce(F.size(x), F.lit(0)).cast("string"))
+    margin = F.when(F.size(x) == len(coefficients), F.lit(float(intercept)) + dot).otherwise(
+        F.raise_error(wrong).cast("double"))
     return (df.withColumn("margin", margin)
               .withColumn("probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
               .withColumn("prediction", F.when(F.col("margin") > 0, F.lit(1)).otherwise(F.lit(0))))
@@ -68,7 +71,8 @@ def resolve_titles(requests: DataFrame, catalogue: DataFrame, request_col: str =
         .where(F.col("_k") != F.lit(""))
     hits = req.join(cat, "_k", "left")
     best = hits.groupBy("request").agg(
-        F.min(F.when(F.col("_t").isNotNull(), F.struct(F.length("_t").alias("l"), F.col("_t").alias("t"))))
+        F.min(F.when(F.col("_t").isNotNull(), F.struct((F.col("_t") != F.col("request")).alias("x"),
+                                                       F.length("_t").alias("l"), F.col("_t").alias("t"))))
         .alias("_m"))
     return best.select(
         "request", F.col("_m.t").alias("title"),
@@ -102,24 +106,18 @@ def title_verdicts(resolved: DataFrame, predictions: DataFrame, title_col: str =
         status.alias("status"))
 
 
-MAX_BROADCAST_TITLES = 1_000_000
-
-
 def wanted_titles(resolved: DataFrame, title_col: str = "title") -> DataFrame:
     """The distinct titles that resolved."""
     return resolved.where(F.col("status") == "ok").select(F.col("title").alias(title_col)).distinct()
 
 
 def requested_reviews(resolved: DataFrame, reviews: DataFrame, title_col: str = "title",
-                      review_col: str = "review", n_wanted: int | None = None) -> DataFrame:
+                      review_col: str = "review") -> DataFrame:
     """The reviews of resolved titles only (a semi-join), empty text as ``''``.
 
-    The wanted-title set is counted first: at most ``MAX_BROADCAST_TITLES``
-    titles are broadcast, so the reviews are filtered where they are read and
-    their text is never shuffled by title.  A larger set falls back to a
-    shuffle join, where AQE splits a hot title.
+    Catalyst picks the join from the size of ``resolved``; written as a table
+    its bytes are known, and a small set of titles filters the reviews where
+    they are read.  Beyond the broadcast threshold both sides shuffle by
+    title, where AQE splits a hot one.
     """
-    wanted = wanted_titles(resolved, title_col)
-    if (n_wanted if n_wanted is not None else wanted.count()) <= MAX_BROADCAST_TITLES:
-        wanted = F.broadcast(wanted)
-    return default_empty(reviews.join(wanted, title_col, "left_semi"), review_col)
+    return default_empty(reviews.join(wanted_titles(resolved, title_col), title_col, "left_semi"), review_col)

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SPLIT_STEPS = 1_000_000
+
+
 def key_hash_hex(key, seed: int) -> Column:
     """``md5(key || ':' || seed)`` as 32 hex digits."""
     key = F.col(key) if isinstance(key, str) else key
@@ -19,26 +22,34 @@ def key_hash_hex(key, seed: int) -> Column:
 
 
 def split_bucket(key, seed: int = 42) -> Column:
-    """0..99 from the first 8 hex digits of the key hash."""
+    """0..999,999 from the first 8 hex digits of the key hash."""
     head = F.conv(F.substring(key_hash_hex(key, seed), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(head, F.lit(100)).cast("int")
+    return F.pmod(head, F.lit(SPLIT_STEPS)).cast("int")
+
+
+def _cut(test_size: float) -> int:
+    """The first test bucket; a share too small or large for the steps is an error, not an empty side."""
+    cut = round((1.0 - test_size) * SPLIT_STEPS)
+    if not 0.0 <= test_size <= 1.0 or (0.0 < test_size < 1.0 and cut in (0, SPLIT_STEPS)):
+        raise ValueError(f"test_size {test_size} is not a share in steps of {1 / SPLIT_STEPS}")
+    return cut
 
 
 def holdout_split(df: DataFrame, key_col: str = "doc_id", test_size: float = 0.2,
                   seed: int = 42, out: str = "split") -> DataFrame:
     """Adds ``out`` = ``'train'`` or ``'test'``; about ``test_size`` are test."""
-    cut = int(round((1.0 - test_size) * 100))
+    cut = _cut(test_size)
     return df.withColumn(
         out, F.when(split_bucket(key_col, seed) < F.lit(cut), F.lit("train")).otherwise(F.lit("test")))
 
 
 def train_rows(df: DataFrame, key_col: str = "doc_id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    cut = int(round((1.0 - test_size) * 100))
+    cut = _cut(test_size)
     return df.where(split_bucket(key_col, seed) < F.lit(cut))
 
 
 def test_rows(df: DataFrame, key_col: str = "doc_id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    cut = int(round((1.0 - test_size) * 100))
+    cut = _cut(test_size)
     return df.where(split_bucket(key_col, seed) >= F.lit(cut))
 
 

@@ -24,18 +24,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _rank_order():
-    return (F.desc("n"), F.asc("first"))
+    return (F.desc("n"), F.asc("first"), F.asc("word"))   # the word tells rows with equal keys apart
 
 
-def first_key(key_col: str, pos_col: str) -> "F.Column":
+def first_key(key_col: str, pos_col: str, whole: bool = True) -> "F.Column":
     """``(key, pos)`` packed into one orderable ``decimal(38,0)``: ``key * 2^31 + pos``.
 
     A single numeric ``min`` keeps the count a hash aggregate; a ``min`` over
-    a struct would force a sort-based aggregate (a sort of every token).
+    a struct would force a sort-based aggregate (a sort of every token).  Keys
+    that are not whole numbers take the struct all the same.
     """
+    if not whole:
+        return F.struct(F.col(key_col).alias("key"), F.col(pos_col).alias("pos"))
     return (F.col(key_col).cast("decimal(38,0)") * F.lit(2 ** 31).cast("decimal(38,0)")
             + F.col(pos_col).cast("decimal(38,0)")).cast("decimal(38,0)")
 
@@ -48,10 +52,11 @@ def word_counts(df: DataFrame, words_col: str = "words", key_col: str = "doc_id"
     latter makes Catalyst infer ``size(words) > 0`` and push that filter (and
     with it the whole tokenisation) below joins that would have dropped rows.
     """
+    whole = isinstance(df.schema[key_col].dataType, T.IntegralType)
     exploded = df.select(*by, key_col, F.posexplode_outer(words_col).alias("pos", "word")) \
         .where(F.col("word").isNotNull())
     return exploded.groupBy(*by, "word").agg(
-        F.count(F.lit(1)).alias("n"), F.min(first_key(key_col, "pos")).alias("first"))
+        F.count(F.lit(1)).alias("n"), F.min(first_key(key_col, "pos", whole)).alias("first"))
 
 
 def _check_num_words(num_words: int) -> None:
@@ -71,9 +76,13 @@ def fit_vocabulary(df: DataFrame, num_words: int = 10000, words_col: str = "word
 
 def fit_vocabulary_by(df: DataFrame, group_col: str, num_words: int = 10000,
                       words_col: str = "words", key_col: str = "doc_id",
-                      salt_buckets: int = 32) -> DataFrame:
-    """M7: one vocabulary per group, ``(group, word, n, id)``."""
+                      salt_buckets: int | None = None) -> DataFrame:
+    """M7: one vocabulary per group, ``(group, word, n, id)``.
+
+    ``salt_buckets`` defaults to the session's number of shuffle partitions,
+    which is set with the data's size."""
     _check_num_words(num_words)
+    salt_buckets = salt_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     k = num_words - 1
     counts = word_counts(df, words_col, key_col, by=[group_col])
     salted = counts.withColumn("_salt", F.pmod(F.xxhash64("word"), F.lit(salt_buckets)))

@@ -22,3 +22,11 @@ def idf_weights(df: DataFrame, words_col: str = "words", key_col: str = "doc_id"
     m = df.agg(F.count(F.lit(1)).alias("m")).scalar()
     idf = F.log((m + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return dfreq.select("word", "df", idf.alias("idf"))
+
+
+def tfidf_weights(df: DataFrame, words_col: str = "words", key_col: str = "doc_id") -> DataFrame:
+    """``(key, word, tf, tfidf)``: each word's count in each document, weighted by its idf."""
+    tf = df.select(key_col, F.explode_outer(words_col).alias("word")).where(F.col("word").isNotNull()) \
+        .groupBy(key_col, "word").agg(F.count(F.lit(1)).alias("tf"))
+    idf = idf_weights(df, words_col, key_col).select("word", "idf")
+    return tf.join(idf, "word").select(key_col, "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))

@@ -33,7 +33,8 @@ def preprocess(df: DataFrame, text_col: str = "value", key_col: str = "doc_id",
 
     ``fit_on='all'`` fits the vocabulary on every row, as the reference does;
     ``'train'`` fits it on the hash-split train rows only, so hold-out words
-    do not leak into the ids.  A given ``vocab`` is used as is.
+    do not leak into the ids.  Of a given ``vocab`` the ids below ``max_words``
+    are used.
     """
     words = tokenize(df, text_col, [key_col, *carry])
     if vocab is None:
@@ -50,13 +51,10 @@ def preprocess(df: DataFrame, text_col: str = "value", key_col: str = "doc_id",
 
 def preprocess_by_group(df: DataFrame, group_col: str, text_col: str = "value",
                         key_col: str = "doc_id", max_words: int = 10000,
-                        max_len: int = 100, n_groups: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """M7: the vocabulary refitted inside each group (the serving variant).
-
-    ``n_groups``, when the caller knows it, bounds the vocabulary size (see
-    :func:`tonality.operators.encode.encode`)."""
+                        max_len: int = 100) -> tuple[DataFrame, DataFrame]:
+    """M7: the vocabulary refitted inside each group (the serving variant)."""
     words = tokenize(df, text_col, [key_col, group_col])
     vocab = fit_vocabulary_by(words, group_col, max_words, key_col=key_col)
     seqs = encode(words, vocab, keys=[key_col, group_col], group_col=group_col,
-                  num_words=max_words, n_groups=n_groups)
+                  num_words=max_words)
     return pad(seqs, max_len), vocab

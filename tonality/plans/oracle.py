@@ -87,7 +87,7 @@ def ids_text(seq: str) -> str:
 
 
 def split_bucket(key: str, seed: int = 42) -> str:
-    return f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT) % 100)"
+    return f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT) % 1000000)"
 
 
 def padded_ctes(max_words: int = 10000, max_len: int = 100, source_sql: str = REVIEWS,

@@ -7,13 +7,15 @@ fixed length -> model scores (M4, M5) -> mean per title (A2) -> verdict (P5).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tonality.operators.score import requested_reviews, resolve_titles, title_verdicts, wanted_titles
+from tonality.operators.score import requested_reviews, resolve_titles, title_verdicts
 from tonality.plans.features import preprocess, preprocess_by_group
 from tonality.session import shared_dir
+from tonality.sources.stages import read_stage, write_stage
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -31,12 +33,12 @@ def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
     serving code does.  ``average='vote'`` averages hard predictions,
     ``'mean_prob'`` the class-1 probabilities.
     """
-    # One row per request; used twice (filter and verdict), so materialised once
-    # in the shared checkpoint folder.
-    shared_dir(requests.sparkSession)
-    resolved = resolve_titles(requests, catalogue).checkpoint(eager=True)
-    n_titles = wanted_titles(resolved).count()
-    wanted = requested_reviews(resolved, reviews, n_wanted=n_titles)
+    # One row per request; used twice (filter and verdict), so written once to the
+    # shared folder, which also tells Catalyst its size.
+    spark = requests.sparkSession
+    path = write_stage(resolve_titles(requests, catalogue), shared_dir(spark, "requests", uuid.uuid4().hex))
+    resolved = read_stage(spark, path)
+    wanted = requested_reviews(resolved, reviews)
     if vocab_scope == "training":
         if vocab is None:
             raise ValueError("vocab_scope='training' needs the training vocabulary")
@@ -44,7 +46,7 @@ def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
                               max_words=max_words, max_len=max_len, vocab=vocab)
     elif vocab_scope == "per_title":
         feats, _ = preprocess_by_group(wanted, "title", text_col="review", key_col="doc_id",
-                                       max_words=max_words, max_len=max_len, n_groups=n_titles)
+                                       max_words=max_words, max_len=max_len)
     else:
         raise ValueError("vocab_scope must be 'training' or 'per_title'")
     scored = scorer(feats)

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.operators.select import best_run
-from tonality.operators.split import holdout_split, shuffled
+from tonality.operators.split import holdout_split
 from tonality.operators.train import LOGISTIC_GRID, train_logistic_grid
 from tonality.plans.features import preprocess
 from tonality.sources.runs import log_runs, search_runs
-from tonality.sources.stages import (new_stage_root, read_features, read_raw, write_features,
+from tonality.sources.stages import (new_stage_root, read_features, read_raw, save_model, write_features,
                                      write_raw)
 from tonality.sources.text_files import load_labelled_dirs
 
-EXPERIMENT = "Logistic_Regression_Experiments"
+EXPERIMENT = "review-logistic-grid"
 
 
 def build_features(spark: SparkSession, reviews: DataFrame, max_words: int = 10000,
@@ -37,7 +37,7 @@ def build_features(spark: SparkSession, reviews: DataFrame, max_words: int = 100
 
 
 def train_and_log(spark: SparkSession, features: DataFrame, experiment: str = EXPERIMENT,
-                  grid=LOGISTIC_GRID, root: str | None = None, parallelism: int = 12,
+                  grid=LOGISTIC_GRID, root: str | None = None, parallelism: int = 2,
                   test_size: float = 0.2, seed: int = 42, save_models: bool = True) -> DataFrame:
     """M1 + M3 + S7: fits the grid on the hash-split train rows, logs one run per config,
     and returns the logged runs of ``experiment`` (S8)."""
@@ -64,18 +64,25 @@ def best_model(spark: SparkSession, experiment: str = EXPERIMENT, root: str | No
     return row.run_id, PipelineModel(stages=[LogisticRegressionModel.load(row.model_path)])
 
 
+def promote(spark: SparkSession, target: str, experiment: str = EXPERIMENT, root: str | None = None):
+    """Saves the best run's model once more, at ``target`` (the copy that serving loads); its run id."""
+    run_id, model = best_model(spark, experiment, root)
+    if model is not None:
+        save_model(model, target)
+    return run_id
+
+
 def train_from_text_dirs(spark: SparkSession, data_root: str, classes=None, experiment: str = EXPERIMENT,
                          root: str | None = None, max_words: int = 10000, max_len: int = 100,
                          grid=LOGISTIC_GRID, seed: int = 42):
     """The reference's training script as one Spark job chain.
 
     ``data_root/<class>/*.txt`` (default ``pos`` = 1, ``neg`` = 0) -> one row
-    per line with its label (S1, S2, U1) -> repeatable shuffle (K1) -> raw and
-    feature stages (S5, S6) -> the grid (M1, M3) -> run log (S7) -> best run
+    per line with its label (S1, S2, U1) -> raw and feature stages (S5, S6; the
+    split hashes keys, so no shuffled order K1 is needed) -> the grid (M1, M3) -> run log (S7) -> best run
     and its model (A6, S10).  Returns ``(runs, best_run_id, best_model)``.
     """
     reviews = load_labelled_dirs(spark, data_root, classes).select("doc_id", "value", "label")
-    reviews = shuffled(reviews, "doc_id", seed).drop("shuffle_key")
     feats, _ = build_features(spark, reviews, max_words, max_len)
     root = root or posixpath.join(new_stage_root(spark, "tracking"))
     runs = train_and_log(spark, feats, experiment, grid, root, seed=seed)

@@ -35,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.tonality.spreadTo", str(shuffle_partitions))   # test tables are one row group each
         .config("spark.driver.memory", os.environ.get("TONALITY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.warehouse.dir", posixpath.join(scratch, "warehouse"))
         .config("spark.local.dir", posixpath.join(scratch, "local"))
@@ -50,9 +51,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     Written tables (run log, stages, stream checkpoints, saved models) go
     here.  The location is read from the session (``spark.checkpoint.dir``
-    or the context's checkpoint dir).  Only when neither is set - a local
-    test - a temporary folder is created and registered as the checkpoint
-    dir, so later calls agree.
+    or the context's checkpoint dir).  Only when neither is set in a local
+    session - a test - a temporary folder is created and registered as the
+    checkpoint dir, so later calls agree; on a cluster that is an error, as
+    executors do not share such a folder.
     """
     global _FALLBACK_DIR
     sc = spark.sparkContext
@@ -62,6 +64,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         sc.setCheckpointDir(configured)      # named by the cluster: make checkpoint() use it
     base = configured or current
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _FALLBACK_DIR is None:
             _FALLBACK_DIR = tempfile.mkdtemp(prefix="tonality-ckpt-")
         sc.setCheckpointDir(_FALLBACK_DIR)

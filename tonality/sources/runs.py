@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import posixpath
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,10 +60,17 @@ def _experiments_path(root: str) -> str:
 def search_experiments(spark: SparkSession, root: str | None = None) -> DataFrame:
     """``experiment_id, name, artifact_location, lifecycle_stage``."""
     root = root or default_root(spark)
+    return _table(spark, _experiments_path(root), EXPERIMENT_SCHEMA).dropDuplicates(["experiment_id"])
+
+
+def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, without rows if nothing was ever written there; other errors are raised."""
     try:
-        return spark.read.schema(EXPERIMENT_SCHEMA).parquet(_experiments_path(root))
-    except Exception:  # nothing logged yet
-        return spark.createDataFrame([], EXPERIMENT_SCHEMA)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def log_experiments(names: DataFrame, root: str) -> None:
@@ -81,9 +89,9 @@ def log_runs(runs: DataFrame, experiment: str | None = None, root: str | None =
     """Append runs ``(run_id, start_ts, params, accuracy, roc_auc, f1_score[, model_path])``.
 
     The experiment is ``experiment`` or, when that is None, each row's
-    ``experiment`` column.  The runs are computed once, by the write; the
-    experiment names are then taken from the partition folders just written.
-    Returns the root used.
+    ``experiment`` column.  Runs whose id the experiment already has are left
+    out, so a repeated call adds nothing.  A given experiment is registered by
+    its name; else the names come from the rows.  Returns the root used.
     """
     spark = runs.sparkSession
     root = root or default_root(spark)
@@ -99,13 +107,19 @@ def log_runs(runs: DataFrame, experiment: str | None = None, root: str | None =
           for m in ("accuracy", "roc_auc", "f1_score")],
         (F.col("model_path") if "model_path" in cols else F.lit(None).cast("string")).alias("model_path"),
         F.col("experiment").cast("string"))
-    out.write.mode("append").partitionBy("experiment").parquet(posixpath.join(root, "runs"))
-    log_experiments(search_runs(spark, None, root).select("experiment"), root)
+    known = search_runs(spark, experiment, root).select("run_id", "experiment")
+    new = out.dropDuplicates(["run_id", "experiment"]).join(known, ["run_id", "experiment"], "left_anti").select(*out.columns)
+    new.write.mode("append").partitionBy("experiment").parquet(posixpath.join(root, "runs"))
+    log_experiments(spark.range(1).select(F.lit(experiment).alias("experiment")) if experiment is not None
+                    else out.select("experiment"), root)
     return root
 
 
-def search_runs(spark: SparkSession, experiment: str | None = None, root: str | None = None) -> DataFrame:
-    """Runs of one experiment (partition-pruned) or of all."""
+def search_runs(spark: SparkSession, experiment: str | None = None, root: str | None = None,
+                experiment_id: str | None = None) -> DataFrame:
+    """Runs of one experiment - by name (partition-pruned) or by id - or of all."""
     root = root or default_root(spark)
-    runs = spark.read.schema(RUN_SCHEMA).parquet(posixpath.join(root, "runs"))
+    runs = _table(spark, posixpath.join(root, "runs"), RUN_SCHEMA)
+    if experiment_id is not None:
+        runs = runs.where(F.col("experiment_id") == experiment_id)
     return runs if experiment is None else runs.where(F.col("experiment") == experiment)

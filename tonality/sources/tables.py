@@ -21,26 +21,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
-    """A table whose text is about to be tokenised: spread if under-split."""
-    return spread(table(spark, sf_dir, name), key)
+SPREAD_SETTING = "spark.tonality.spreadTo"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an input read in fewer splits than the cluster has cores.
+def text_table(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id",
+               spread_to: int | None = None) -> DataFrame:
+    """A table whose text is about to be tokenised, spread over ``spread_to`` partitions if asked to.
 
-    A Parquet file is split by row groups; a table stored as one large row
-    group is otherwise tokenised by a single task.  Only then (the input is
-    by definition small next to the cluster) the rows are hash-partitioned
-    on ``key`` over the default parallelism; a large input already has more
-    splits than cores and is left as it is, with no shuffle.
+    Without the argument the session's ``spark.tonality.spreadTo`` counts; where
+    neither is set the scan's own splits stay and nothing is shuffled.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
-        return df
-    return df if splits >= cores else df.repartition(cores, key)
+    if spread_to is None:
+        setting = spark.conf.get(SPREAD_SETTING, None)
+        spread_to = int(setting) if setting else None
+    return spread(table(spark, sf_dir, name), key, spread_to)
+
+
+def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Hash-spreads ``df`` over ``parts`` partitions; ``None`` leaves it as it is.
+
+    A Parquet file is split by row groups, so a table stored as one row group
+    is tokenised by a single task.  Whether its text is worth a shuffle is the
+    caller's decision, never made from sizes or core counts here.
+    """
+    return df if parts is None else df.repartition(parts, key)
 
 
 def labelled_reviews(spark: SparkSession, sf_dir: str, with_title: bool = False) -> DataFrame:

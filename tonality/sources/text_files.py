@@ -5,9 +5,11 @@ reference's behaviour) or one per file with ``wholetext=True``; the class
 label is a literal.  ``load_labelled_dirs`` reads several class folders in a
 single scan and takes each row's label from its file path.
 
-Rows get a ``doc_id``: the scan-order id (``monotonically_increasing_id``),
-which is unique and, for an unchanged set of files, the same on every read
-- the text source has no line number of its own.
+Rows get a ``doc_id``: a 64-bit hash of the file's path and the line's number,
+so it is the same on every read, in every load and however files are packed
+into partitions.  For the line number a file is read as one row and then
+split, so a file must fit a row (review files are small); with
+``wholetext=True`` it stays that row.
 """
 
 from __future__ import annotations
@@ -20,29 +22,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _read(spark: SparkSession, paths: str | list[str], wholetext: bool) -> DataFrame:
+    """``(doc_id, value, file)``: a row per line or file; ``file`` is the decoded path."""
+    # a path is URI-encoded, not form-encoded: a plus sign stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    files = spark.read.text(paths, wholetext=True).select("value", path.alias("file"))
+    if not wholetext:
+        body = F.regexp_replace("value", r"(\r\n|\r|\n)\z", "")
+        lines = F.when(F.col("value") != "", F.split(body, r"\r\n|\r|\n"))
+        files = files.select("file", F.posexplode(lines).alias("line", "value"))
+        return files.select(F.xxhash64("file", "line").alias("doc_id"), "value", "file")
+    return files.select(F.xxhash64("file", F.lit(0)).alias("doc_id"), "value", "file")
+
+
 def load_reviews(spark: SparkSession, path: str, label: int, wholetext: bool = False,
                  with_key: bool = True) -> DataFrame:
     """S1 + S2: ``(doc_id, value, label)`` from ``path/*.txt``."""
-    df = spark.read.text(posixpath.join(path, "*.txt"), wholetext=wholetext)
-    df = df.withColumn("label", F.lit(int(label)))
-    if with_key:
-        df = df.select(F.monotonically_increasing_id().alias("doc_id"), "value", "label")
-    return df
+    df = _read(spark, posixpath.join(path, "*.txt"), wholetext)
+    return df.select(*(["doc_id"] if with_key else []), "value", F.lit(int(label)).alias("label"))
 
 
 def load_labelled_dirs(spark: SparkSession, root: str, classes: Mapping[str, int] | None = None,
                        wholetext: bool = False) -> DataFrame:
     """S1 + S2 in one scan: ``(doc_id, value, label, file)`` for ``root/<class>/*.txt``."""
     classes = dict(classes or {"pos": 1, "neg": 0})
-    paths = [posixpath.join(root, c, "*.txt") for c in classes]
-    df = spark.read.text(paths, wholetext=wholetext).select(
-        "value", F.col("_metadata.file_path").alias("file"))
+    df = _read(spark, [posixpath.join(root, c, "*.txt") for c in classes], wholetext)
     folder = F.element_at(F.split("file", "/"), -2)
-    label = F.lit(None).cast("int")
+    label = F.raise_error(F.concat(F.lit("no class for folder "), folder)).cast("int")
     for name, value in classes.items():
         label = F.when(folder == F.lit(name), F.lit(int(value))).otherwise(label)
-    return df.select(F.monotonically_increasing_id().alias("doc_id"), "value",
-                     label.alias("label"), "file")
+    return df.select("doc_id", "value", label.alias("label"), "file")
 
 
 REQUEST_SCHEMA = T.StructType([
@@ -54,13 +63,15 @@ REQUEST_SCHEMA = T.StructType([
 
 
 def flatten_reviews(nested: DataFrame, title_col: str = "title", reviews_col: str = "reviews",
-                    content_field: str = "content") -> DataFrame:
+                    content_field: str = "content", keep_empty: bool = False) -> DataFrame:
     """S3 + P4: ``(title, review_id, review)``; a review without content becomes ``''``.
 
-    A title with no reviews yields no row here; the catalogue join keeps it
-    (status ``no_reviews``).
+    A title with no reviews yields no row, so that scoring reports it as
+    ``no_reviews``; ``keep_empty`` keeps it as one row with a null
+    ``review_id`` and an empty review.
     """
-    ex = nested.select(title_col, F.posexplode(reviews_col).alias("review_id", "_r"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    ex = nested.select(title_col, explode(reviews_col).alias("review_id", "_r"))
     return ex.select(F.col(title_col).alias("title"), "review_id",
                      F.coalesce(F.col(f"_r.{content_field}"), F.lit("")).alias("review"))
 

@@ -8,8 +8,11 @@ dropped.  Two sinks:
 * ``append`` mode to a Parquet folder - each window is written once, when
   the watermark passes its end (the production form; windows still open at
   the end of input are withheld);
-* ``complete`` mode through ``foreachBatch`` - every trigger rewrites the full
-  result table, which then equals the batch result.
+* ``update`` mode through ``foreachBatch`` - every trigger writes the windows it
+  changed to a folder of its own (a retried trigger replaces that folder), and
+  ``latest_windows`` reads the newest version of each, open ones included.
+
+Either way the state holds only the windows that the watermark keeps open.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ import posixpath
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tonality.operators.metrics import request_log, resample
@@ -46,21 +50,33 @@ def metrics_stream(events: DataFrame, interval: str = "10 seconds", watermark: s
 
 def start_metrics_stream(spark: SparkSession, source: str, out_dir: str | None = None,
                          interval: str = "10 seconds", watermark: str = "10 minutes",
-                         mode: str = "append", by=("handler",)) -> tuple[StreamingQuery, str]:
-    """Starts the stream; returns ``(query, output folder)``."""
-    schema = spark.read.parquet(source.replace("[", "").replace("]", "")).schema
-    events = file_stream(spark, source, schema)
+                         mode: str = "append", by=("handler",), schema=None) -> tuple[StreamingQuery, str]:
+    """Starts the stream; returns ``(query, output folder)``.
+
+    ``schema`` is that of the files; without it, it is read from the folder
+    ``source`` (a glob needs it given).
+    """
+    events = file_stream(spark, source, schema or spark.read.parquet(source).schema)
     agg = metrics_stream(events, interval, watermark, by)
     root = out_dir or shared_dir(spark, "streams", "metrics", uuid.uuid4().hex)
     out, ckpt = posixpath.join(root, "out"), posixpath.join(root, "checkpoint")
     if mode == "append":
         q = (agg.writeStream.outputMode("append").format("parquet")
              .option("path", out).option("checkpointLocation", ckpt).start())
-    elif mode == "complete":
-        def rewrite(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-        q = (agg.writeStream.outputMode("complete").foreachBatch(rewrite)
+    elif mode == "update":
+        def write_changes(batch: DataFrame, epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(posixpath.join(out, f"batch={epoch}"))
+        q = (agg.writeStream.outputMode("update").foreachBatch(write_changes)
              .option("checkpointLocation", ckpt).start())
     else:
-        raise ValueError("mode must be 'append' or 'complete'")
+        raise ValueError("mode must be 'append' or 'update'")
     return q, out
+
+
+def latest_windows(spark: SparkSession, out: str, by=("handler",)) -> DataFrame:
+    """The newest version of every window that an ``update`` stream wrote below ``out``."""
+    changes = spark.read.parquet(out)
+    keys = ["window_start_s", *by]
+    values = [c for c in changes.columns if c not in (*keys, "batch")]
+    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    return newest.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
