@@ -152,8 +152,9 @@ def parity(members: np.ndarray) -> bytes:
 
 
 def _scan_sets(docs: DataFrame, width: int) -> DataFrame:
-    """One pass: a row per document ``(key, n, k)`` and each task's sketch ``(part, block, counts)``."""
+    """One pass: a row per document ``(key, n, k, map)`` and each task's sketch ``(part, block, counts)``."""
     kind = dict(docs.dtypes)["key"]
+    names = ["key", "n", "k", "map", "part", "block", "counts"]
     extra = MOST_LIGHT * 2 + BLOCKS - (MOST_LIGHT * 2) % BLOCKS
 
     def run(batches):
@@ -162,12 +163,13 @@ def _scan_sets(docs: DataFrame, width: int) -> DataFrame:
         for b in batches:
             key_type = b.column(0).type
             data, off = utf8(b.column(1))
-            sizes, keys = [], []
+            sizes, keys, maps = [], [], []
             for i, j in pieces(off):
                 found = []
                 for m in shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i], width):
                     sizes.append(len(m))
                     keys.append(set_key(m))
+                    maps.append(parity(m))
                     found.append(m)
                     if len(m) < extra:
                         total[CELLS + len(m)] += 1
@@ -175,17 +177,17 @@ def _scan_sets(docs: DataFrame, width: int) -> DataFrame:
                 total[:CELLS] += np.bincount(cells, minlength=CELLS).astype(np.int32)
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()), pa.nulls(n, pa.int32()),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["key", "n", "k", "part", "block", "counts"])
+                [b.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()), pa.array(maps, pa.binary()),
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if key_type is not None:
             part = TaskContext.get().partitionId()
             cut = total.reshape(BLOCKS, -1)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(BLOCKS, key_type), pa.nulls(BLOCKS, pa.int32()), pa.nulls(BLOCKS, pa.int64()),
-                 pa.array([part] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()),
-                 pa.array([x.tobytes() for x in cut], pa.binary())], ["key", "n", "k", "part", "block", "counts"])
+                 pa.nulls(BLOCKS, pa.binary()), pa.array([part] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()),
+                 pa.array([x.tobytes() for x in cut], pa.binary())], names)
 
-    return docs.mapInArrow(run, f"key {kind}, n int, k long, part int, block int, counts binary")
+    return docs.mapInArrow(run, f"key {kind}, n int, k long, map binary, part int, block int, counts binary")
 
 
 def _entries(docs: DataFrame, sketch, boundary: int, width: int, percent: int) -> DataFrame:
@@ -271,9 +273,11 @@ def _first_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "sig long, k long, n int, kind byte, u long, un int")
 
 
-def _member_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(k, n, map, members)`` of the wanted sets, read again from one document each."""
-    chosen = docs.join(wanted.select("key", "k"), "key")
+def _member_sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``(k, members)`` of the sets in ``pairs (u, v)``, read again from one document each."""
+    asked = pairs.select(F.col("u").alias("k")).unionAll(pairs.select(F.col("v").alias("k"))).distinct()
+    wanted = via_table(nodes.select("key", "k").join(asked, "k"), "asked")
+    chosen = docs.join(wanted, "key")
 
     def run(batches):
         for b in batches:
@@ -282,17 +286,15 @@ def _member_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 found = zip(b.column(0).slice(i, j - i).to_pylist(),
                             shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i], width))
                 sets = [(k, m) for k, m in found if set_key(m) == k]    # keys may repeat with other texts
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in sets], pa.int64()), pa.array([len(m) for _, m in sets], pa.int32()),
-                     pa.array([parity(m) for _, m in sets], pa.binary()),
-                     pa.array([m.tobytes() for _, m in sets], pa.binary())], ["k", "n", "map", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sets], pa.int64()),
+                                                  pa.array([m.tobytes() for _, m in sets], pa.binary())], ["k", "members"])
 
-    return chosen.select("k", "text").mapInArrow(run, "k long, n int, map binary, members binary")
+    return chosen.select("k", "text").mapInArrow(run, "k long, members binary")
 
 
-def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` whose parity maps allow a link."""
-    maps = sets.select("k", "n", "map")
+    maps = nodes.select("k", "n", "map")
     both = (pairs.join(maps.select(F.col("k").alias("u"), F.col("n").alias("un"), F.col("map").alias("um")), "u")
             .join(maps.select(F.col("k").alias("v"), F.col("n").alias("vn"), F.col("map").alias("vm")), "v"))
 
@@ -313,9 +315,10 @@ def _close(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.
     return differ <= total - 2 * -(-percent * total // (100 + percent))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` that are links, by counting common members."""
-    members = sets.select("k", "members")
+    pairs = via_table(pairs, "pairs")
+    members = via_table(_member_sets(docs, pairs, nodes, width), "members")
     both = (pairs.join(members.select(F.col("k").alias("u"), F.col("members").alias("um")), "u")
             .join(members.select(F.col("k").alias("v"), F.col("members").alias("vm")), "v"))
 
@@ -332,7 +335,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def _left_pairs(lists: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _left_pairs(lists: DataFrame, known: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that a list still holds, where the parity maps allow a link.
 
     A list is cut into sides of about ``SIDE`` entries; each pair of sides is
@@ -343,7 +346,7 @@ def _left_pairs(lists: DataFrame, known: DataFrame, sets: DataFrame, percent: in
     mixed = named.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("z"),
                                      F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("sides")).where("a <> z")
     rows = (named.join(mixed.select("sig", "sides"), "sig")
-            .join(sets.select("k", "map"), "k")
+            .join(nodes.select("k", "map"), "k")
             .withColumn("side", F.pmod(F.xxhash64("k"), F.col("sides")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))))
     rows = rows.select(F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "sig", "side", "k", "n",
@@ -381,7 +384,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     workers_import(spark)
     plain = cast_like(docs, key, text).toDF("key", "text")
     scanned = via_table(_scan_sets(plain, width), "sets")
-    rows = scanned.where("block IS NULL").select("key", "n", "k")
+    rows = scanned.where("block IS NULL").select("key", "n", "k", "map")
     sums = sum_blocks(scanned.where("block IS NOT NULL").select("part", "block", "counts"), BLOCKS)
     if any(s is None for s in sums):
         return rows.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"),
@@ -396,16 +399,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     tried = (first.where("kind <= 0 AND u <> k").select(F.least("u", "k").alias("u"), F.greatest("u", "k").alias("v"))
              .distinct())
     lists = first.where("kind <= 0").select("sig", "k", "n")
-    one = rows.where("n > 0").groupBy("k").agg(F.min("key").alias("key"))
-    wanted = one.join(lists.select("k").distinct(), "k", "left_semi")
-    sets = via_table(_member_sets(plain, wanted.where("key IS NOT NULL"), width).dropDuplicates(["k"]), "members")
-    links = via_table(sure.unionAll(_links(_may_link(tried, sets, percent), sets, percent)), "links")
+    nodes = via_table(rows.where("n > 0").groupBy("k").agg(F.min("key").alias("key"), F.min("n").alias("n"),
+                                                           F.min("map").alias("map")), "nodes")
+    links = via_table(sure.unionAll(_links(plain, _may_link(tried, nodes, percent), nodes, width, percent)), "links")
     known = components(links)
-    more = _links(_left_pairs(lists, known, sets, percent), sets, percent)
-    more = via_table(more, "links")
+    more = via_table(_links(plain, _left_pairs(lists, known, nodes, percent), nodes, width, percent), "links")
     final = components(links.unionAll(more)) if more.limit(1).count() else known
 
-    named = one.join(final.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
+    named = (nodes.select("k", "key").join(final.withColumnRenamed("node", "k"), "k", "left")
+             .withColumn("c", F.coalesce("component", "k")))
     smallest = named.groupBy("c").agg(F.min("key").alias("component_id"))
     by_set = named.join(smallest, "c").select("k", "component_id")
     out = rows.where("n > 0").join(by_set, "k").select("key", "n", "component_id") \
