@@ -88,9 +88,9 @@ def op6_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's importance weight, rank and decision."""
+    """The documents that the resampling keeps, with their importance weight and rank."""
     out = quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", "log_weight", "key_weight", "rank", "kept")
+    return out.where("kept").select("doc_id", "log_weight", "key_weight", "rank")
 
 
 @register
