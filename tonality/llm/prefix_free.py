@@ -43,7 +43,8 @@ from tonality.llm.common import mix64, pieces, range_bounds, runs_of, shuffle_pa
 
 WIDTH = 50
 GRAM = 24
-BATCHES_A_PART = 2
+BATCH_BYTES = 2 << 20   # text of a batch, about: what a worker holds at once is some dozen times that
+PIECE = 1 << 18         # bytes whose strings are hashed at once
 _ALONE, _SEEN, _MIXED = 0, 1, 2
 _MULTI = np.uint64(0)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -57,20 +58,21 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
+def _of(n: int, known: dict[int, np.ndarray]) -> np.ndarray:
+    """Hashes of all ``n``-byte strings, joined from those of halves; ``known`` holds the single bytes'."""
+    if n not in known:
+        half = 1 << (n.bit_length() - 1)
+        half = half // 2 if half == n else half
+        a, b = _of(half, known), _of(n - half, known)
+        m = len(known[1]) - n + 1
+        known[n] = _join(a[:m], b[half:half + m])
+    return known[n]
+
+
 def _hashes(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all ``gram``-byte and all ``width``-byte strings, by their start."""
-    power = {1: _BYTE[data]}
-
-    def of(n: int) -> np.ndarray:
-        if n not in power:
-            half = 1 << (n.bit_length() - 1)
-            half = half // 2 if half == n else half
-            a, b = of(half), of(n - half)
-            m = len(data) - n + 1
-            power[n] = _join(a[:m], b[half:half + m])
-        return power[n]
-
-    grams = of(gram)
+    known = {1: _BYTE[data]}
+    grams = _of(gram, known)
     whole, rest = divmod(width, gram)
     out = grams
     for i in range(1, whole):
@@ -78,7 +80,7 @@ def _hashes(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.nda
         out = _join(out[:m], grams[i * gram:i * gram + m])
     if rest:
         m = len(data) - width + 1
-        out = _join(out[:m], of(rest)[whole * gram:whole * gram + m])
+        out = _join(out[:m], _of(rest, known)[whole * gram:whole * gram + m])
     return grams, out
 
 
@@ -117,7 +119,8 @@ class Parse:
             self.lo, self.hi = np.flatnonzero(new), np.flatnonzero(last)
             low = self.lo.astype(np.uint64)
             at = low + ((least[self.lo] - low) & np.uint64(0xFFFFFF))
-            self.trigger = grams[at.astype(np.int64)]
+            # least hashes are small ones: mixed again, so that triggers spread evenly over the buckets
+            self.trigger = mix64(grams[at.astype(np.int64)] ^ np.uint64(0xC2B2AE3D27D4EB4F))
             span = (self.hi - self.lo).astype(np.uint64)
             self.content = np.maximum(mix64(_join(_join(self.suffix[self.lo], self.suffix[self.hi]), span)), np.uint64(1))
             self.text = np.searchsorted(offsets, self.lo, "right") - 1
@@ -137,7 +140,7 @@ class Batch:
         values = self.keys.to_numpy()
         self.rank = np.concatenate([[0], np.cumsum(values[1:] != values[:-1])]) if len(values) else np.empty(0, np.int64)
         parts = []
-        for i, j in pieces(self.offsets):
+        for i, j in pieces(self.offsets, PIECE):
             base = self.offsets[i]
             p = Parse(self.data[base:self.offsets[j]], self.offsets[i:j + 1] - base, width, gram)
             if len(p.lo):
@@ -165,7 +168,7 @@ class Batch:
         starts = np.repeat(lo, n) + within
         hashes = np.empty(len(starts), np.uint64)
         with np.errstate(over="ignore"):        # hashed again, a piece at a time, only where phrases are asked for
-            for i, j in pieces(self.offsets):
+            for i, j in pieces(self.offsets, PIECE):
                 a, z = self.offsets[i], self.offsets[j]
                 x, y = np.searchsorted(starts, [a, z])
                 if y > x:
@@ -283,7 +286,7 @@ def _removed(batch: Batch, answers: pa.Table | None) -> np.ndarray:
     np.minimum.at(least, number, rank)
     one = contents[number] != _MULTI
     whole = (codes[number] == _SEEN) | (one & (rank > least[number]))
-    edge = np.zeros(len(batch.data) + 1, np.int64)
+    edge = np.zeros(len(batch.data) + 1, np.int32)
     np.add.at(edge, batch.lo[whole], 1)
     np.subtract.at(edge, batch.hi[whole] + batch.width, 1)
     if answers is not None:
@@ -304,7 +307,7 @@ def _removed(batch: Batch, answers: pa.Table | None) -> np.ndarray:
         gone = starts[by][r > first]
         np.add.at(edge, gone, 1)
         np.subtract.at(edge, gone + batch.width, 1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def _whole_characters(data: np.ndarray, a: int, z: int, lo: int, hi: int) -> tuple[int, int]:
@@ -346,7 +349,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("boolean")
     plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), rest.alias("rest"))
     parts = shuffle_parts(spark)
-    bounds = range_bounds(plain, "key", BATCHES_A_PART * parts)
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bounds = range_bounds(plain, "key", max(parts, -(-size // BATCH_BYTES)))
     number = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b < F.col("key")))
     batched = plain.where("key IS NOT NULL").withColumn("batch", number).repartition(parts, "batch")
 
