@@ -11,7 +11,8 @@ the one of least cost over the sizes that occur.
 Only links between different sets matter for classes, so equal sets are one
 node.  Lists are scanned in two rounds.  First every entry is paired with the
 first one of compatible size; the pairs are tested and the links' components
-found.  Then the pairs of different components that are left in a list are
+found; so with two more entries of each list that still holds several
+components.  Then the pairs of different components that are left in a list are
 tested: all of them, so no link between components is lost.  A test first
 bounds the difference by 2048-bit parity maps and then counts the common
 members.
@@ -50,6 +51,7 @@ TEST_COST = 4           # a list entry against a subset: it must still be tested
 LIST_ROWS = 20_000      # entries of a list in one task, about
 SIDE = 2048             # entries of a list on a side of a block in the second round
 BITS = 2048
+STAR_TURNS = 2          # further rounds of stars before all pairs that are left
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -335,14 +337,33 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, perc
     return both.mapInArrow(run, "u long, v long")
 
 
+def _named(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """List entries with their component so far."""
+    return (lists.join(known.withColumnRenamed("node", "k"), "k", "left")
+            .withColumn("component", F.coalesce("component", "k")))
+
+
+def _more_stars(lists: DataFrame, known: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs ``(u, v)`` of one entry of each list that holds several components with those of the other ones.
+
+    The entry is another one each turn (the least by a hash), so that big
+    groups grow together before all that is left is paired."""
+    named = _named(lists, known)
+    centre = F.min(F.struct(F.xxhash64(F.lit(turn), "k").alias("h"), "k", "n", "component")).alias("c")
+    mixed = named.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("z"), centre).where("a <> z")
+    both = named.join(mixed.select("sig", "c"), "sig").where(
+        (F.col("component") != F.col("c.component"))
+        & (F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent))
+    return both.select(F.least("k", "c.k").alias("u"), F.greatest("k", "c.k").alias("v")).distinct()
+
+
 def _left_pairs(lists: DataFrame, known: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that a list still holds, where the parity maps allow a link.
 
     A list is cut into sides of about ``SIDE`` entries; each pair of sides is
     a group of its own.
     """
-    named = (lists.join(known.withColumnRenamed("node", "k"), "k", "left")
-             .withColumn("component", F.coalesce("component", "k")))
+    named = _named(lists, known)
     mixed = named.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("z"),
                                      F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("sides")).where("a <> z")
     rows = (named.join(mixed.select("sig", "sides"), "sig")
@@ -403,6 +424,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
                                                            F.min("map").alias("map")), "nodes")
     links = via_table(sure.unionAll(_links(plain, _may_link(tried, nodes, percent), nodes, width, percent)), "links")
     known = components(links)
+    for turn in range(STAR_TURNS):
+        stars = _links(plain, _may_link(_more_stars(lists, known, turn, percent), nodes, percent), nodes, width, percent)
+        links = links.unionAll(via_table(stars, "links"))
+        known = components(links)
     more = via_table(_links(plain, _left_pairs(lists, known, nodes, percent), nodes, width, percent), "links")
     final = components(links.unionAll(more)) if more.limit(1).count() else known
 
