@@ -64,3 +64,25 @@ def test_table(spark):
     got = sorted((str(r.page_id), str(r.url), r.text) for r in H.extract(pages).collect())
     assert got == [("1", "u", ""), ("2", "None", "x"), ("2", "None", "x"), ("None", "v", "")]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def plain(n, chars=200):
+    """``n`` paragraphs of so many letters."""
+    return "".join(f"<p>{'abcdefghij' * (chars // 10)}</p>" for _ in range(n))
+
+
+@pytest.mark.parametrize("outer", ["{}", "<main>{}</main>", "<div>{}</div>"])
+def test_every_article_that_reaches_the_threshold_stays(outer):
+    page = "<body>" + outer.format(f"<article>{plain(6)}</article><article>{plain(5)}</article>") + "</body>"
+    assert H.main_text(page).count("\n\n") == 10
+
+
+def test_paragraphs_outside_the_article_stay():
+    page = f"<body><article>{plain(6)}</article><div>{plain(5)}</div></body>"
+    assert len(H.main_text(page).split("\n\n")) == 11
+    assert H.main_text(f"<body><h1>The headline</h1><article>{plain(4)}</article></body>").startswith("The headline\n\nabc")
+
+
+def test_an_article_takes_no_link_lists_from_outside():
+    links = "<div>" + "".join(f"<p><a href=/{i}>A headline about thing number {i}</a></p>" for i in range(30)) + "</div>"
+    assert H.main_text(f"<body>{links}<article>{plain(3)}</article>{links}</body>").count("\n\n") == 2

@@ -3,9 +3,13 @@
 Every DOM node gets a density: its characters per tag, weighed down by the
 share of characters and tags that are links.  A node's density sum adds up
 its children's densities; the node with the largest sum is the core of the
-article, and the least density on the path from ``body`` to it is the
+article, and the least density on the path from the page's root to it is the
 threshold that other parts of the article must reach.
 
+The whole body is searched: every subtree that reaches the threshold stays.  Where the core
+lies in an ``article`` or ``main``, that element stays whole; it takes nothing
+from the search outside it.  A heading stays with the part it precedes.
+
 Elements that are furniture by their tag, role or class name (menus, page
 headers and footers, sidebars, notices, adverts, forms, scripts, styles,
 reader comments) are left out before densities are computed.
@@ -40,6 +44,7 @@ NAMES = frozenset("""ad ads adsense advert advertisement advertising adverts ban
     respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar
     widget widgets""".split())
 NEVER_FURNITURE = frozenset(["html", "body", "article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: a start tag that ends an open element: tag -> (elements it ends, elements that shield them)
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -187,42 +192,39 @@ def measure(root: Node) -> list[Node]:
 
 
 def select(root: Node) -> list[Node]:
-    """Content subtrees: the maximum-sum one and, in its article, those that reach the path's threshold."""
+    """Content subtrees: the maximum-sum one (its whole article or main) and all in the body that reach the threshold."""
     order = measure(root)
     if not root.chars:
         return []
     for node in order:
         above = node.up.path_min if node.up else math.inf
         node.path_min = min(above, node.density)
-    containers = [n for n in order if n.tag in BLOCKS]
-    best = max(containers, key=lambda n: n.total)
+    best = max((n for n in order if n.tag in BLOCKS), key=lambda n: n.total)
+    threshold = best.path_min
     path = []
     node = best
     while node is not None:
         path.append(node)
         node = node.up
-    for tag in ("article", "main"):
-        named = next((n for n in path if n.tag == tag), None)
-        if named is not None:
-            return [named]
-    below = [n for n in path if n.tag not in ("html", "body")]
-    top = below[-1] if below else best
-    threshold = best.path_min
+    core = next((n for tag in ("article", "main") for n in path if n.tag == tag), best)
+    above = set(path[path.index(core) + 1:])
     chosen: list[Node] = []
-    todo = [top]
+    headings: list[Node] = []               # those right before the next part
+    todo = [root]
     while todo:
-        node = todo.pop(0)
-        if node is best or (node is not top and node.density >= threshold and not _is_on(node, path)):
-            chosen.append(node)
-        else:
-            todo = [p for p in node.parts if isinstance(p, Node) and p.chars] + todo
+        p = todo.pop()
+        if p is core or (p.chars and p not in above and p.density >= threshold):
+            chosen += [*headings, p]
+            headings = []
+        elif p.tag in HEADINGS and p.chars and p not in above:
+            headings.append(p)
+        elif p.tags:
+            todo += [x for x in reversed(p.parts) if isinstance(x, Node)]
+        elif p.chars:
+            headings = []
     return chosen
 
 
-def _is_on(node: Node, path: list[Node]) -> bool:
-    return any(node is p for p in path)
-
-
 def blocks(node: Node) -> list[str]:
     """The subtree's texts, one a block, in page order."""
     out: list[str] = []
