@@ -86,3 +86,14 @@ def test_paragraphs_outside_the_article_stay():
 def test_an_article_takes_no_link_lists_from_outside():
     links = "<div>" + "".join(f"<p><a href=/{i}>A headline about thing number {i}</a></p>" for i in range(30)) + "</div>"
     assert H.main_text(f"<body>{links}<article>{plain(3)}</article>{links}</body>").count("\n\n") == 2
+
+
+def test_sibling_sections_straight_in_body():
+    page = f"<body><section>{plain(6)}</section><section>{plain(5)}</section></body>"
+    assert H.main_text(page).count("\n\n") == 10
+
+
+def test_bare_text_beside_the_core_stays():
+    page = f"<body><div>Bare words<br>of the <b>article</b>.<div>{plain(6)}</div>And an end.</div></body>"
+    lines = H.main_text(page).split("\n\n")
+    assert lines[0] == "Bare words of the article." and lines[-1] == "And an end." and len(lines) == 8

@@ -6,7 +6,8 @@ its children's densities; the node with the largest sum is the core of the
 article, and the least density on the path from the page's root to it is the
 threshold that other parts of the article must reach.
 
-The whole body is searched: every subtree that reaches the threshold stays.  Where the core
+The whole body is searched: every subtree that reaches the threshold stays,
+and so does text that stands directly in a node on the path.  Where the core
 lies in an ``article`` or ``main``, that element stays whole; it takes nothing
 from the search outside it.  A heading stays with the part it precedes.
 
@@ -78,7 +79,8 @@ def is_furniture(tag: str, attrs: str) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "up", "parts", "chars", "link_chars", "tags", "link_tags", "density", "total", "path_min")
+    __slots__ = ("tag", "up", "parts", "chars", "link_chars", "tags", "link_tags", "density", "total", "path_min",
+                 "has_blocks")
 
     def __init__(self, tag: str, up: "Node | None"):
         self.tag, self.up = tag, up
@@ -182,6 +184,7 @@ def measure(root: Node) -> list[Node]:
                 node.chars += len("".join(p.split()))
         if node.tag == "a":
             node.link_chars = node.chars
+        node.has_blocks = any(p is None or isinstance(p, Node) and (p.tag in BLOCKS or p.has_blocks) for p in node.parts)
     body_share = root.link_chars / max(1, root.chars)
     for node in reversed(order):
         node.density = density(node.chars, node.link_chars, node.tags, node.link_tags, body_share)
@@ -191,8 +194,12 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
-def select(root: Node) -> list[Node]:
-    """Content subtrees: the maximum-sum one (its whole article or main) and all in the body that reach the threshold."""
+def select(root: Node) -> list:
+    """What stays, in page order: subtrees, and runs (lists) of text and inline nodes.
+
+    These are the maximum-sum subtree (its whole ``article`` or ``main``) and
+    all that reaches the path's threshold anywhere in the body.
+    """
     order = measure(root)
     if not root.chars:
         return []
@@ -208,25 +215,52 @@ def select(root: Node) -> list[Node]:
         node = node.up
     core = next((n for tag in ("article", "main") for n in path if n.tag == tag), best)
     above = set(path[path.index(core) + 1:])
-    chosen: list[Node] = []
-    headings: list[Node] = []               # those right before the next part
-    todo = [root]
+    chosen: list = []
+    headings: list = []                 # those right before the next part
+    todo: list = [(root, False)]        # nodes and runs; whether a run stands directly on the path
     while todo:
-        p = todo.pop()
-        if p is core or (p.chars and p not in above and p.density >= threshold):
+        p, direct = todo.pop()
+        if isinstance(p, list):
+            chars = sum(len("".join(x.split())) if isinstance(x, str) else x.chars for x in p)
+            nodes = [x for x in p if isinstance(x, Node)]
+            stays = chars and (
+                direct and any(c.isalnum() for x in p if isinstance(x, str) for c in x)
+                or density(chars, sum(n.link_chars for n in nodes), sum(n.tags + 1 for n in nodes),
+                           sum(n.link_tags + (n.tag == "a") for n in nodes),
+                           root.link_chars / root.chars) >= threshold)
+        else:
+            chars = p.chars
+            stays = p is core or (chars and p not in above and p.density >= threshold)
+        if stays:
             chosen += [*headings, p]
             headings = []
-        elif p.tag in HEADINGS and p.chars and p not in above:
+        elif not chars:
+            continue
+        elif not isinstance(p, list) and p.tag in HEADINGS and p not in above:
             headings.append(p)
-        elif p.tags:
-            todo += [x for x in reversed(p.parts) if isinstance(x, Node)]
-        elif p.chars:
+        elif not isinstance(p, list) and (p in above or p.has_blocks):
+            todo += [(x, p in above) for x in reversed(_runs(p))]
+        else:
             headings = []
     return chosen
 
 
-def blocks(node: Node) -> list[str]:
-    """The subtree's texts, one a block, in page order."""
+def _runs(node: Node) -> list:
+    """The node's parts, texts and inline nodes that stand together as one list."""
+    out: list = []
+    joined = False
+    for p in node.parts:
+        inline = isinstance(p, str) or (p is not None and p.tag not in BLOCKS and not p.has_blocks)
+        if inline and joined:
+            out[-1].append(p)
+        elif p is not None:
+            out.append([p] if inline else p)
+        joined = inline
+    return out
+
+
+def blocks(node: Node | list) -> list[str]:
+    """The texts of a subtree or run, one a block, in page order."""
     out: list[str] = []
     line: list[str] = []
 
@@ -237,7 +271,7 @@ def blocks(node: Node) -> list[str]:
                 out.append(text)
             line.clear()
 
-    todo: list = [node]
+    todo: list = list(reversed(node)) if isinstance(node, list) else [node]
     while todo:
         p = todo.pop()
         if p is None:
