@@ -97,3 +97,14 @@ def test_bare_text_beside_the_core_stays():
     page = f"<body><div>Bare words<br>of the <b>article</b>.<div>{plain(6)}</div>And an end.</div></body>"
     lines = H.main_text(page).split("\n\n")
     assert lines[0] == "Bare words of the article." and lines[-1] == "And an end." and len(lines) == 8
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article><p class="byline">By X<p>text</article>', "text"),
+    ('<article><ul><li class="social">a<li>b</ul><p>c</p></article>', "b\n\nc"),
+    ('<article><div class="share"><span>x</div><p>c</p></article>', "c"),
+    ('<article><div><p class="share">x</div><p>c</p></article>', "c"),
+    ("<html><head><title>T</title><body><p>b</p>", "b"), ("<head><meta charset=x><p>b</p>", "b"),
+])
+def test_furniture_without_end_tags(page, text):
+    assert H.main_text(page) == text

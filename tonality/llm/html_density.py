@@ -45,6 +45,7 @@ NAMES = frozenset("""ad ads adsense advert advertisement advertising adverts ban
     respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar
     widget widgets""".split())
 NEVER_FURNITURE = frozenset(["html", "body", "article", "main"])
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: a start tag that ends an open element: tag -> (elements it ends, elements that shield them)
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -80,65 +81,68 @@ def is_furniture(tag: str, attrs: str) -> bool:
 
 class Node:
     __slots__ = ("tag", "up", "parts", "chars", "link_chars", "tags", "link_tags", "density", "total", "path_min",
-                 "has_blocks")
+                 "furniture", "foreign", "has_blocks")
 
-    def __init__(self, tag: str, up: "Node | None"):
-        self.tag, self.up = tag, up
-        self.parts: list = []          # texts and child nodes, in page order
+    def __init__(self, tag: str, up: "Node | None", furniture: bool = False):
+        self.tag, self.up, self.furniture = tag, up, furniture
+        self.foreign = tag in ("svg", "math") or (up is not None and up.foreign)
+        self.parts: list = []          # texts, child nodes and block boundaries (None), in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
 
 
 def parse(page: str) -> Node:
     """The page's tree without furniture; forgiving as browsers are about missing end tags."""
     root = Node("html", None)
-    here, skipped, pos = root, 0, 0     # skipped: open elements inside furniture
-    names: list[str] = []               # their tags
+    body = here = Node("body", root)
+    root.parts.append(body)
+    pos = 0
     for m in _MARKUP.finditer(page):
-        if m.start() > pos and not skipped:
+        if m.start() > pos:
+            here = _out_of_head(here, page[pos:m.start()].strip())
             here.parts.append(page[pos:m.start()])
         pos = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
-        if skipped:
-            if m["end"]:
-                if tag in names:
-                    while names.pop() != tag:
-                        pass
-                    skipped = len(names)
-            elif tag not in VOID and not m["attrs"].endswith("/"):
-                names.append(tag)
-                skipped += 1
-            continue
         if m["end"]:
             node = here
-            while node is not root and node.tag != tag:
+            while node is not body and node.tag != tag:
                 node = node.up
-            if node is not root:
+            if node is not body:
                 here = node.up
             continue
+        here = _out_of_head(here, tag not in IN_HEAD)
         if tag in ("html", "body"):
-            if tag == "body" and here is root:
-                here = Node("body", root)
-                root.parts.append(here)
             continue
-        here = _implied_ends(here, root, tag)
+        here = _implied_ends(here, body, tag)
         if tag in VOID:
             here.parts.append(" " if tag == "br" else Node(tag, here))
-        elif is_furniture(tag, m["attrs"]):
-            if not m["attrs"].endswith("/"):
-                names, skipped = [tag], 1
-            here.parts.append(None)         # a block boundary
-        else:
-            node = Node(tag, here)
-            here.parts.append(node)
+            continue
+        node = Node(tag, here, is_furniture(tag, m["attrs"]))
+        here.parts.append(node)
+        if not (m["attrs"].endswith("/") and (node.foreign or node.furniture)):
             here = node
-    if pos < len(page) and not skipped:
+    if pos < len(page):
         here.parts.append(page[pos:])
+    prune(body)
     return root
 
 
+def _out_of_head(here: Node, content) -> Node:
+    """Content ends a head whose end tag is left out."""
+    return here.up if here.tag == "head" and content else here
+
+
+def prune(body: Node) -> None:
+    """Puts block boundaries in place of furniture."""
+    todo = [body]
+    while todo:
+        node = todo.pop()
+        node.parts = [None if isinstance(p, Node) and p.furniture else p for p in node.parts]
+        todo += [p for p in node.parts if isinstance(p, Node)]
+
+
 def _implied_ends(here: Node, root: Node, tag: str) -> Node:
     """Closes what a start tag closes: an open paragraph before a block, a list item before the next."""
     if tag in BLOCKS:
