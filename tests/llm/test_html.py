@@ -108,3 +108,21 @@ def test_bare_text_beside_the_core_stays():
 ])
 def test_furniture_without_end_tags(page, text):
     assert H.main_text(page) == text
+
+
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'data-href="/hidden-gems"', 'data-id="ad-7"', 'class="no-comments"',
+                                   'class="layout has-sidebar"', 'title="a hidden thing"', 'class="widget"', 'id="login"'])
+def test_attributes_and_wrappers_that_are_no_furniture(attrs):
+    for inner in ("<article>{}</article>", "<div>{}</div>", "{}"):
+        assert H.main_text(f"<body><div {attrs}>{inner.format(ARTICLE)}</div></body>") == TEXT
+    assert H.main_text(f"<article><p {attrs}>some prose</p></article>") == "some prose"
+
+
+def test_links_and_formulas_stay():
+    page = '<article><p>A <a href="/hidden-gems">link</a> and <math><mi>x</mi><mspace/><mo>=</mo><mn>1</mn></math>.</p></article>'
+    assert H.main_text(page) == "A link and x=1."
+
+
+@pytest.mark.parametrize("attrs", ["class=ad", "id='ad-7'", "hidden", 'class="x cookie_banner"', "ROLE=navigation", "id=comment-12"])
+def test_furniture_by_whole_names(attrs):
+    assert H.main_text(f"<article>{ARTICLE}<div {attrs}><p>Not this.</p></div></article>") == TEXT

@@ -13,7 +13,10 @@ from the search outside it.  A heading stays with the part it precedes.
 
 Elements that are furniture by their tag, role or class name (menus, page
 headers and footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments) are left out before densities are computed.
+reader comments) are left out before densities are computed.  Class names and
+ids count as whole names, and a name alone takes out no subtree with most of
+the text, unless the page marks its article (``article``, ``main``, or ``h1``
+with paragraphs) outside that subtree.
 
 The text is one line a block, in page order, joined by an empty line; white
 space within a block becomes one space; character references are decoded.
@@ -36,14 +39,22 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary
     table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-FURNITURE = frozenset("""applet aside audio button canvas datalist dialog footer form head header iframe map math
-    menu nav noscript object option script select style svg template textarea title video""".split())
+FURNITURE = frozenset("""applet aside audio button canvas datalist dialog footer form head header iframe map menu
+    nav noscript object option script select style svg template textarea title video""".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 NAMES = frozenset("""ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs byline
     comment comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation
     newsletter notice notices outbrain pager pagination paywall popup promo promoted promotion recommended related
     respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar
-    widget widgets""".split())
+    widget widgets ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper banner-ad comment-form comment-list
+    comment-respond comments-area comments-list comments-section consent-banner cookie-banner cookie-bar
+    cookie-consent cookie-notice disqus-thread footer-links footer-nav gdpr-banner global-nav header-nav left-sidebar
+    login-form main-menu main-nav main-navigation nav-bar nav-links nav-menu newsletter-form newsletter-signup
+    page-footer page-header post-navigation primary-nav primary-sidebar promo-box recommended-articles
+    recommended-posts related-articles related-content related-links related-posts right-sidebar secondary-sidebar
+    share-bar share-buttons share-links sidebar-left sidebar-right sign-up site-footer site-header site-nav
+    site-navigation skip-link skip-to-content social-icons social-links social-media social-share sponsored-content
+    top-bar top-nav""".split())
 NEVER_FURNITURE = frozenset(["html", "body", "article", "main"])
 IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -59,31 +70,33 @@ _MARKUP = re.compile(
     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?:/?[a-zA-Z]|[!?])[^>]*(?:>|\Z)",                                      # declarations, broken or cut tags
     re.S | re.I)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+")
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NUMBER = re.compile(r"[-_]*\d+\Z")
 
 
-def is_furniture(tag: str, attrs: str) -> bool:
+def furniture(tag: str, attrs: str) -> str:
+    """``sure`` (by tag, role or hidden), ``name`` (only by a class name or id) or empty."""
     if tag in FURNITURE:
-        return True
+        return "sure"
     if not attrs or tag in NEVER_FURNITURE:
-        return False
+        return ""
+    found: dict[str, str] = {}
     for name, a, b, c in _ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value.strip() in ROLES:
-            return True
-        if name in ("class", "id") and not NAMES.isdisjoint(_SPLIT.split(value)):
-            return True
-    return False
+        found.setdefault(name.lower(), (a or b or c).lower())
+    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").strip() in ROLES:
+        return "sure"
+    for value in (found.get("class", ""), found.get("id", "")):
+        for word in value.split():
+            if _NUMBER.sub("", word).replace("_", "-") in NAMES:
+                return "name"
+    return ""
 
 
 class Node:
     __slots__ = ("tag", "up", "parts", "chars", "link_chars", "tags", "link_tags", "density", "total", "path_min",
                  "furniture", "foreign", "has_blocks")
 
-    def __init__(self, tag: str, up: "Node | None", furniture: bool = False):
+    def __init__(self, tag: str, up: "Node | None", furniture: str = ""):
         self.tag, self.up, self.furniture = tag, up, furniture
         self.foreign = tag in ("svg", "math") or (up is not None and up.foreign)
         self.parts: list = []          # texts, child nodes and block boundaries (None), in page order
@@ -119,7 +132,7 @@ def parse(page: str) -> Node:
         if tag in VOID:
             here.parts.append(" " if tag == "br" else Node(tag, here))
             continue
-        node = Node(tag, here, is_furniture(tag, m["attrs"]))
+        node = Node(tag, here, furniture(tag, m["attrs"]))
         here.parts.append(node)
         if not (m["attrs"].endswith("/") and (node.foreign or node.furniture)):
             here = node
@@ -136,11 +149,39 @@ def _out_of_head(here: Node, content) -> Node:
 
 def prune(body: Node) -> None:
     """Puts block boundaries in place of furniture."""
-    todo = [body]
+    order, todo = [], [body]
     while todo:
         node = todo.pop()
-        node.parts = [None if isinstance(p, Node) and p.furniture else p for p in node.parts]
+        order.append(node)
+        node.parts = [None if isinstance(p, Node) and p.furniture == "sure" else p for p in node.parts]
         todo += [p for p in node.parts if isinstance(p, Node)]
+    if not any(n.furniture for n in order):
+        return
+    size: dict[Node, int] = {}
+    rest: dict[Node, int] = {}            # the same without named parts inside
+    marks: dict[Node, list[int]] = {}     # articles, first headings and paragraphs, without those of named parts inside
+    for node in reversed(order):
+        inner = [p for p in node.parts if isinstance(p, Node)]
+        here = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        size[node] = here + sum(size[p] for p in inner)
+        rest[node] = here + sum(rest[p] for p in inner if not p.furniture)
+        own = [node.tag in ("article", "main"), node.tag == "h1", node.tag == "p"] if rest[node] else [0, 0, 0]
+        marks[node] = [sum(x) for x in zip(own, *[marks[p] for p in inner if not p.furniture])]
+    article = lambda m: bool(m[0] or (m[1] and m[2]))
+    work = [(body, article(marks[body]))]
+    while work:
+        node, outside = work.pop()
+        for i, p in enumerate(node.parts):
+            if not isinstance(p, Node):
+                continue
+            inside = outside
+            if p.furniture:
+                inside = article(marks[p])
+                if 2 * size[p] <= size[body] or (outside and not inside):
+                    node.parts[i] = None
+                    continue
+                inside = inside or outside
+            work.append((p, inside))
 
 
 def _implied_ends(here: Node, root: Node, tag: str) -> Node:
