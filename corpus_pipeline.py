@@ -30,8 +30,8 @@ def quality_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest id."""
-    found = jaccard.classes(docs, width=4, percent=85)
+    """One document of each class of near duplicates (5-word shingles, similarity 0.8): the one with the smallest id."""
+    found = jaccard.classes(docs, width=5, percent=80)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
     return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
 

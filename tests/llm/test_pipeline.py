@@ -88,3 +88,22 @@ def test_no_documents(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{base}/{name}.parquet")
     assert corpus_pipeline.run(spark, base).count() == 0
+
+
+def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark, folder):
+    words = [f"w{i}" for i in range(100)]
+    some = [(1, " ".join(words)), (2, " ".join(words + [f"x{i}" for i in range(20)])),            # 96 of 116 at five words
+            (3, " ".join([f"v{i}" for i in range(100)])), (4, " ".join([f"v{i}" for i in range(100)] + [f"y{i}" for i in range(25)])),
+            (5, "a b c d e"), (6, "a b c d f"), (7, "a b c d"), (8, "A b c d"), (9, None), (10, "")]
+    for i in range(30):
+        base = prose(500 + i % 6, 90 + i % 6).split()
+        for e in range(i // 6):
+            base[(23 * e + i) % len(base)] = f"edit{i}{e}"
+        some.append((20 + i, " ".join(base)))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in some],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pairs(corpus_pipeline.distinct_documents(spark, docs, folder))
+    first = {c for _, _, c in brute_classes(some, 5, 80)}
+    assert kept == sorted((x for x in some if x[0] in first), key=str)
+    ids = {i for i, _ in kept}
+    assert 1 in ids and 2 not in ids and {3, 4} <= ids and first != {c for _, _, c in brute_classes(some)}
