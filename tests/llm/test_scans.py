@@ -1,6 +1,8 @@
+import math
 import os
 import re
 import sys
+from itertools import combinations
 
 import pytest
 
@@ -131,3 +133,39 @@ def test_native_plans(spark, name):
     df = licenses.scan(documents(spark)) if name == "scan" else decontaminate.leaks(documents(spark), items(spark, bench_rows()))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_every_pattern_within_the_threshold_holds_a_seed():
+    for agree in (0.8, 0.9, 1.0):
+        for width in range(1, 14):
+            differing = width - math.ceil(agree * width)
+            assert not decontaminate.missed(decontaminate.masks_for(width, agree), width, differing), (width, agree)
+    assert decontaminate.masks_for(13) == decontaminate.MASKS and len(decontaminate.masks_for(3)[0]) == 3
+
+
+def whole_leaks(docs, bench, window=13, agree=0.8):
+    """As ``brute_leaks``, texts and items of any length."""
+    out = set()
+    for i, t in docs:
+        d = plain(t)
+        for item, b in bench:
+            w = plain(b)
+            n = min(window, len(w))
+            for shift in range(-len(w), len(d)) if w else ():
+                same = [0 <= shift + j < len(d) and d[shift + j] == w[j] for j in range(len(w))]
+                if any(sum(same[s:s + n]) >= math.ceil(agree * n) for s in range(len(w) - n + 1)):
+                    out.add((i, item))
+                    break
+    return out
+
+
+def test_all_exchanges_within_the_threshold_are_found(spark):
+    text = [f"w{i}" for i in range(15)]
+    bench = [(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in range(1, 13)] + [(13, " ".join(text[:13])), (15, " ".join(text))]
+    docs = [(n, f"before {b} after") for n, b in bench] + [(20 + n, b) for n, b in bench]
+    for n, (item, b) in enumerate(bench):
+        for k, out in enumerate(combinations(range(len(b.split())), 3 if item == 15 else 2 if item > 9 else 1)):
+            docs.append((1000 * (n + 1) + k, " ".join("x" if j in out else w for j, w in enumerate(b.split()))))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, docs), items(spark, bench)).collect()}
+    assert got == whole_leaks(docs, bench)
+    assert {(8, 8), (9, 9), (28, 8), (29, 9), (3, 3)} <= got and len([p for p in got if p[0] >= 13_000 and p[1] == 13]) >= 78

@@ -7,26 +7,36 @@ Around every hit the two texts are laid word against word: the pair is a leak
 if some window of ``window`` words that holds the seed (the whole item, if it
 is shorter) agrees in at least ``agree`` of its words.
 
+No such pair is missed: whichever words of a window differ, within what
+``agree`` allows, one of the masks falls on equal words only (tests enumerate
+the patterns).  Items for whose length the spaced masks do not reach that are
+looked up by a run of words so short that some such run must be equal, down to
+the whole item; documents are cut into these runs only if such items occur.
+
 Native expressions only.  The benchmark is the stated query set: it is taken
 in blocks of at most ``block_words`` words, each broadcast (a proven bound:
-two seeds a word, 40 bytes each), whatever its size; the documents are not
+three seeds a word, 40 bytes each), whatever its size; the documents are not
 shuffled and the check runs beside their own words.  Seeds of words are
 64-bit hashes; the check compares hashes of words too.
 
 Words are runs of letters and digits, lower case; punctuation is dropped.
-Documents and items that are null, empty or have fewer words than the longest
-mask match nothing.  Repeated rows and items count once a pair, null keys
+Documents and items that are null or have no words match nothing.  Repeated rows and items count once a pair, null keys
 pair like others, other columns are not read, empty tables give no pairs.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: kept positions of each mask
-MASKS = ((0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 7, 9))
+MASKS = ((0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 7, 9), (0, 3, 4, 5, 7, 8))
 SPAN = max(max(m) for m in MASKS) + 1
+SQL_MASKS = MASKS[:2]       # of ``leaks_sql``, which lays both over ``SPAN`` words
+MOST_ENUMERATED = 3         # differing words up to which the spaced masks are tried
 WINDOW = 13
 AGREE = 0.8
 BLOCK_WORDS = 1_000_000
@@ -42,19 +52,40 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: str, at: str) -> Column:
-    """One seed per mask at position ``at``: the mask's number and the kept words' hash."""
-    return F.array(*[F.xxhash64(F.lit(n), *[F.get(F.col(hashes), F.col(at) + o) for o in mask])
-                     for n, mask in enumerate(MASKS)])
+def missed(masks: tuple[tuple[int, ...], ...], width: int, differing: int) -> list[tuple[int, ...]]:
+    """Choices of ``differing`` places in ``width`` words that leave no mask on equal words only."""
+    seeds = [{at + o for o in m} for m in masks for at in range(width - max(m))]
+    return [c for c in combinations(range(width), differing) if not any(seed.isdisjoint(c) for seed in seeds)]
+
+
+def masks_for(width: int, agree: float = AGREE) -> tuple[tuple[int, ...], ...]:
+    """Masks of which one lies on equal words in any window of ``width`` words that agrees enough."""
+    differing = max(0, min(width - 1, width - math.ceil(agree * width)))
+    if differing <= MOST_ENUMERATED and width > max(MASKS[0]) and not missed(MASKS, width, differing):
+        return tuple(m for m in MASKS if max(m) < width)
+    # The equal words stand in at most differing + 1 runs: the longest has at least this many.
+    return (tuple(range(-(-(width - differing) // (differing + 1)))),)
+
+
+def _span(mask: tuple[int, ...]) -> int:
+    return max(mask) + 1
+
+
+def _seed(n: int, mask: tuple[int, ...], hashes: str, at: str) -> Column:
+    """The seed of mask number ``n`` at position ``at``: the kept words' hash, null where the mask does not fit."""
+    return F.when(F.col(at) + _span(mask) <= F.size(hashes),
+                  F.xxhash64(F.lit(n), *[F.get(F.col(hashes), F.col(at) + o) for o in mask]))
 
 
-def _positions(hashes: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.size(hashes) - SPAN))
+def _positions(hashes: str, span: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.size(hashes) - span))
 
 
-def _blocks(items: DataFrame, block_words: int) -> int:
-    total = items.agg(F.sum(F.size("item_hashes"))).first()[0] or 0
-    return max(1, -(-total // block_words))
+def _sizes(items: DataFrame, window: int, block_words: int) -> tuple[int, list[int]]:
+    """The number of blocks and the widths of the items' windows."""
+    size = F.size("item_hashes")
+    total, widths = items.agg(F.sum(size), F.collect_set(F.least(size, F.lit(window)))).first()
+    return max(1, -(-(total or 0) // block_words)), sorted(widths) or [window]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -67,22 +98,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     ``first_word`` (its smallest; below 0 if the item's beginning is cut).
     """
     items = benchmark.select(F.col(f"`{item}`").alias("item"), word_hashes(F.col(f"`{item_text}`")).alias("item_hashes")) \
-        .where(F.size("item_hashes") >= SPAN)
+        .where(F.size("item_hashes") > 0)
+    n_blocks, widths = _sizes(items, window, block_words)
+    of_width = {w: masks_for(w, agree) for w in widths}
+    masks = list(dict.fromkeys(m for w in widths for m in of_width[w]))
+    least = min(map(_span, masks))
     rows = docs.select(F.col(f"`{key}`").alias("key"), word_hashes(F.col(f"`{text}`")).alias("hashes")) \
-        .where(F.size("hashes") >= SPAN)
-    at = rows.select("key", "hashes", _positions("hashes").alias("at"))
-    seeds = at.select("key", "hashes", "at", F.explode(_seeds("hashes", "at")).alias("seed"))
-    n_blocks = _blocks(items, block_words)
+        .where(F.size("hashes") >= least)
+    at = rows.select("key", "hashes", _positions("hashes", least).alias("at"))
+    seeds = at.select("key", "hashes", "at", F.explode(
+        F.array(*[_seed(n, m, "hashes", "at") for n, m in enumerate(masks)])).alias("seed"))
+    width = F.least(F.size("item_hashes"), F.lit(window))
+    of_item = F.array(*[F.struct(
+        F.when(width.isin([w for w in widths if m in of_width[w]]), _seed(n, m, "item_hashes", "item_at")).alias("seed"),
+        F.lit(_span(m)).alias("span")) for n, m in enumerate(masks)])
     found = None
     for b in range(n_blocks):
         block = items.where(F.pmod(F.xxhash64("item", "item_hashes"), F.lit(n_blocks)) == b)
-        item_seeds = (block.select("item", "item_hashes", _positions("item_hashes").alias("item_at"))
-                      .select("item", "item_hashes", "item_at", F.explode(_seeds("item_hashes", "item_at")).alias("seed")))
-        lookup = item_seeds.select("seed", F.xxhash64("item", "item_hashes").alias("item_no"), "item_at").distinct()
+        item_seeds = (block.where(F.size("item_hashes") >= least)
+                      .select("item", "item_hashes", _positions("item_hashes", least).alias("item_at"))
+                      .select("item", "item_hashes", "item_at", F.inline(of_item)).where("seed IS NOT NULL"))
+        lookup = item_seeds.select("seed", F.xxhash64("item", "item_hashes").alias("item_no"), "item_at", "span").distinct()
         texts = block.select(F.xxhash64("item", "item_hashes").alias("item_no"), "item", "item_hashes").distinct()
         hits = (seeds.join(F.broadcast(lookup), "seed")
                 .join(F.broadcast(texts), "item_no")
-                .select("key", "item", "hashes", "item_hashes", "item_at", (F.col("at") - F.col("item_at")).alias("first_word")))
+                .select("key", "item", "hashes", "item_hashes", "item_at", "span",
+                        (F.col("at") - F.col("item_at")).alias("first_word")))
         found = _verified(hits, window, agree) if found is None else found.unionByName(_verified(hits, window, agree))
     pairs = found.groupBy("key", "item").agg(
         *[f(c).cast("long").alias(c) for f, c in ((F.max, "item_words"), (F.max, "matched_words"),
@@ -100,7 +141,7 @@ def _verified(hits: DataFrame, window: int, agree: float) -> DataFrame:
 
     length = F.size("item_hashes")
     width = F.least(F.lit(window), length)
-    first = F.greatest(F.lit(0), F.col("item_at") + SPAN - width)
+    first = F.greatest(F.lit(0), F.col("item_at") + F.col("span") - width)
     last = F.greatest(first, F.least(F.col("item_at"), length - width))
     best = F.array_max(F.transform(F.sequence(first, last), lambda s: agreeing(s, s + width - 1)))
     out = hits.select("key", "item", "first_word", length.alias("item_words"), width.alias("width"),
@@ -112,7 +153,7 @@ def leaks_sql(window: int = WINDOW, agree: float = AGREE) -> str:
     """The same over the views ``documents`` and ``benchmark``."""
     plain = r"trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'))"
     seed = "unnest([" + ", ".join(
-        f"concat_ws(' ', '{n}', " + ", ".join(f"w[a + {o}]" for o in mask) + ")" for n, mask in enumerate(MASKS)) + "])"
+        f"concat_ws(' ', '{n}', " + ", ".join(f"w[a + {o}]" for o in mask) + ")" for n, mask in enumerate(SQL_MASKS)) + "])"
     return f"""
         WITH d AS (SELECT doc_id, string_split({plain}, ' ') AS w FROM documents WHERE {plain} <> ''),
         i AS (SELECT item_id, string_split({plain}, ' ') AS w FROM benchmark WHERE {plain} <> ''),
