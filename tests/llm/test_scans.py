@@ -169,3 +169,19 @@ def test_all_exchanges_within_the_threshold_are_found(spark):
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, docs), items(spark, bench)).collect()}
     assert got == whole_leaks(docs, bench)
     assert {(8, 8), (9, 9), (28, 8), (29, 9), (3, 3)} <= got and len([p for p in got if p[0] >= 13_000 and p[1] == 13]) >= 78
+
+
+def test_full_texts_notices_and_owner_lines(spark):
+    full = dict(licenses._full_texts()[::2])
+    gnu = next(t for i, t in licenses._gnu_notices() if i == "GPL-3.0" and "see <http" in t and "later" in t)
+    wrapped = MIT.replace("The above copyright notice", "The above\ncopyright notice").replace("authors or copyright", "authors or\ncopyright")
+    some = [(i, tag, text) for i, (tag, text) in enumerate(sorted(licenses._full_texts()))]
+    some += [(100 + i, tag, " \n * ".join(text.split("\n"))) for i, (tag, text) in enumerate(sorted(full.items()))]
+    some += [(201, "GPL-3.0", "# Copyright 2020 A\n#\n" + re.sub("(.{60} )", r"\1\n# ", gnu).replace("http:", "https:")),
+             (202, "MPL-2.0", "/* " + re.sub("(.{60} )", r"\1\n * ", licenses._MPL_NOTICE) + " */"),
+             (203, "MIT", "Copyright (c) 2020 X Permission is hereby" + MIT.split("Permission is hereby", 1)[1]),
+             (204, "MIT", "The MIT License (MIT) Copyright (c) 2020 X Y, Inc. " + MIT), (205, "MIT", wrapped),
+             (206, "MIT", "# Copyright 2020 X\n" + MIT), (207, "MIT", " * Copyright (C) 2020 X\n * All rights reserved.\n * " + MIT),
+             (208, "MIT", "Copyright The X Authors\n" + MIT), (209, None, MIT.replace("the following", "no")), (210, None, "(c) you may")]
+    got = {(r.doc_id, r.license_id) for r in licenses.scan(documents(spark, [(i, t) for i, _, t in some])).where("unit = 'text'").collect()}
+    assert got == {(i, tag) for i, tag, _ in some if tag}

@@ -6,9 +6,13 @@ and its SHA-256 is hash-joined with the digests of known license texts and
 notices.  The whole text is looked up, and each of its lines as a text of its
 own, so that a notice inside a document is found as well.
 
-Native expressions only.  The known texts are a fixed list (some hundred
+Native expressions only.  The known texts are a fixed list (some thousand
 rows), so their digests are broadcast; documents are not shuffled.
 
+The full texts are the files of ``license_texts``.  Of the AGPL and of most
+Creative Commons licenses only notices are known, and a notice that takes
+several lines is found only where it is the whole text.
+
 A null or empty text, or one of which nothing is left, matches nothing.
 Repeated rows give repeated hits, null keys are kept; other columns are not
 read.  An empty table gives no hits.
@@ -16,11 +20,22 @@ read.  An empty table gives no hits.
 
 from __future__ import annotations
 
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Lines that only name an owner (after lower-casing).
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# What names an owner (after lower-casing): from a symbol or year at the head of a line, after comment
+# marks and a title, to the line's end or to license text on the same line.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n(©]*(?:(?:dnl|rem)[ \t]+)?"
+    r"(?:(?:the )?(?:mit|isc) license(?: \((?:mit|isc)\))?[^\p{L}\p{N}\n(©]*(?=copyright|\(c\)|©))?"
+    r"(?:(?:copyright|copr\.)[ \t:,]*(?:\(c\)|©|&copy;|[\[<{(]?(?:\d{4}|yyyy|year)\b"
+    r"|the [^\n]*(?:authors|contributors|developers)[ \t.]*$)|©|&copy;|\(c\)[ \t]*(?:copyright|\d{4})|all rights reserved[ \t.]*$)"
+    r"[^\n]*?(?=$|\b(?:permission is hereby granted|permission to use|redistribution and use|(?:licensed|released|distributed)"
+    r" under|this (?:software|program|library|file|work|document|source code) |everyone is permitted|spdx-license-identifier))")
+#: of ``scan_sql``: any line that begins like one
+SQL_COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
 # Spellings that license texts use for one another, as they stand between spaces.
 SAME_SPELLING = (
     ("licenc", "licens"), ("sub licens", "sublicens"), ("non commercial", "noncommercial"),
@@ -91,6 +106,53 @@ TEXTS = (
 )
 
 
+# The files of license_texts, and where each text may end early (its appendix is often left out).
+FULL_TEXTS = (("Apache-2.0", "APPENDIX: How to apply"), ("CC-BY-SA-4.0", None), ("CC0-1.0", None),
+              ("GPL-1.0", "Appendix: How to Apply"), ("GPL-2.0", "How to Apply These Terms to Your New"),
+              ("GPL-3.0", "How to Apply These Terms to Your New"), ("LGPL-2.0", "How to Apply These Terms to Your New"),
+              ("LGPL-2.1", "How to Apply These Terms to Your New"), ("LGPL-3.0", None), ("MPL-1.1", "EXHIBIT A"),
+              ("MPL-2.0", "Exhibit A - Source Code Form"), ("Unlicense", None))
+_MPL_NOTICE = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+               "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+_INCOMPATIBLE = ' This Source Code Form is "Incompatible With Secondary Licenses", as defined by the Mozilla Public License, v. 2.0.'
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """Each full text as it stands and in one line, with and without its appendix."""
+    out = []
+    for tag, appendix in FULL_TEXTS:
+        text = pkgutil.get_data(__package__, f"license_texts/{tag}.txt").decode("utf-8")
+        cut = text.rfind(appendix) if appendix else -1
+        for t in [text] + ([text[:cut]] if cut > 0 else []):
+            out += [(tag, t), (tag, " ".join(t.split()))]
+    return out
+
+
+def _gnu_notices() -> list[tuple[str, str]]:
+    """The usual notices of several lines: "This program is free software ..."."""
+    ends = ["If not, see <http://www.gnu.org/licenses/>", "If not, see <http://gnu.org/licenses/>"]
+    ends += [f"if not, write to the Free Software Foundation, Inc., {street}, {city}{usa}" for usa in ("", " USA") for street, city in (
+        ("51 Franklin Street, Fifth Floor", "Boston, MA 02110-1301"), ("51 Franklin St, Fifth Floor", "Boston, MA 02110-1301"),
+        ("59 Temple Place, Suite 330", "Boston, MA 02111-1307"), ("59 Temple Place - Suite 330", "Boston, MA 02111-1307"),
+        ("675 Mass Ave", "Cambridge, MA 02139"))]
+    out = []
+    for tag, name, versions in (("GPL", "General", ("2", "3")), ("LGPL", "Lesser General", ("2", "2.1", "3")),
+                                ("LGPL", "Library General", ("2",)), ("AGPL", "Affero General", ("3",))):
+        name = f"GNU {name} Public License"
+        for v in versions:
+            for what in ("program", "library", "software", "file"):
+                for later in (f"either version {v} of the License, or (at your option) any later version",
+                              f"version {v} of the License", f"version {v}"):
+                    head = (f"This {what} is free software; you can redistribute it and/or modify it under the terms of the {name} "
+                            f"as published by the Free Software Foundation; {later}. This {what} is distributed in the hope that "
+                            "it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+                            f"FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details.")
+                    got = f" You should have received a copy of the {name} along with this {what}"
+                    out += [(v if "." in v else v + ".0", t) for t in (head, *[f"{head}{got}; {end}." for end in ends])]
+                    out[-len(ends) - 1:] = [(f"{tag}-{n}", t) for n, t in out[-len(ends) - 1:]]
+    return out
+
+
 def _notices() -> list[tuple[str, str]]:
     """One-line notices: each usual wording with each license name."""
     named = [("MIT", "the MIT License"), ("ISC", "the ISC License"), ("Unlicense", "the Unlicense"),
@@ -113,6 +175,10 @@ def _notices() -> list[tuple[str, str]]:
 
 def known_texts() -> list[tuple[str, str]]:
     """``(license_id, text)`` of everything that is looked up."""
+    return [*_sql_texts(), *_full_texts(), *_gnu_notices(), ("MPL-2.0", _MPL_NOTICE), ("MPL-2.0", _MPL_NOTICE + _INCOMPATIBLE)]
+
+
+def _sql_texts() -> list[tuple[str, str]]:
     return [*TEXTS, *_notices()]
 
 
@@ -150,7 +216,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def _sql_canonical(col: str) -> str:
-    line = COPYRIGHT_LINE.replace("'", "''")
+    line = SQL_COPYRIGHT_LINE.replace("'", "''")
     out = f"regexp_replace(lower({col}), '{line}', '', 'g')"
     out = f"' ' || trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
     for old, new in SAME_SPELLING:
@@ -159,9 +225,9 @@ def _sql_canonical(col: str) -> str:
 
 
 def scan_sql() -> str:
-    """The same over the view ``documents``."""
+    """The scan over the view ``documents`` without the full texts and notices of several lines, whole copyright lines out."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quote(i)}, {quote(t)})" for i, t in known_texts())
+    values = ", ".join(f"({quote(i)}, {quote(t)})" for i, t in _sql_texts())
     return f"""
         WITH known AS (SELECT sha256({_sql_canonical('text')}) AS digest, min(license_id) AS license_id
                        FROM (VALUES {values}) AS t(license_id, text) GROUP BY 1),
