@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonality.llm import (adsampling, decontaminate, forced_bpe, html_density, jaccard, length_histogram, licenses,
-                          prefix_free, quality, repair)
+from tonality.llm import (adaptive_rules, adsampling, decontaminate, forced_bpe, html_density, jaccard, length_histogram,
+                          licenses, prefix_free, quality, repair, spelling, turn_repair)
 from tonality.llm.common import run_dir, via_table
 from tonality.sources.tables import table
 
@@ -110,3 +110,24 @@ def op9_size_aware_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_density.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@register
+def op11_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's rule figures and whether it stays under its language's and source's thresholds."""
+    return adaptive_rules.judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_adaptive_rules"] = adaptive_rules.judge_sql()
+
+
+@register
+def op12_survivor_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: their faults and the cheapest repair."""
+    return turn_repair.audit(turn_repair.damage(table(spark, sf_dir, "conversations")), present="present")
+
+
+@register
+def op13_bit_sliced_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every longer word of the documents with its near words, form and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
