@@ -292,14 +292,14 @@ def title_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NORM = r"'[^\p{L}\p{N}]'"
 
 
-def _resolve_ctes(catalogue: str, requests: str) -> str:
+def _resolve_ctes(catalogue: str, requests: str, on: str = "rk.k = ck.k") -> str:
     return f"""cat AS ({catalogue}),
 req AS (SELECT DISTINCT request FROM ({requests})),
 rk AS (SELECT request, regexp_replace(lower(request), {_NORM}, '', 'g') AS k FROM req),
 ck AS (SELECT * FROM (SELECT title, regexp_replace(lower(title), {_NORM}, '', 'g') AS k FROM cat) WHERE k <> ''),
 hit AS (SELECT rk.request, ck.title, row_number() OVER (PARTITION BY rk.request
         ORDER BY CASE WHEN ck.title = rk.request THEN 0 ELSE 1 END, length(ck.title), ck.title) AS rn
-        FROM rk LEFT JOIN ck ON rk.k = ck.k),
+        FROM rk LEFT JOIN ck ON {on}),
 res AS (SELECT request, title, CASE WHEN title IS NULL THEN 'invalid_title' ELSE 'ok' END AS status
         FROM hit WHERE rn = 1)"""
 
@@ -336,8 +336,10 @@ def q_title_resolution_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- J3 P4 A2 P5 (M6 with the pinned scorer) ------------------------------------
-@register("title_sentiment", f"""
-WITH {RESOLVE_CTES},
+def title_sentiment_sql(resolve_ctes: str) -> str:
+    """Verdicts of the requests that ``resolve_ctes`` names, pinned scorer and training vocabulary."""
+    return f"""
+WITH {resolve_ctes},
 {O.words_ctes(O.REVIEWS)},
 {O.vocab_ctes(MAX_WORDS)},
 {O.words_ctes("SELECT d.doc_id, d.source AS title, coalesce(d.text, '') AS value FROM documents d "
@@ -351,7 +353,10 @@ SELECT res.request, res.title, coalesce(pt.n_reviews, 0) AS n_reviews, round(pt.
   CASE WHEN pt.n_reviews IS NULL THEN NULL WHEN pt.score >= 0.5 THEN 'Positive' ELSE 'Negative' END AS sentiment,
   CASE WHEN res.status <> 'ok' THEN res.status WHEN pt.n_reviews IS NULL THEN 'no_reviews' ELSE 'ok' END AS status
 FROM res LEFT JOIN pt ON res.title = pt.title
-""")
+"""
+
+
+@register("title_sentiment", title_sentiment_sql(RESOLVE_CTES))
 def q_title_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS)
     out = score_titles(title_requests(spark, sf_dir), title_catalogue(spark, sf_dir),
@@ -859,3 +864,6 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in QUERIES.items() if v[1] is not None}
+
+
+from tonality.plans import request_queries, title_queries  # noqa: E402,F401  (they register more queries)

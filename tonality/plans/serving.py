@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tonality.operators.score import requested_reviews, resolve_titles, title_verdicts
+from tonality.operators.search import TitleIndex, search_titles
 from tonality.plans.features import preprocess, preprocess_by_group
 from tonality.session import shared_dir
 from tonality.sources.stages import read_stage, write_stage
@@ -23,9 +24,12 @@ Scorer = Callable[[DataFrame], DataFrame]
 def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
                  scorer: Scorer, vocab: DataFrame | None = None, max_words: int = 10000,
                  max_len: int = 100, vocab_scope: str = "training", average: str = "vote",
-                 threshold: float = 0.5) -> DataFrame:
+                 threshold: float = 0.5, index: TitleIndex | None = None) -> DataFrame:
     """``(request, title, n_reviews, score, sentiment, status)``.
 
+    With an ``index`` of the catalogue a request finds the first title that contains it
+    (``operators/search``), else the title that equals it.
+
     ``reviews`` is ``(title, doc_id, review)``; ``scorer`` adds ``prediction``
     and ``probability`` to a ``(doc_id, title, features)`` frame.
     ``vocab_scope='training'`` encodes with ``vocab`` (the training ids);
@@ -36,7 +40,8 @@ def score_titles(requests: DataFrame, catalogue: DataFrame, reviews: DataFrame,
     # One row per request; used twice (filter and verdict), so written once to the
     # shared folder, which also tells Catalyst its size.
     spark = requests.sparkSession
-    path = write_stage(resolve_titles(requests, catalogue), shared_dir(spark, "requests", uuid.uuid4().hex))
+    found = resolve_titles(requests, catalogue) if index is None else search_titles(requests, index)
+    path = write_stage(found, shared_dir(spark, "requests", uuid.uuid4().hex))
     resolved = read_stage(spark, path)
     wanted = requested_reviews(resolved, reviews)
     if vocab_scope == "training":
