@@ -113,34 +113,40 @@ def gauges(log: DataFrame, by: Sequence[str] = ("instance",),
 
 
 def counter_deltas(log: DataFrame, values: Sequence[str] = ("net_bytes_sent", "net_bytes_recv"),
-                   instance_col: str = "instance", bucket_us: int = 3_600_000_000) -> DataFrame:
-    """``value - previous value`` per instance in call order (null for the first call).
-
-    ``bucket_us`` is the time slice that bounds each window partition
-    (default one hour: a window partition holds one instance-hour of calls,
-    and the carry table has at most one row per non-empty instance-hour).
+                   instance_col: str = "instance", bucket_us: int = 3_600_000_000, expire_us: int | None = None) -> DataFrame:
+    """By how much each counter grew since the instance's previous call, in call order.
+
+    A counter that fell was reset (its host started anew), so it counts from zero: its growth is its value.  The
+    first call has none (null), and so has, with ``expire_us``, a call that comes longer than that after
+    the previous one.  ``bucket_us`` is the time slice that bounds each window partition (default one hour:
+    a window partition holds one instance-hour of calls, and the carry table has at most one row per non-empty
+    instance-hour).
     """
     order = ["start_us", "event_id"]
     b = F.floor(F.col("start_us") / F.lit(bucket_us)).cast("bigint")
     keyed = log.select(instance_col, *order, *values, b.alias("_b"))
+    kept = [*values, "start_us"]
 
     # Level 1: previous call inside the same (instance, bucket).
     w = Window.partitionBy(instance_col, "_b").orderBy(*order)
     inner = keyed.withColumn("_rn", F.row_number().over(w))
-    for v in values:
+    for v in kept:
         inner = inner.withColumn(f"_prev_{v}", F.lag(v).over(w))
 
     # Level 2: last call of each bucket, then the previous non-empty bucket's last call.
     last = keyed.groupBy(instance_col, "_b").agg(
-        *[F.max_by(F.col(v), order_key(*order)).alias(f"_last_{v}") for v in values])
+        *[F.max_by(F.col(v), order_key(*order)).alias(f"_last_{v}") for v in kept])
     wb = Window.partitionBy(instance_col).orderBy("_b")
-    carry = last.select(instance_col, "_b", *[F.lag(f"_last_{v}").over(wb).alias(f"_carry_{v}") for v in values])
+    carry = last.select(instance_col, "_b", *[F.lag(f"_last_{v}").over(wb).alias(f"_carry_{v}") for v in kept])
 
     j = inner.join(carry, [instance_col, "_b"], "left")
+    before = {v: F.when(F.col("_rn") == 1, F.col(f"_carry_{v}")).otherwise(F.col(f"_prev_{v}")) for v in kept}
     out = [instance_col, *order]
     for v in values:
-        prev = F.when(F.col("_rn") == 1, F.col(f"_carry_{v}")).otherwise(F.col(f"_prev_{v}"))
-        out.append((F.col(v) - prev).alias(f"{v}_delta"))
+        grown = F.when(F.col(v) < before[v], F.col(v)).otherwise(F.col(v) - before[v])
+        if expire_us is not None:
+            grown = F.when(F.col("start_us") - before["start_us"] <= F.lit(expire_us), grown)
+        out.append(grown.alias(f"{v}_delta"))
     return j.select(*out)
 
 

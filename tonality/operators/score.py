@@ -95,6 +95,11 @@ def title_verdicts(resolved: DataFrame, predictions: DataFrame, title_col: str =
     """
     per_title = predictions.groupBy(F.col(title_col).alias("title")).agg(
         F.count(F.lit(1)).alias("n_reviews"), F.avg(F.col(value_col).cast("double")).alias("score"))
+    return join_verdicts(resolved, per_title, threshold)
+
+
+def join_verdicts(resolved: DataFrame, per_title: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """J3 + P5: one row per request from ``per_title (title, n_reviews, score)``."""
     j = resolved.join(per_title, "title", "left")
     status = (F.when(F.col("status") != "ok", F.col("status"))
               .when(F.col("n_reviews").isNull(), F.lit("no_reviews")).otherwise(F.lit("ok")))

@@ -1,12 +1,22 @@
-"""Registered queries of the request log as a scraper sees it, with their oracles."""
+"""Registered queries of the request log as a scraper sees it and as keyed streams, with their oracles."""
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tonality.operators.metrics import counter_deltas, epoch_micros, request_log
 from tonality.operators.scrape import scraped_counters, scraped_gauges
-from tonality.plans.registry import LOG_SQL, _log, register
+from tonality.plans.registry import LOG_SQL, RESAMPLED_SQL, WINDOW_COLUMNS, _log, _round_gauges, register
+from tonality.session import shared_dir
+from tonality.sources.tables import table
+from tonality.streaming.admission import admitted_stream, late_rows, start_admission, start_distinct_metrics
+from tonality.streaming.counters import start_counter_stream
+from tonality.streaming.metrics import file_stream, single_file_glob
 
 SCRAPE_S = 60   # the service's 10 s give 1.3 million rows here, hardly any of them with a request
 
@@ -45,3 +55,100 @@ FROM grid LEFT JOIN cell USING (handler, tick) WINDOW w AS (PARTITION BY handler
 def q_counter_scraped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every handler's counters at every scrape, since the start of the log."""
     return scraped_counters(_log(spark, sf_dir), SCRAPE_S)
+
+
+# --- R4 with resets --------------------------------------------------------------------
+WRAP = {"net_bytes_sent": 4_000_000, "net_bytes_recv": 3_000_000}   # the counters start anew there, as after a restart
+EXPIRE_US = 12 * 3_600_000_000
+
+
+def _wrapped(log: DataFrame) -> DataFrame:
+    return log.withColumns({c: F.col(c) % F.lit(n) for c, n in WRAP.items()})
+
+
+def _grown(c: str) -> str:
+    return (f"CASE WHEN start_us - lag(start_us) OVER w <= {EXPIRE_US} THEN "
+            f"CASE WHEN {c} < lag({c}) OVER w THEN {c} ELSE {c} - lag({c}) OVER w END END AS {c}_delta")
+
+
+RESETS_SQL = f"""
+SELECT instance, start_us, event_id, {_grown("net_bytes_sent")}, {_grown("net_bytes_recv")}
+FROM (SELECT instance, start_us, event_id, {", ".join(f"{c} % {n} AS {c}" for c, n in WRAP.items())} FROM ({LOG_SQL}))
+WINDOW w AS (PARTITION BY instance ORDER BY start_us, event_id)
+"""
+
+
+@register("counter_deltas_resets", RESETS_SQL)
+def q_counter_deltas_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 for counters that fall back to zero and instances that are silent for long."""
+    return counter_deltas(_wrapped(_log(spark, sf_dir)), expire_us=EXPIRE_US)
+
+
+def _finish(q: StreamingQuery) -> None:
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
+@register("counter_deltas_stream", f"""
+SELECT * FROM ({RESETS_SQL}) WHERE start_us < ((SELECT max(epoch_us(ts)) FROM events) // 1000 - 600000) * 1000
+""")
+def q_counter_deltas_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 R7 as a stream: every call that the watermark (10 minutes) has passed."""
+    source = file_stream(spark, single_file_glob(posixpath.join(sf_dir, "events.parquet")), table(spark, sf_dir, "events").schema)
+    q, out = start_counter_stream(spark, _wrapped(request_log(source)), watermark="10 minutes", expire_us=EXPIRE_US)
+    _finish(q)
+    return spark.read.parquet(out)
+
+
+# --- R7 with repeated and late deliveries --------------------------------------------------
+PERIOD_US = 5 * 86_400_000_000       # a delivery holds the events of five days,
+DELAY_US = 2 * PERIOD_US             # those of the five days before once more, and some that are too late
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """Files in order: a period's events twice, the period before again, and the period three before."""
+    events = table(spark, sf_dir, "events")
+    at = epoch_micros("ts")
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    period = F.floor((at - F.lit(first)) / F.lit(PERIOD_US))
+    source = shared_dir(spark, "deliveries", uuid.uuid4().hex)
+    for i in range((last - first) // PERIOD_US + 1):
+        again = events.where(period.isin(i, i - 1, i - 3)).unionAll(events.where(period == i))
+        again.coalesce(1).write.parquet(posixpath.join(source, f"delivery={i:05d}"))
+    return source
+
+
+def _admitted(spark: SparkSession, sf_dir: str) -> str:
+    schema = table(spark, sf_dir, "events").schema
+    arriving = file_stream(spark, posixpath.join(_deliveries(spark, sf_dir), "*", "*.parquet"), schema, max_files_per_trigger=1)
+    q, root = start_admission(spark, arriving, DELAY_US)
+    _finish(q)
+    return root
+
+
+@register("requests_late", f"""
+WITH e AS (SELECT event_id, epoch_us(ts) AS us FROM events),
+p AS (SELECT *, (us - (SELECT min(us) FROM e)) // {PERIOD_US} AS period FROM e),
+m AS (SELECT period, max(max(us)) OVER (ORDER BY period) - {DELAY_US} AS watermark_us FROM p GROUP BY period)
+SELECT event_id, CAST(p.period + 3 AS BIGINT) AS delivery, watermark_us FROM p JOIN m ON m.period = p.period + 2
+WHERE us < watermark_us AND p.period + 3 <= (SELECT max(period) FROM p)
+""")
+def q_requests_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that came behind the watermark, with the delivery they came in and the watermark they missed."""
+    late = late_rows(spark, _admitted(spark, sf_dir))
+    return late.select("event_id", F.col("batch").cast("long").alias("delivery"), "watermark_us")
+
+
+@register("metrics_stream_distinct", f"""
+SELECT * FROM ({RESAMPLED_SQL})
+WHERE (window_start_s + 3600) * 1000000 <= ((SELECT max(epoch_us(ts)) FROM events) // 1000) * 1000 - {DELAY_US}
+""")
+def q_metrics_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 R7 where every event is delivered two to four times: the closed windows of the distinct events."""
+    root = _admitted(spark, sf_dir)
+    q, out = start_distinct_metrics(spark, admitted_stream(spark, root, table(spark, sf_dir, "events").schema),
+                                    interval="1 hour", delay="10 days")
+    _finish(q)
+    return _round_gauges(spark.read.parquet(out).select(*WINDOW_COLUMNS))

@@ -5,6 +5,8 @@ Titles are the first sentences of the documents (and the sources), requests are
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,14 @@ from tonality.operators.reviews import union_reviews
 from tonality.operators.search import index_titles, search_titles
 from tonality.operators.vocab import fit_vocabulary
 from tonality.plans.features import tokenize
-from tonality.plans.registry import (MAX_LEN, MAX_WORDS, _resolve_ctes, pinned_scorer, register, title_sentiment_sql)
+from tonality.plans.registry import (MAX_LEN, MAX_WORDS, RESOLVE_CTES, _resolve_ctes, pinned_scorer, register, title_requests,
+                                     title_sentiment_sql)
 from tonality.plans.serving import score_titles
+from tonality.session import shared_dir
 from tonality.sources.tables import labelled_reviews, table, title_catalogue, title_reviews
+from tonality.streaming.metrics import file_stream
+from tonality.streaming.scoring import freeze_vocabulary
+from tonality.streaming.verdicts import start_review_totals, start_verdict_stream
 
 CONTAINS = "rk.k <> '' AND contains(ck.k, rk.k)"
 
@@ -57,3 +64,25 @@ def q_title_sentiment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_titles(requests, catalogue, title_reviews(spark, sf_dir), pinned_scorer, vocab=vocab,
                        max_words=MAX_WORDS, max_len=MAX_LEN, index=index_titles(catalogue))
     return out.withColumn("score", F.round("score", 6))
+
+
+@register("title_request_stream_incremental", title_sentiment_sql(RESOLVE_CTES))
+def q_title_request_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews arrive in four micro-batches and are scored once each; requests are answered from the totals."""
+    arriving, asked = (shared_dir(spark, "arriving", uuid.uuid4().hex) for _ in range(2))
+    reviews = title_reviews(spark, sf_dir)
+    reviews.repartition(4).write.parquet(arriving)
+    title_requests(spark, sf_dir).write.parquet(asked)
+    vocab = freeze_vocabulary(fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS))
+    stream = file_stream(spark, arriving, reviews.schema, max_files_per_trigger=1)
+    scoring, root = start_review_totals(spark, stream, vocab, pinned_scorer, max_words=MAX_WORDS, max_len=MAX_LEN, compact_every=3)
+    try:
+        scoring.processAllAvailable()
+        answering, out = start_verdict_stream(spark, file_stream(spark, asked, "request string"), title_catalogue(spark, sf_dir), root)
+        try:
+            answering.processAllAvailable()
+        finally:
+            answering.stop()
+    finally:
+        scoring.stop()
+    return spark.read.parquet(out).drop("batch").withColumn("score", F.round("score", 6))
