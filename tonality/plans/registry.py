@@ -163,6 +163,16 @@ def q_padded_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- M1 -------------------------------------------------------------------------
+@register("holdout_split_exact", f"""
+SELECT doc_id, label, CASE WHEN row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42') DESC)
+  <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM ({O.REVIEWS})
+""")
+def q_holdout_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: exactly a fifth of the reviews, rounded up, is held out."""
+    reviews = labelled_reviews(spark, sf_dir).select("doc_id", "label")
+    return split_ops.holdout_split_exact(reviews, "doc_id", test_size=0.2, seed=42)
+
+
 @register("holdout_split", f"""
 SELECT doc_id, label, CASE WHEN {O.split_bucket('doc_id')} < 800000 THEN 'train' ELSE 'test' END AS split
 FROM ({O.REVIEWS})
@@ -377,6 +387,19 @@ def q_title_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_vocabulary_by(words, "title", MAX_WORDS)
 
 
+TOP_WORDS = 200   # fewer than a title's words: most go by the threshold
+
+
+@register("title_vocabulary_top", f"""
+WITH {O.words_ctes("SELECT doc_id, source AS title, text AS value FROM documents", "doc_id, title")},
+{O.vocab_ctes(TOP_WORDS, by="title")}
+SELECT title, word, n, id FROM vocab
+""")
+def q_title_vocabulary_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = tokenize(title_reviews(spark, sf_dir), text_col="review", keep=["doc_id", "title"])
+    return fit_vocabulary_by(words, "title", TOP_WORDS)
+
+
 # --- M1 + K2: vocabulary fitted on the train rows only ---------------------------
 @register("padded_sequences_train_vocab", f"""
 WITH {O.words_ctes(O.REVIEWS)},

@@ -5,14 +5,17 @@ from __future__ import annotations
 import posixpath
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tonality.operators.metrics import counter_deltas, epoch_micros, request_log
+from tonality.operators.latency import (RANK_ERROR, bucket_columns, bucket_quantiles, latency_sketches, merge_sketches,
+                                        sketch_quantiles)
+from tonality.operators.metrics import counter_deltas, epoch_micros, request_log, request_totals
 from tonality.operators.scrape import scraped_counters, scraped_gauges
 from tonality.plans.registry import LOG_SQL, RESAMPLED_SQL, WINDOW_COLUMNS, _log, _round_gauges, register
 from tonality.session import shared_dir
+from tonality.sources.stages import read_stage, write_stage
 from tonality.sources.tables import table
 from tonality.streaming.admission import admitted_stream, late_rows, start_admission, start_distinct_metrics
 from tonality.streaming.counters import start_counter_stream
@@ -152,3 +155,68 @@ def q_metrics_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     interval="1 hour", delay="10 days")
     _finish(q)
     return _round_gauges(spark.read.parquet(out).select(*WINDOW_COLUMNS))
+
+
+# --- A9 by method and status, with quantiles ---------------------------------------------------
+BOUNDS = (1.0, 2.5, 5.0, 10.0, 25.0, 50.0)
+QUANTILES = (0.5, 0.9, 0.99)
+HTTP_SQL = f"""SELECT *, CASE WHEN handler IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
+  CASE WHEN handler <> 'error' THEN 200 WHEN event_id % 3 = 0 THEN 404 ELSE 500 END AS status FROM ({LOG_SQL})"""
+
+
+def _http(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a method and a status, which the events' type and id stand for."""
+    status = F.when(F.col("handler") != "error", 200).when(F.col("event_id") % 3 == 0, 404).otherwise(500)
+    method = F.when(F.col("handler").isin("purchase", "signup"), "POST").otherwise("GET")
+    return _log(spark, sf_dir).withColumns({"method": method, "status": status})
+
+
+def _bucket_sql(q: float) -> str:
+    cases, low, below = [], 0.0, "0"
+    for b, c in zip(BOUNDS, bucket_columns(BOUNDS), strict=True):
+        share = f"CASE WHEN {c} > {below} THEN ({q} * le_inf - {below}) / ({c} - {below}) ELSE 1.0 END"
+        cases.append(f"WHEN {c} >= {q} * le_inf THEN {low} + {b - low} * {share}")
+        low, below = b, c
+    return f"round(CASE {' '.join(cases)} ELSE {BOUNDS[-1]} END, 6) AS p{q * 100:g}"
+
+
+_LE = ", ".join(f"CAST(sum(CASE WHEN run_time_s <= {b} THEN 1 ELSE 0 END) AS BIGINT) AS {c}"
+                for b, c in zip(BOUNDS, bucket_columns(BOUNDS), strict=True))
+
+
+@register("http_metrics", f"""
+WITH t AS (SELECT handler, method, status, count(*) AS requests_total, round(sum(run_time_s), 6) AS duration_sum_s, {_LE},
+                  count(*) AS le_inf FROM ({HTTP_SQL}) GROUP BY handler, method, status)
+SELECT *, {", ".join(_bucket_sql(q) for q in QUANTILES)} FROM t
+""")
+def q_http_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests, seconds, latency buckets and their quantiles by handler, method and status."""
+    t = request_totals(_http(spark, sf_dir), by=("handler", "method", "status"), buckets=BOUNDS)
+    t = bucket_quantiles(t, QUANTILES, BOUNDS)
+    return t.withColumns({c: F.round(c, 6) for c in ("duration_sum_s", *[f"p{q * 100:g}" for q in QUANTILES])})
+
+
+@register("latency_sketches", f"""
+WITH t AS (SELECT (start_us // 86400000000) * 86400 AS window_start_s, method, run_time_s FROM ({HTTP_SQL}))
+SELECT window_start_s, method, count(*) AS n, round(min(run_time_s), 6) AS p0, round(max(run_time_s), 6) AS p100,
+       true AS p50_in_rank, true AS p99_in_rank
+FROM t GROUP BY window_start_s, method
+""")
+def q_latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly sketches by handler and method, stored, then merged to days by method; the rank of each answer is
+    counted among the requests themselves."""
+    log = _http(spark, sf_dir)
+    path = write_stage(latency_sketches(log, "1 hour", by=("handler", "method")), shared_dir(spark, "sketches", uuid.uuid4().hex))
+    days = sketch_quantiles(merge_sketches(read_stage(spark, path), 86_400, by=("method",)), (0, 0.5, 0.99, 1))
+    day = (F.floor(F.col("start_us") / 86_400_000_000) * 86_400).cast("bigint").alias("window_start_s")
+    at = days.select("window_start_s", "method", "p50", "p99")
+    ranks = log.select(day, "method", "run_time_s").join(at, ["window_start_s", "method"]).groupBy("window_start_s", "method").agg(
+        *[F.avg(F.when(F.col("run_time_s") < F.col(c), 1.0).otherwise(0.0)).alias(f"{c}_below") for c in ("p50", "p99")],
+        *[F.avg(F.when(F.col("run_time_s") <= F.col(c), 1.0).otherwise(0.0)).alias(f"{c}_upto") for c in ("p50", "p99")])
+
+    def in_rank(c: str, q: float) -> Column:
+        return ((F.col(f"{c}_below") <= q + RANK_ERROR) & (F.col(f"{c}_upto") >= q - RANK_ERROR)).alias(f"{c}_in_rank")
+
+    return days.join(ranks, ["window_start_s", "method"]).select(
+        "window_start_s", "method", "n", F.round("p0", 6).alias("p0"), F.round("p100", 6).alias("p100"),
+        in_rank("p50", 0.5), in_rank("p99", 0.99))

@@ -6,10 +6,10 @@ label is a literal.  ``load_labelled_dirs`` reads several class folders in a
 single scan and takes each row's label from its file path.
 
 Rows get a ``doc_id``: a 64-bit hash of the file's path and the line's number,
-so it is the same on every read, in every load and however files are packed
-into partitions.  For the line number a file is read as one row and then
-split, so a file must fit a row (review files are small); with
-``wholetext=True`` it stays that row.
+so it is the same on every read, in every load and however files are cut into blocks and packed
+into partitions.  A large file is read by as many tasks as it has blocks: a line's number is its
+number in the block plus the lines of the blocks before, which one small aggregate counts.  With
+``wholetext=True`` a file is one row (and has to fit one).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,13 +26,27 @@ def _read(spark: SparkSession, paths: str | list[str], wholetext: bool) -> DataF
     """``(doc_id, value, file)``: a row per line or file; ``file`` is the decoded path."""
     # a path is URI-encoded, not form-encoded: a plus sign stands for itself
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    files = spark.read.text(paths, wholetext=True).select("value", path.alias("file"))
-    if not wholetext:
-        body = F.regexp_replace("value", r"(\r\n|\r|\n)\z", "")
-        lines = F.when(F.col("value") != "", F.split(body, r"\r\n|\r|\n"))
-        files = files.select("file", F.posexplode(lines).alias("line", "value"))
-        return files.select(F.xxhash64("file", "line").alias("doc_id"), "value", "file")
-    return files.select(F.xxhash64("file", F.lit(0)).alias("doc_id"), "value", "file")
+    if wholetext:
+        files = spark.read.text(paths, wholetext=True).select("value", path.alias("file"))
+        return files.select(F.xxhash64("file", F.lit(0)).alias("doc_id"), "value", "file")
+    return _numbered(spark.read.text(paths).select(
+        "value", path.alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at")))
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with the key of their number in the file, from their number in the block.
+
+    A task reads a block from its start to its end, so ``at`` rises by one from line to line; the block's least
+    ``at`` and its number of lines, one row per block, give the rest by a sum over the blocks before it.
+    """
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    number = F.col("at") + F.col("shift")
+    # numbers are hashed as the 32-bit ones they are in all but the largest files
+    key = F.when(number < 2 ** 31, F.xxhash64("file", number.try_cast("int"))).otherwise(F.xxhash64("file", number))
+    return lines.join(starts, ["file", "block"]).select(key.alias("doc_id"), "value", "file")
 
 
 def load_reviews(spark: SparkSession, path: str, label: int, wholetext: bool = False,
