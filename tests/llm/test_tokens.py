@@ -3,6 +3,7 @@ import json
 import os
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,6 +68,75 @@ def test_byte_encoder_is_the_librarys():
         assert ids == packed(lib.encode(text, add_special_tokens=False).ids), text[:80]
 
 
+def _other_files():
+    spec = json.load(open(BYTE, encoding="utf-8"))
+    assert byte_bpe.is_plain(spec)
+    def changed(**parts):
+        return {**spec, **parts}
+    prefix = changed(pre_tokenizer={**spec["pre_tokenizer"], "add_prefix_space": True})
+    whole = changed(pre_tokenizer={**spec["pre_tokenizer"], "use_regex": False})
+    digits = changed(pre_tokenizer={"type": "Sequence", "pretokenizers": [
+        {"type": "Digits", "individual_digits": True}, spec["pre_tokenizer"]]})
+    lower = changed(normalizer={"type": "Lowercase"})
+    merges = list(spec["model"]["merges"])
+    merges[10], merges[400] = merges[400], merges[10]
+    order = changed(model={**spec["model"], "merges": merges})
+    return {"prefix": prefix, "whole": whole, "digits": digits, "lower": lower, "order": order}
+
+
+@pytest.mark.parametrize("name", ["prefix", "whole", "digits", "lower", "order"])
+def test_files_with_other_settings_go_to_the_library(name):
+    from tokenizers import Tokenizer
+    spec = _other_files()[name]
+    assert not byte_bpe.is_plain(spec)
+    text = json.dumps(spec)
+    ours, lib = byte_bpe.ByteEncoder(text), Tokenizer.from_str(text)
+    texts = ["Some 1234 words, AND more\n then", *[t[:3000] for t in ODD], "", "x"]
+    for t, ids in zip(texts, ours.encode(texts)):
+        assert ids == packed(lib.encode(t, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("unit", [[5], [1, 2], [1, 2, 3], list(range(8))])
+def test_runs_shrink_to_about_their_logarithm(unit):
+    a = np.tile(np.array(unit, np.uint32), 16_000 // len(unit))
+    shard = repair.Shard(repair.compress(a, np.array([len(a)])))
+    assert len(shard.seq) <= 2 * repair.LEAST_USES + 2 and len(shard.left) <= 2 * len(unit) + 16
+    assert (shard.expand(shard.seq) == a).all() and (shard.ids(7001, 7043) == a[7001:7043]).all()
+
+
+def test_no_frequent_pair_is_left_and_ids_take_less_than_two_bytes():
+    import pandas as pd
+
+    enc = byte_bpe.ByteEncoder(open(BYTE, encoding="utf-8").read())
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet").sort_values("doc_id")
+    blobs = [b + (2).to_bytes(4, "little") for b in enc.encode(t or "" for t in docs.text)]
+    ids, ends = np.frombuffer(b"".join(blobs), "<u4"), np.cumsum([len(b) // 4 for b in blobs])
+    payload = repair.compress(ids, ends)
+    shard = repair.Shard(payload)
+    assert len(payload) < 1.5 * len(ids) and (shard.expand(shard.seq) == ids).all()
+    inside = np.ones(len(shard.seq), bool)
+    inside[shard.sym_ends[shard.sym_ends > 0].astype(np.int64) - 1] = False
+    left = Counter()
+    before = None
+    for i in np.flatnonzero(inside[:-1]):
+        pair = (shard.seq[i], shard.seq[i + 1])
+        if before == (i - 1, pair):                # overlaps the place before
+            before = None
+            continue
+        left[pair] += 1
+        before = (i, pair)
+    assert max(left.values()) < repair.LEAST_USES
+
+
+@pytest.mark.parametrize("bits", [1, 3, 8, 17, 25, 32])
+def test_packing(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 7, 1000):
+        v = rng.integers(0, 2 ** bits, n, dtype=np.uint64).astype(np.uint32)
+        data = np.frombuffer(repair._pack(v, bits), np.uint8)
+        assert len(data) == repair._packed_bytes(n, bits) and (repair._unpack(data, n, bits) == v).all()
+
+
 def test_round_trip_query_columns(spark):
     lib = reference(WORD)
     out = forced_bpe.round_trip(documents(spark), WORD).collect()

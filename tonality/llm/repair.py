@@ -8,8 +8,10 @@ expansion length of each rule, and the documents' offsets: any document, or
 any range of ids, is decoded by expanding only the symbols that cover it.
 
 Each round replaces all frequent pairs that do not overlap a more frequent
-one (up to ``RULES`` of them), instead of one pair at a time; rounds go on
-until one saves less than ``LEAST_GAIN`` of the symbols.
+one (up to ``RULES`` of them), instead of one pair at a time; of a run of one symbol,
+every other position counts, as in a replacement from left to right.  Rounds go on until no
+pair is left that could be replaced ``LEAST_USES`` times.  Symbols, rules and expansion lengths are
+stored in as many bits as the largest of them needs.
 
 A file is a Parquet table of shards (so that Spark writes and commits it in
 any store), one row a shard: ``part`` and ``part_start`` (ids before it in its
@@ -35,11 +37,9 @@ from tonality.llm.common import cast_like, clean_strings, run_dir, shuffle_parts
 
 SHARD_TOKENS = 1 << 19
 RULES = 4096
-LEAST_USES = 8
-LEAST_GAIN = 0.01
-ROUNDS = 24
+LEAST_USES = 8        # a pair is frequent if so many of its places do not overlap
 
-_HEAD = struct.Struct("<4sIIIQIQ")   # magic, first nonterminal, rules, rounds, symbols, documents, ids
+_HEAD = struct.Struct("<4sIIIQIQBB")   # magic, first nonterminal, rules, rounds, symbols, documents, ids, bits of symbol and length
 
 
 SLOT_BITS = 20
@@ -70,6 +70,39 @@ def _ranked_pairs(pair: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.
     return best, rank
 
 
+def _apart(pair: np.ndarray) -> np.ndarray:
+    """Places that do not overlap the one before with the same pair: every other one of a run of one symbol."""
+    at = np.arange(len(pair))
+    new = np.ones(len(pair), bool)
+    new[1:] = pair[1:] != pair[:-1]
+    return (at - np.maximum.accumulate(np.where(new, at, 0))) % 2 == 0
+
+
+def _bits(values: np.ndarray) -> int:
+    return max(1, int(values.max()).bit_length()) if len(values) else 1
+
+
+def _pack(values: np.ndarray, bits: int) -> bytes:
+    """Unsigned integers of ``bits`` bits each, lowest bit first."""
+    v = values.astype(np.uint32)
+    return np.packbits(((v[:, None] >> np.arange(bits, dtype=np.uint32)) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _packed_bytes(n: int, bits: int) -> int:
+    return -(-n * bits // 8)
+
+
+def _unpack(data: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """The ``n`` integers that ``_pack`` wrote, from four bytes around each."""
+    low = np.arange(n, dtype=np.int64) * bits
+    byte, shift = low >> 3, (low & 7).astype(np.uint64)
+    wide = np.concatenate([data, np.zeros(8, np.uint8)])
+    value = np.zeros(n, np.uint64)
+    for i in range(5):                                    # 32 bits from any bit of a byte
+        value |= wide[byte + i].astype(np.uint64) << np.uint64(8 * i)
+    return ((value >> shift) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> bytes:
     """A shard's payload: ``ids`` of documents that end before the positions ``ends`` (ascending)."""
     seq = ids.astype(np.uint64)
@@ -79,18 +112,15 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> bytes:
     rules: list[np.ndarray] = []
     rounds: list[int] = []
     n_rules = 0
-    while len(seq) > 1 and len(rounds) < ROUNDS:
+    while len(seq) > 1:
         pair = (seq[:-1] << np.uint64(32)) | seq[1:]
-        values, rank = _ranked_pairs(pair, ~last[:-1])
+        values, rank = _ranked_pairs(pair, ~last[:-1] & _apart(pair))
         if not len(values):
             break
         around = np.concatenate([[RULES], rank, [RULES]])
-        take = (rank < RULES) & (rank < around[:-2]) & (rank <= around[2:])
+        take = (rank < RULES) & (rank < around[:-2]) & (rank < around[2:])
         uses = np.bincount(rank[take], minlength=len(values))
-        keep = np.flatnonzero(uses >= LEAST_USES)
-        gain = int(uses[keep].sum())
-        if gain < max(1, LEAST_GAIN * len(seq)):
-            break
+        keep = np.flatnonzero(uses >= LEAST_USES)             # the most frequent pair is always among them
         number = np.full(RULES + 1, -1, np.int64)
         number[keep] = np.arange(len(keep))
         at = np.flatnonzero(take)
@@ -110,12 +140,11 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> bytes:
     sym_ends = np.zeros(len(ends), "<u4")
     sym_ends[np.diff(ends, prepend=0) > 0] = cut
     sym_ends = np.maximum.accumulate(sym_ends) if len(sym_ends) else sym_ends
-    s = seq.astype("<u4")
-    head = _HEAD.pack(b"RPG1", first, n_rules, len(rounds), len(s), len(ends), len(ids))
-    return b"".join([head, np.asarray(rounds, "<u4").tobytes(), left.tobytes(), right.tobytes(),
-                     size[first:].astype("<u4").tobytes(), sym_ends.astype("<u4").tobytes(),
-                     ends.astype("<u4").tobytes(), (s & 0xFFFF).astype("<u2").tobytes(),
-                     (s >> 16).astype("<u2").tobytes()])
+    longest = size[first:]
+    bits, size_bits = _bits(np.concatenate([seq, left, right])), _bits(longest)
+    head = _HEAD.pack(b"RPG2", first, n_rules, len(rounds), len(seq), len(ends), len(ids), bits, size_bits)
+    return b"".join([head, np.asarray(rounds, "<u4").tobytes(), sym_ends.astype("<u4").tobytes(), ends.astype("<u4").tobytes(),
+                     _pack(left, bits), _pack(right, bits), _pack(longest, size_bits), _pack(seq, bits)])
 
 
 def _expansion_lengths(left: np.ndarray, right: np.ndarray, first: int, rounds: list[int]) -> np.ndarray:
@@ -131,21 +160,27 @@ class Shard:
     """Random access to a payload."""
 
     def __init__(self, payload: bytes):
-        magic, self.first, n_rules, n_rounds, n_seq, n_docs, self.n_tokens = _HEAD.unpack_from(payload)
-        if magic != b"RPG1":
+        magic, self.first, n_rules, n_rounds, n_seq, n_docs, self.n_tokens, bits, size_bits = _HEAD.unpack_from(payload)
+        if magic != b"RPG2":
             raise ValueError("not a token shard")
         pos = _HEAD.size
 
-        def take(n: int, kind: str) -> np.ndarray:
+        def take(n: int) -> np.ndarray:
             nonlocal pos
-            out = np.frombuffer(payload, kind, n, pos)
+            out = np.frombuffer(payload, "<u4", n, pos)
             pos += out.nbytes
             return out
 
-        self.rounds = take(n_rounds, "<u4").tolist()
-        self.left, self.right, self.size = take(n_rules, "<u4"), take(n_rules, "<u4"), take(n_rules, "<u4")
-        self.sym_ends, self.ends = take(n_docs, "<u4"), take(n_docs, "<u4")
-        self.seq = take(n_seq, "<u2").astype(np.uint32) | (take(n_seq, "<u2").astype(np.uint32) << np.uint32(16))
+        def unpacked(n: int, wide: int) -> np.ndarray:
+            nonlocal pos
+            data = np.frombuffer(payload, np.uint8, _packed_bytes(n, wide), pos)
+            pos += len(data)
+            return _unpack(data, n, wide)
+
+        self.rounds = take(n_rounds).tolist()
+        self.sym_ends, self.ends = take(n_docs), take(n_docs)
+        self.left, self.right = unpacked(n_rules, bits), unpacked(n_rules, bits)
+        self.size, self.seq = unpacked(n_rules, size_bits), unpacked(n_seq, bits)
         self._starts: np.ndarray | None = None
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
