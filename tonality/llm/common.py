@@ -48,6 +48,16 @@ def via_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Removes the folder of a ``via_table`` frame, once all that was read from it is itself written."""
+    spark = df.sparkSession
+    for path in {posixpath.dirname(f) for f in df.inputFiles()}:
+        if posixpath.basename(posixpath.dirname(path)) != "llm":
+            raise ValueError(f"{path} is not a table of this run")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clean_strings(col: pa.Array) -> pa.Array:
     """The column as plain strings, null as empty."""
     if not pa.types.is_string(col.type):

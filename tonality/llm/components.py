@@ -2,7 +2,7 @@
 
 A node's neighbours are never gathered: each step takes the least neighbour
 by a combinable minimum and joins it back, so a hub's edges may be split.
-Each round's edges are written to the shared folder.
+Each round's edges are written to the shared folder, and the round's before removed.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import via_table
+from tonality.llm.common import drop_table, via_table
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -35,8 +35,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = via_table(edges.where("u <> v").distinct(), "edges")
     seen = _print(now)
     while True:
-        now = via_table(_small(_large(now)).where("u <> v").distinct(), "edges")
+        before, now = now, via_table(_small(_large(now)).where("u <> v").distinct(), "edges")
         new = _print(now)
+        drop_table(before)
         if new == seen:
             break
         seen = new

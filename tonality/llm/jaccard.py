@@ -13,8 +13,10 @@ node.  Lists are scanned in two rounds.  First every entry is paired with the
 first one of compatible size; the pairs are tested and the links' components
 found; so with two more entries of each list that still holds several
 components.  Then the pairs of different components that are left in a list are
-tested: all of them, so no link between components is lost.  A test first
-bounds the difference by 2048-bit parity maps and then counts the common
+tested: all of them, so no link between components is lost.  Sets that meet in
+one list mostly meet in many, so lists with the same least set are
+scanned together and give out a pair once.  A test first
+bounds the difference by parity maps, whose bits grow with the set, and then counts the common
 members.
 
 Scale: rarity is a sketch of fixed size; a list is dealt over more tasks the
@@ -40,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import (SPACE_BYTES, cast_like, mix64, pieces, range_hashes, shuffle_parts, sum_blocks, utf8,
+from tonality.llm.common import (SPACE_BYTES, cast_like, drop_table, mix64, pieces, range_hashes, shuffle_parts, sum_blocks, utf8,
                                  via_table, workers_import)
 from tonality.llm.components import components
 
@@ -50,7 +52,8 @@ MOST_LIGHT = 24         # sizes considered for the boundary
 TEST_COST = 4           # a list entry against a subset: it must still be tested
 LIST_ROWS = 20_000      # entries of a list in one task, about
 SIDE = 2048             # entries of a list on a side of a block in the second round
-BITS = 2048
+BITS = 2048             # of a parity map, at least; two for each member
+PAIRS = 4096            # pairs whose maps are compared at once
 STAR_TURNS = 2          # further rounds of stars before all pairs that are left
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -149,8 +152,46 @@ def subsets(members: np.ndarray, most: int, percent: int):
 
 
 def parity(members: np.ndarray) -> bytes:
-    """The set's parity map: a bit that differs between two maps stands for a member that differs."""
-    return np.packbits((np.bincount((members % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).astype(bool)).tobytes()
+    """The set's parity map: a bit that differs between two maps stands for a member that differs.
+
+    A map of twice the bits folds to the smaller one by an exclusive or of its halves.
+    """
+    bits = max(BITS, 1 << (2 * len(members) - 1).bit_length()) if len(members) else BITS
+    return np.packbits((np.bincount((members % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def _folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Maps (one a row, in 64-bit words) folded to ``words``."""
+    while maps.shape[-1] > words:
+        half = maps.shape[-1] // 2
+        maps = maps[..., :half] ^ maps[..., half:]
+    return maps
+
+
+class Maps:
+    """Parity maps of several lengths, by position."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.words = np.array([len(b) // 8 for b in blobs], np.int64)
+        self.row = np.zeros(len(blobs), np.int64)
+        self.of: dict[int, np.ndarray] = {}
+        for w in np.unique(self.words):
+            at = np.flatnonzero(self.words == w)
+            self.row[at] = np.arange(len(at))
+            self.of[int(w)] = np.frombuffer(b"".join(blobs[i] for i in at), np.uint64).reshape(len(at), -1)
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """For pairs of positions: by how many members the sets differ, at least."""
+        out = np.zeros(len(i), np.int64)
+        sizes = self.words[i] << 32 | self.words[j]
+        for pair in np.unique(sizes):
+            at, a, b = np.flatnonzero(sizes == pair), int(pair >> 32), int(pair & 0xFFFFFFFF)
+            least = min(a, b)
+            for k in range(0, len(at), PAIRS):
+                part = at[k:k + PAIRS]
+                x, y = _folded(self.of[a][self.row[i[part]]], least), _folded(self.of[b][self.row[j[part]]], least)
+                out[part] = np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
+        return out
 
 
 def _scan_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -278,8 +319,7 @@ def _first_pairs(entries: DataFrame, percent: int) -> DataFrame:
 def _member_sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """``(k, members)`` of the sets in ``pairs (u, v)``, read again from one document each."""
     asked = pairs.select(F.col("u").alias("k")).unionAll(pairs.select(F.col("v").alias("k"))).distinct()
-    wanted = via_table(nodes.select("key", "k").join(asked, "k"), "asked")
-    chosen = docs.join(wanted, "key")
+    chosen = docs.join(nodes.select("key", "k").join(asked, "k"), "key")
 
     def run(batches):
         for b in batches:
@@ -304,21 +344,20 @@ def _may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in (b.column("um"), b.column("vm")))
+            maps, at = Maps(b.column("um").to_pylist() + b.column("vm").to_pylist()), np.arange(b.num_rows)
             total = b.column("un").to_numpy().astype(np.int64) + b.column("vn").to_numpy()
-            ok = pa.array(_close(x, y, total, percent))
-            yield b.select(["u", "v"]).filter(ok)
+            yield b.select(["u", "v"]).filter(pa.array(_close(maps.differ(at, at + b.num_rows), total, percent)))
 
     return both.mapInArrow(run, "u long, v long")
 
 
-def _close(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
-    differ = np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
+def _close(differ: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``total`` members together may reach the similarity if they differ by that many."""
     return differ <= total - 2 * -(-percent * total // (100 + percent))
 
 
 def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(u, v)`` that are links, by counting common members."""
+    """The pairs ``(u, v)`` that are links, by counting common members; written as a table."""
     pairs = via_table(pairs, "pairs")
     members = via_table(_member_sets(docs, pairs, nodes, width), "members")
     both = (pairs.join(members.select(F.col("k").alias("u"), F.col("members").alias("um")), "u")
@@ -334,7 +373,10 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, perc
                 ok.append(100 * common >= percent * (len(x) + len(y) - common))
             yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.mapInArrow(run, "u long, v long")
+    out = via_table(both.mapInArrow(run, "u long, v long"), "links")
+    drop_table(pairs)
+    drop_table(members)
+    return out
 
 
 def _named(lists: DataFrame, known: DataFrame) -> DataFrame:
@@ -361,42 +403,66 @@ def _left_pairs(lists: DataFrame, known: DataFrame, nodes: DataFrame, percent: i
     """Pairs of different components that a list still holds, where the parity maps allow a link.
 
     A list is cut into sides of about ``SIDE`` entries; each pair of sides is
-    a group of its own.
+    scanned by itself, together with those of all lists that have the same least entry: sets that meet
+    in many lists mostly meet there, so that a pair is given out about once and a
+    map is sent once, not for each list.
     """
     named = _named(lists, known)
-    mixed = named.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("z"),
-                                     F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("sides")).where("a <> z")
-    rows = (named.join(mixed.select("sig", "sides"), "sig")
-            .join(nodes.select("k", "map"), "k")
+    size = F.count(F.lit(1))
+    sides = F.pow(2, F.ceil(F.log2(F.greatest(size / SIDE, F.lit(1.0))))).cast("int")      # alike in lists of similar size
+    mixed = named.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.min("k").alias("head"),
+                                     sides.alias("sides")).where("a <> z")
+    rows = (named.join(mixed.select("sig", "head", "sides"), "sig")
             .withColumn("side", F.pmod(F.xxhash64("k"), F.col("sides")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))))
-    rows = rows.select(F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "sig", "side", "k", "n",
-                       "component", "map")
-    batch = F.pmod(F.xxhash64("sig", "x", "y"), F.lit(64 * shuffle_parts(lists.sparkSession))).cast("int")
-
-    def run(key, table):
-        sig, x, side = (table.column(c).to_numpy() for c in ("sig", "x", "side"))
-        y, k, n, comp = (table.column(c).to_numpy() for c in ("y", "k", "n", "component"))
-        maps = np.frombuffer(b"".join(table.column("map").to_pylist()), np.uint64).reshape(len(k), -1)
-        order = np.lexsort((k, side, y, x, sig))
-        cut = np.flatnonzero(np.diff(sig[order], prepend=0, append=0) | np.diff(x[order], prepend=-1, append=-1)
-                             | np.diff(y[order], prepend=-1, append=-1))
-        us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for a, z in zip(np.append(0, cut[cut > 0]), np.append(cut[cut > 0], len(order))):
-            rows = order[a:z]
-            for p, i in enumerate(rows):
+    x, y = F.least("side", "other"), F.greatest("side", "other")
+    batch = F.pmod(F.xxhash64("head", x, y), F.lit(64 * shuffle_parts(lists.sparkSession))).cast("int")
+    rows = via_table(rows.select(batch.alias("batch"), F.xxhash64("sig", x, y).alias("block"), (x == y).alias("inner"),
+                                 "side", "k", "n", "component"), "mixed")
+    asked = rows.select(F.col("batch").alias("for"), F.col("k").alias("name")).distinct()
+    maps = asked.join(nodes.select(F.col("k").alias("name"), "map"), "name").select("for", "name", "map")
+
+    def run(table, known_maps):
+        empty = np.empty(0, np.int64)
+        if not table.num_rows:
+            return pa.table({"u": empty, "v": empty})
+        block, side, k, n, comp = (table.column(c).to_numpy() for c in ("block", "side", "k", "n", "component"))
+        inner = table.column("inner").to_numpy()
+        names = known_maps.column("name").to_numpy()
+        by_name = np.argsort(names)
+        held = Maps(known_maps.column("map").to_pylist())
+        at = by_name[np.searchsorted(names, k, sorter=by_name)]           # each entry's map
+        order = np.lexsort((k, block))
+        cut = np.append(np.flatnonzero(np.diff(block[order])) + 1, len(order))
+        seen, found, start = set(), [], 0
+        for end in cut:
+            rows = order[start:end]
+            start = end
+            same = (k[rows].tobytes(), bool(inner[rows[0]]))
+            if same in seen:                                              # a list of the same sets has been scanned
+                continue
+            seen.add(same)
+            for p, i in enumerate(rows[:-1]):
                 rest = rows[p + 1:]
-                rest = rest[(comp[rest] != comp[i]) & ((side[rest] != side[i]) | (x[i] == y[i]))]
-                if not len(rest):
-                    continue
+                rest = rest[(comp[rest] != comp[i]) & ((side[rest] != side[i]) | inner[i])]
                 small, large = np.minimum(n[rest], n[i]).astype(np.int64), np.maximum(n[rest], n[i])
                 rest = rest[100 * small >= percent * large]
-                rest = rest[_close(maps[rest], maps[i], n[rest].astype(np.int64) + n[i], percent)]
-                us.append(np.minimum(k[rest], k[i]))
-                vs.append(np.maximum(k[rest], k[i]))
-        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
-
-    return rows.withColumn("batch", batch).groupBy("batch").applyInArrow(run, "u long, v long").distinct()
+                if not len(rest):
+                    continue
+                total = n[rest].astype(np.int64) + n[i]
+                rest = rest[_close(held.differ(np.full(len(rest), at[i]), at[rest]), total, percent)]
+                if len(rest):
+                    found.append(at[i] * len(names) + at[rest])           # k rises within a list, so the order is fixed
+            if len(found) > 1000:
+                found = [np.unique(np.concatenate(found))]
+        code = np.unique(np.concatenate(found)) if found else empty
+        u, v = names[code // len(names)], names[code % len(names)]
+        return pa.table({"u": u.astype(np.int64), "v": v.astype(np.int64)})
+
+    pairs = rows.groupBy("batch").cogroup(maps.groupBy("for")).applyInArrow(run, "u long, v long")
+    out = via_table(pairs.distinct(), "left")
+    drop_table(rows)
+    return out
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -422,13 +488,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     lists = first.where("kind <= 0").select("sig", "k", "n")
     nodes = via_table(rows.where("n > 0").groupBy("k").agg(F.min("key").alias("key"), F.min("n").alias("n"),
                                                            F.min("map").alias("map")), "nodes")
-    links = via_table(sure.unionAll(_links(plain, _may_link(tried, nodes, percent), nodes, width, percent)), "links")
+    links = via_table(sure, "links").unionAll(_links(plain, _may_link(tried, nodes, percent), nodes, width, percent))
     known = components(links)
     for turn in range(STAR_TURNS):
-        stars = _links(plain, _may_link(_more_stars(lists, known, turn, percent), nodes, percent), nodes, width, percent)
-        links = links.unionAll(via_table(stars, "links"))
+        links = links.unionAll(_links(plain, _may_link(_more_stars(lists, known, turn, percent), nodes, percent), nodes, width, percent))
         known = components(links)
-    more = via_table(_links(plain, _left_pairs(lists, known, nodes, percent), nodes, width, percent), "links")
+    left = _left_pairs(lists, known, nodes, percent)
+    more = _links(plain, left, nodes, width, percent)
+    for used in (first, left):
+        drop_table(used)
     final = components(links.unionAll(more)) if more.limit(1).count() else known
 
     named = (nodes.select("k", "key").join(final.withColumnRenamed("node", "k"), "k", "left")
