@@ -57,6 +57,12 @@ def test_run_log_partition_pruning_and_experiments(spark):
     assert sorted(r.run_id for r in a.collect()) == ["r1", "r3"]
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "exp_a" in plan
+    ids = {r.name: r.experiment_id for r in search_experiments(spark, root).collect()}
+    by_id = search_runs(spark, root=root, experiment_id=ids["exp_b"])
+    assert [r.run_id for r in by_id.collect()] == ["r2"]
+    plan = by_id._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "exp_b" in plan
+    assert search_runs(spark, "exp_a", root, ids["exp_b"]).count() == search_runs(spark, root=root, experiment_id="0").count() == 0
     exps = search_experiments(spark, root).collect()
     assert sorted(e.name for e in exps) == ["exp_a", "exp_b"]
     assert all(e.lifecycle_stage == "active" for e in exps)

@@ -31,7 +31,7 @@ from tonality.plans.features import preprocess, tokenize
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 
-from tonality.operators.evaluate import accuracy_f1, log_loss, roc_auc
+from tonality.operators.evaluate import accuracy_f1, log_loss, metric_errors, roc_auc
 from tonality.operators.score import model_scores
 from tonality.operators.train import (LOGISTIC_GRID, NEURAL_GRID, LogisticConfig, evaluate_text_classifier, fit_logistic,
                                       fit_text_classifier, train_neural_grid)
@@ -47,7 +47,7 @@ from tonality.operators.weights import idf_weights, tfidf_weights
 from tonality.plans.serving import score_titles
 from tonality.session import shared_dir
 from tonality.sources.runs import log_runs, search_experiments, search_runs
-from tonality.sources.stages import new_stage_root, read_features, read_raw, write_features, write_raw
+from tonality.sources.stages import new_stage_root, read_features, read_raw, read_stage, write_features, write_raw
 from tonality.sources.text_files import flatten_reviews, load_reviews
 from tonality.sources.tables import labelled_reviews, table, text_table, title_catalogue, title_reviews
 
@@ -702,28 +702,41 @@ def q_nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- learners: SQL states what must hold of the fitted models -------------------------
+HELD_OUT_SQL = f"""n AS (SELECT CAST(sum(CASE WHEN b < 800000 THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
+    CAST(sum(CASE WHEN b < 800000 THEN 0 ELSE 1 END) AS BIGINT) AS n_test,
+    CAST(sum(CASE WHEN b < 800000 THEN 0 ELSE label END) AS BIGINT) AS n_pos
+  FROM (SELECT {O.split_bucket('doc_id')} AS b, label FROM ({O.REVIEWS})))"""
+
+
+LOGGED = ("accuracy", "f1_score", "roc_auc")     # the metrics of a logged run
+
+
+def _errors(runs: DataFrame, predictions_path: str, metrics=LOGGED) -> DataFrame:
+    """Logged metrics less those recomputed from the exported predictions, to nine places, with the hold-out's sizes."""
+    found = metric_errors(runs, read_stage(runs.sparkSession, predictions_path), metrics)
+    return found.select("run_id", F.col("n").alias("n_test"), "n_pos",
+                        *[F.round(f"{m}_error", 9).alias(f"{m}_error") for m in metrics])
+
+
+ERRORS_SQL = ", ".join(f"CAST(0 AS DOUBLE) AS {m}_error" for m in LOGGED)
+
+
 @register("logistic_grid", f"""
-WITH n AS (SELECT sum(CASE WHEN b < 800000 THEN 1 ELSE 0 END) AS n_train, sum(CASE WHEN b < 800000 THEN 0 ELSE 1 END) AS n_test
-           FROM (SELECT {O.split_bucket('doc_id')} AS b FROM ({O.REVIEWS}))),
+WITH {HELD_OUT_SQL},
 grid AS (SELECT * FROM (VALUES {", ".join(f"('{c.penalty}', '{c.C!r}', '{c.max_iter}')" for c in LOGISTIC_GRID)})
          AS t(penalty, C, max_iter))
-SELECT penalty, C, max_iter, CAST(n_train AS BIGINT) AS n_train, CAST(n_test AS BIGINT) AS n_test,
-  true AS accuracy_is_hits, true AS f1_is_a_share, true AS auc_is_a_share FROM grid, n
+SELECT penalty, C, max_iter, n_train, n_test, n_pos, {ERRORS_SQL} FROM grid, n
 """)
 def q_logistic_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 12-config grid, logged and read back; its metrics held against the split's sizes."""
+    """The 12-config grid, logged and read back; each logged metric against the exported predictions."""
     feats, _ = build_features(spark, labelled_reviews(spark, sf_dir), MAX_WORDS, MAX_LEN)
     root = shared_dir(spark, "tracking", uuid.uuid4().hex)
-    runs = train_and_log(spark, feats, root=root, parallelism=4)
-    split = split_ops.holdout_split(feats, "doc_id", 0.2, 42)
-    n = split.agg(F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
-                  F.count(F.when(F.col("split") == "test", 1)).alias("n_test"))
-    hits = F.col("accuracy") * F.col("n_test")
-    return runs.join(F.broadcast(n)).select(
+    exported = posixpath.join(root, "predictions")
+    runs = train_and_log(spark, feats, root=root, parallelism=4, predictions_path=exported)
+    n = split_ops.train_rows(feats, "doc_id", 0.2, 42).agg(F.count(F.lit(1)).alias("n_train"))
+    return runs.select("run_id", "params").join(_errors(runs, exported), "run_id").join(F.broadcast(n)).select(
         F.col("params")["penalty"].alias("penalty"), F.col("params")["C"].alias("C"),
-        F.col("params")["max_iter"].alias("max_iter"), "n_train", "n_test",
-        (F.abs(hits - F.round(hits)) < 1e-6).alias("accuracy_is_hits"),
-        F.col("f1_score").between(0, 1).alias("f1_is_a_share"), F.col("roc_auc").between(0, 1).alias("auc_is_a_share"))
+        F.col("params")["max_iter"].alias("max_iter"), "n_train", "n_test", "n_pos", *[f"{m}_error" for m in LOGGED])
 
 
 _CLOSED = "SELECT CAST(d.n_chars % 2 AS INTEGER) AS x, l.quality AS y FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
@@ -828,25 +841,25 @@ def q_tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LEARNER_SQL = f"""
-SELECT '{{kind}}' AS run_id, CAST(sum(CASE WHEN {O.split_bucket('doc_id')} < 800000 THEN 0 ELSE 1 END) AS BIGINT) AS n_test,
-  true AS accuracy_is_hits, true AS better_than_nothing FROM ({O.REVIEWS})
+WITH {HELD_OUT_SQL}
+SELECT '{{kind}}' AS run_id, n_test, n_pos, {ERRORS_SQL},
+  true AS better_than_nothing FROM n
 """
+LEARNER_FEATURES = 1 << 15    # hashed terms of the few thousand labelled documents
 
 
 def _learner(spark: SparkSession, sf_dir: str, kind: str, run_id: str) -> DataFrame:
-    """Hold-out size, whether the accuracy is a count of it, and whether the training loss is
+    """Hold-out sizes, the metrics less those recomputed from the exported predictions, and whether the training loss is
     below that of the model that always answers 0 (log loss ln 2, hinge loss 1)."""
     words = _tfidf_words(spark, sf_dir)
     train, test = words.where(F.col("split") == "train"), words.where(F.col("split") == "test")
-    model = fit_text_classifier(train, kind)
-    held = evaluate_text_classifier(model, test, run_id)
+    model = fit_text_classifier(train, kind, fit_partitions=2, num_features=LEARNER_FEATURES)
+    exported = shared_dir(spark, "predictions", uuid.uuid4().hex)
+    held = _errors(evaluate_text_classifier(model, test, run_id, exported), exported)
     margin = F.get(vector_to_array("rawPrediction"), 1) * (F.col("label") * 2 - 1)
     loss = F.greatest(F.lit(0.0), 1 - margin) if kind == "svm" else F.log1p(F.exp(-margin))
     trained = model.transform(train).agg((F.avg(loss) < (1.0 if kind == "svm" else 0.6931)).alias("better_than_nothing"))
-    n = test.agg(F.count(F.lit(1)).alias("n_test"))
-    hits = F.col("accuracy") * F.col("n_test")
-    return held.join(F.broadcast(n)).join(F.broadcast(trained)).select(
-        "run_id", "n_test", (F.abs(hits - F.round(hits)) < 1e-6).alias("accuracy_is_hits"), "better_than_nothing")
+    return held.join(F.broadcast(trained))
 
 
 @register("tfidf_logistic", LEARNER_SQL.format(kind="tfidf_logistic"))
@@ -862,23 +875,22 @@ def q_linear_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("neural_grid", f"""
-WITH n AS (SELECT sum(CASE WHEN {O.split_bucket('doc_id')} < 800000 THEN 0 ELSE 1 END) AS n_test FROM ({O.REVIEWS}))
-SELECT embedding_dim, lstm_units, CAST(n_test AS BIGINT) AS n_test, true AS accuracy_is_hits, true AS shares
+WITH {HELD_OUT_SQL}
+SELECT embedding_dim, lstm_units, n_test, n_pos, {ERRORS_SQL}, CAST(0 AS DOUBLE) AS log_loss_error
 FROM (VALUES {", ".join(f"('{c.embedding_dim}', '{c.lstm_units}')" for c in NEURAL_GRID)}) AS t(embedding_dim, lstm_units), n
 """)
 def q_neural_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8 + M9: the 8 neural configs re-aimed as Word2Vec + perceptron."""
+    """M8 + M9: the 8 neural configs re-aimed as Word2Vec + perceptron; each metric against the exported predictions."""
     reviews = labelled_reviews(spark, sf_dir)
     words = tokenize(reviews)
     vocab = fit_vocabulary(words, max(c.max_words for c in NEURAL_GRID))
     split = split_ops.holdout_split(words, "doc_id", 0.2, 42)
-    runs = train_neural_grid(split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), vocab)
-    n = split_ops.test_rows(reviews.select("doc_id"), "doc_id", 0.2, 42).agg(F.count(F.lit(1)).alias("n_test"))
-    hits = F.col("accuracy") * F.col("n_test")
-    shares = F.col("roc_auc").between(0, 1) & F.col("f1_score").between(0, 1) & (F.col("log_loss") > 0)
-    return runs.join(F.broadcast(n)).select(
+    exported = shared_dir(spark, "predictions", uuid.uuid4().hex)
+    runs = train_neural_grid(split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), vocab,
+                             parallelism=4, fit_partitions=2, predictions_path=exported)
+    return runs.select("run_id", "params").join(_errors(runs, exported, (*LOGGED, "log_loss")), "run_id").select(
         F.col("params")["embedding_dim"].alias("embedding_dim"), F.col("params")["lstm_units"].alias("lstm_units"),
-        "n_test", (F.abs(hits - F.round(hits)) < 1e-6).alias("accuracy_is_hits"), shares.alias("shares"))
+        "n_test", "n_pos", *[f"{m}_error" for m in (*LOGGED, "log_loss")])
 
 
 def queries() -> dict[str, QueryFn]:

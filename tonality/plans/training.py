@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.operators.select import best_run
-from tonality.operators.split import holdout_split
+from tonality.operators.split import holdout_split, holdout_split_exact
 from tonality.operators.train import LOGISTIC_GRID, train_logistic_grid
 from tonality.plans.features import preprocess
 from tonality.sources.runs import log_runs, search_runs
@@ -38,14 +38,17 @@ def build_features(spark: SparkSession, reviews: DataFrame, max_words: int = 100
 
 def train_and_log(spark: SparkSession, features: DataFrame, experiment: str = EXPERIMENT,
                   grid=LOGISTIC_GRID, root: str | None = None, parallelism: int = 2,
-                  test_size: float = 0.2, seed: int = 42, save_models: bool = True) -> DataFrame:
+                  test_size: float = 0.2, seed: int = 42, save_models: bool = True,
+                  exact_share: bool = False, predictions_path: str | None = None) -> DataFrame:
     """M1 + M3 + S7: fits the grid on the hash-split train rows, logs one run per config,
-    and returns the logged runs of ``experiment`` (S8)."""
-    split = holdout_split(features, "doc_id", test_size, seed)
+    and returns the logged runs of ``experiment`` (S8).
+
+    ``exact_share`` holds out exactly ``ceil(test_size * n)`` rows, for two or three passes over the keys."""
+    split = (holdout_split_exact if exact_share else holdout_split)(features, "doc_id", test_size, seed)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     model_dir = posixpath.join(root, "artifacts", experiment) if (save_models and root) else None
-    runs = train_logistic_grid(train, test, grid, parallelism, model_dir)
+    runs = train_logistic_grid(train, test, grid, parallelism, model_dir, predictions_path=predictions_path)
     root = log_runs(runs, experiment, root)
     return search_runs(spark, experiment, root)
 

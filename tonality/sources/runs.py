@@ -117,9 +117,16 @@ def log_runs(runs: DataFrame, experiment: str | None = None, root: str | None =
 
 def search_runs(spark: SparkSession, experiment: str | None = None, root: str | None = None,
                 experiment_id: str | None = None) -> DataFrame:
-    """Runs of one experiment - by name (partition-pruned) or by id - or of all."""
+    """Runs of one experiment - by name or by id - or of all.
+
+    Runs are partitioned by name; an id is looked up in the experiments table first (one name), so
+    either way only that experiment's files are read.
+    """
     root = root or default_root(spark)
     runs = _table(spark, posixpath.join(root, "runs"), RUN_SCHEMA)
     if experiment_id is not None:
-        runs = runs.where(F.col("experiment_id") == experiment_id)
+        named = search_experiments(spark, root).where(F.col("experiment_id") == experiment_id).select("name").first()
+        if named is None or experiment not in (None, named.name):
+            return runs.where(F.lit(False))
+        experiment = named.name
     return runs if experiment is None else runs.where(F.col("experiment") == experiment)
