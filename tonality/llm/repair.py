@@ -84,8 +84,16 @@ def _bits(values: np.ndarray) -> int:
 
 def _pack(values: np.ndarray, bits: int) -> bytes:
     """Unsigned integers of ``bits`` bits each, lowest bit first."""
-    v = values.astype(np.uint32)
-    return np.packbits(((v[:, None] >> np.arange(bits, dtype=np.uint32)) & 1).astype(bool), bitorder="little").tobytes()
+    n = len(values)
+    v = np.zeros(-(-n // 8) * 8, np.uint64)
+    v[:n] = values
+    eight = v.reshape(-1, 8)                              # eight integers fill ``bits`` bytes
+    out = np.zeros((len(eight), bits + 5), np.uint8)
+    for k in range(8):
+        byte, shift = divmod(k * bits, 8)
+        wide = (eight[:, k] << np.uint64(shift)).astype("<u8").view(np.uint8).reshape(-1, 8)
+        out[:, byte:byte + 5] |= wide[:, :5]
+    return out[:, :bits].tobytes()[:_packed_bytes(n, bits)]
 
 
 def _packed_bytes(n: int, bits: int) -> int:
