@@ -126,3 +126,108 @@ def test_links_and_formulas_stay():
 @pytest.mark.parametrize("attrs", ["class=ad", "id='ad-7'", "hidden", 'class="x cookie_banner"', "ROLE=navigation", "id=comment-12"])
 def test_furniture_by_whole_names(attrs):
     assert H.main_text(f"<article>{ARTICLE}<div {attrs}><p>Not this.</p></div></article>") == TEXT
+
+
+@pytest.mark.parametrize("wrap", ["<form id=aspnetForm>{}</form>", "<div><form><input type=hidden><div>{}</div></form></div>",
+                                  "<noscript>{}</noscript>", "<header>{}</header>", "<div role=form>{}</div>"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<div class=post>{}</div>", "{}"])
+def test_forms_headers_and_noscript_round_the_article(wrap, inner):
+    page = f"<head><noscript><img src=x></noscript></head><body>{wrap.format(FURNITURE + inner.format(ARTICLE) + AFTER)}</body>"
+    assert H.main_text(page) == TEXT
+
+
+def test_noscript_inside_a_paragraph_is_nothing():
+    page = "<article><p>One <noscript><p>no</p><img src=x></noscript>line.</p><noscript><article><p>no</p></article></noscript></article>"
+    assert H.main_text(page) == "One line."
+
+
+def test_a_wrapper_with_the_only_article_stays_whatever_its_share():
+    page = f"<body><div>{'<p><a href=/x>Another headline of another page</a></p>' * 60}</div><form><article>{ARTICLE}</article></form></body>"
+    assert H.main_text(page) == TEXT
+
+
+def test_header_of_an_article_holds_its_headline():
+    page = f"<body><header><h1>Site</h1><p>Motto</p></header><article><header><h1>The headline</h1></header>{p(3)}</article></body>"
+    assert H.main_text(page).split("\n\n")[0] == "The headline" and "Site" not in H.main_text(page)
+    assert H.main_text(f"<article><header>Monday <a href=/x>News</a></header>{p(2)}</article>").startswith("Some words")
+
+
+COMMENT = "<p>I quite agree with all that was said and would like to add this.</p>"
+
+
+@pytest.mark.parametrize("comments", [
+    "<section><h2>3 comments</h2><ol><li>{0}<li>{0}<li>{0}</ol></section>", "<h2>Comments (3)</h2><ol><li>{0}<li>{0}</ol>",
+    "<div><div><h3>1 Comment</h3></div><div><div>{0}</div></div></div>", "<h3>Leave a reply</h3><div>{0}</div>",
+    "<section><header><h2>Readers' comments</h2></header><article>{0}</article><article>{0}</article></section>"])
+@pytest.mark.parametrize("where", ["<article>{}</article>{}", "<article>{}{}</article>", "<div class=post>{}{}</div>", "{}{}"])
+def test_parts_headed_as_comments_go(comments, where):
+    assert H.main_text(f"<body>{where.format(ARTICLE, comments.format(COMMENT))}</body>") == TEXT
+
+
+@pytest.mark.parametrize("heading", ["Comments on the new law", "No comment from the ministry", "The discussion", "3 replies to a critic of ours"])
+def test_headings_that_only_speak_of_comments_stay(heading):
+    assert heading in H.main_text(f"<article>{ARTICLE}<h2>{heading}</h2>{p(3)}<ol><li>One</ol></article>")
+
+
+def test_time_grows_with_the_page():
+    import time
+    for page in ("<div>" * 60_000 + "</b>" * 60_000, "<b>" * 40_000 + "<div></div>" * 40_000,
+                 "<ul><li><ul>" + "<div>" * 40_000 + "<li></li>" * 40_000, "<h2>" * 40_000 + "x", "<h2>3 comments</h2>" * 20_000):
+        start = time.perf_counter()
+        H.main_text(page + "<p>end</p>")
+        assert time.perf_counter() - start < 6
+
+
+def by_definition(tree, share):
+    """(chars, link chars, tags, link tags, density, density sum) of a generated tree, each from all it holds."""
+    import math
+
+    def texts(t, linked):
+        return [(x, linked) for part in t[1] for x in ([part] if isinstance(part, str) else [])] + [
+            y for part in t[1] if not isinstance(part, str) for y in texts(part, linked or part[0] == "a")]
+
+    def below(t):
+        return [x for part in t[1] if not isinstance(part, str) for x in [part, *below(part)]]
+
+    def one(t):
+        held = texts(t, t[0] == "a")
+        chars, linked = sum(len(x) for x, _ in held), sum(len(x) for x, a in held if a)
+        tags, link_tags = len(below(t)), sum(x[0] == "a" for x in below(t))
+        if not chars:
+            return chars, linked, tags, link_tags, 0.0
+        inner = chars * linked / max(1, chars - linked) + share * chars + math.e ** 2
+        return (chars, linked, tags, link_tags, chars / max(1, tags)
+                * math.log(chars * max(1, tags) / (max(1, linked) * max(1, link_tags))) / math.log(math.log(inner)))
+
+    children = [x for x in tree[1] if not isinstance(x, str)]
+    return *one(tree), sum(one(x)[4] for x in children) if children else one(tree)[4]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_densities_by_definition(seed):
+    import random
+    rng = random.Random(seed)
+
+    def grow(tag, depth):
+        parts = ["abcdefghijklmnopqrst"[:rng.randint(1, 20)] for _ in range(rng.randint(0, 2))]
+        for _ in range(rng.randint(0, 4) if depth else 0):
+            inner = "a" if rng.random() < 0.3 else "div" if tag != "a" else "span"
+            parts.append(grow(inner, depth - 1 if inner != "a" else 0))
+        rng.shuffle(parts)
+        return tag, parts
+
+    def written(t):
+        return f"<{t[0]}>" + "".join(x if isinstance(x, str) else written(x) for x in t[1]) + f"</{t[0]}>"
+
+    tree = grow("div", 4)
+    root = H.parse("<body>" + written(tree))
+    order = [n for n in H.measure(root) if n.tag not in ("html", "body")]
+    share = root.link_chars / max(1, root.chars)
+    todo, wanted = [tree], []
+    while todo:
+        t = todo.pop()
+        wanted.append(t)
+        todo += [x for x in reversed(t[1]) if not isinstance(x, str)]
+    assert [n.tag for n in order] == [t[0] for t in wanted]
+    for n, t in zip(order, wanted):
+        assert (n.chars, n.link_chars, n.tags, n.link_tags, n.density, n.total) == pytest.approx(by_definition(t, share))

@@ -16,7 +16,14 @@ headers and footers, sidebars, notices, adverts, forms, scripts, styles,
 reader comments) are left out before densities are computed.  Class names and
 ids count as whole names, and a name alone takes out no subtree with most of
 the text, unless the page marks its article (``article``, ``main``, or ``h1``
-with paragraphs) outside that subtree.
+with paragraphs) outside that subtree.  The same holds for ``form`` and
+``header``, which some pages put round everything; one that holds the page's
+only ``article`` or ``main`` stays whatever its share, and so does the
+``header`` of an article that holds a heading.  A ``noscript`` counts only if
+it has more text than the page outside of such elements, or the only
+``article`` or ``main``.  A part headed as
+reader comments ("3 comments") goes if the article is marked outside it or it
+holds at most half of the text.
 
 The text is one line a block, in page order, joined by an empty line; white
 space within a block becomes one space; character references are decoded.
@@ -36,11 +43,13 @@ from pyspark.sql import DataFrame
 from tonality.llm.common import clean_strings, workers_import
 
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
-    figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary
+    figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav noscript ol p pre section summary
     table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-FURNITURE = frozenset("""applet aside audio button canvas datalist dialog footer form head header iframe map menu
-    nav noscript object option script select style svg template textarea title video""".split())
+FURNITURE = frozenset("""applet aside audio button canvas datalist dialog footer head iframe map menu nav object
+    option script select style svg template textarea title video""".split())
+#: furniture that some pages put round their article
+WRAPPERS = frozenset(["form", "header"])
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 NAMES = frozenset("""ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs byline
     comment comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation
@@ -65,26 +74,36 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)"                                                      # comment
-    r"|<(?P<raw>script|style|textarea|title|xmp|iframe|noscript|template)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
+    r"|<(?P<raw>script|style|textarea|title|xmp|iframe|noscript|template)\b(?P<open>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>)"
     r"(?:.*?</(?P=raw)\b[^>]*>|.*\Z)"                                           # raw text up to its end tag
     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?:/?[a-zA-Z]|[!?])[^>]*(?:>|\Z)",                                      # declarations, broken or cut tags
     re.S | re.I)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NUMBER = re.compile(r"[-_]*\d+\Z")
+#: headings of reader comments
+_COMMENTS = re.compile(
+    r"(?:(?:\d[\d.,]*|no|all|show|view|hide|see|read|top|recent|latest|new|readers?['\u2019]?s?|users?|visitors?|your"
+    r"|leave an?|post an?|add an?|write an?)\s+)*(?:comments?|kommentare?|commentaires?|comentarios?|commenti)\W*\d*\W*"
+    r"|leave a reply|\d[\d.,]*\s+(?:replies|responses|reactions|thoughts? on\b.*)", re.I)
+COMMENTS_CHARS = 80       # a heading longer than this is none of comments
+COMMENTS_LISTS = frozenset("details div dl form ol section ul".split())
 
 
 def furniture(tag: str, attrs: str) -> str:
-    """``sure`` (by tag, role or hidden), ``name`` (only by a class name or id) or empty."""
+    """``sure`` (by tag, role or hidden), ``wrapper``, ``name`` (only by a class name or id) or empty."""
     if tag in FURNITURE:
         return "sure"
     if not attrs or tag in NEVER_FURNITURE:
-        return ""
+        return "wrapper" if tag in WRAPPERS else ""
     found: dict[str, str] = {}
     for name, a, b, c in _ATTR.findall(attrs):
         found.setdefault(name.lower(), (a or b or c).lower())
-    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").strip() in ROLES:
+    role = found.get("role", "").strip()
+    if "hidden" in found or found.get("aria-hidden") == "true" or role in ROLES - {"form", "banner"}:
         return "sure"
+    if tag in WRAPPERS or role in ROLES:
+        return "wrapper"
     for value in (found.get("class", ""), found.get("id", "")):
         for word in value.split():
             if _NUMBER.sub("", word).replace("_", "-") in NAMES:
@@ -103,48 +122,107 @@ class Node:
         self.chars = self.link_chars = self.tags = self.link_tags = 0
 
 
+class Path:
+    """The open elements, with the depths at which each tag is open, so that no end tag is searched for."""
+
+    def __init__(self, body: Node):
+        self.nodes = [body]
+        self.depths: dict[str, list[int]] = {}
+
+    @property
+    def here(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node):
+        self.depths.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def depth(self, tags) -> int:
+        """Depth of the innermost open element of these tags; 0 (the body) if there is none."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def close(self, depth: int):
+        """Closes the element at this depth and all inside it; the body stays open."""
+        while depth and len(self.nodes) > depth:
+            self.depths[self.nodes.pop().tag].pop()
+
+    def content(self, found):
+        """Content ends a head whose end tag is left out."""
+        if found and self.here.tag == "head":
+            self.close(len(self.nodes) - 1)
+
+    def starts(self, tag: str):
+        """Closes what a start tag closes: an open paragraph before a block, a list item before the next."""
+        if tag in BLOCKS:
+            self.close(self.depth(["p"]))          # a paragraph never holds a block, so this one is the innermost
+        if tag in ENDS:
+            ended, shields = ENDS[tag]
+            depth = self.depth(ended)
+            if depth > self.depth(shields):
+                self.close(depth)
+
+
 def parse(page: str) -> Node:
     """The page's tree without furniture; forgiving as browsers are about missing end tags."""
     root = Node("html", None)
-    body = here = Node("body", root)
+    body = Node("body", root)
     root.parts.append(body)
+    path = Path(body)
+    outside = None                 # text and articles outside of all noscript elements, once needed
     pos = 0
-    for m in _MARKUP.finditer(page):
+    marks = _MARKUP.finditer(page)
+    while (m := next(marks, None)) is not None:
         if m.start() > pos:
-            here = _out_of_head(here, page[pos:m.start()].strip())
-            here.parts.append(page[pos:m.start()])
+            path.content(page[pos:m.start()].strip())
+            path.here.parts.append(page[pos:m.start()])
         pos = m.end()
         tag = m["tag"]
+        if (m["raw"] or "").lower() == "noscript":
+            start = m.end("open")
+            inside = _text_and_articles(page[start:m.end()])
+            if not inside[0]:
+                continue
+            outside = outside or _text_and_articles(page)
+            if inside[0] > outside[0] or inside[1] and not outside[1]:
+                path.content(True)
+                path.starts("noscript")
+                node = Node("noscript", path.here)
+                path.here.parts.append(node)
+                path.push(node)
+                pos, marks = start, _MARKUP.finditer(page, start)      # read on inside it
         if tag is None:
             continue
         tag = tag.lower()
         if m["end"]:
-            node = here
-            while node is not body and node.tag != tag:
-                node = node.up
-            if node is not body:
-                here = node.up
+            path.close(path.depth([tag]))
             continue
-        here = _out_of_head(here, tag not in IN_HEAD)
+        path.content(tag not in IN_HEAD)
         if tag in ("html", "body"):
             continue
-        here = _implied_ends(here, body, tag)
+        path.starts(tag)
+        here = path.here
         if tag in VOID:
             here.parts.append(" " if tag == "br" else Node(tag, here))
             continue
         node = Node(tag, here, furniture(tag, m["attrs"]))
         here.parts.append(node)
         if not (m["attrs"].endswith("/") and (node.foreign or node.furniture)):
-            here = node
+            path.push(node)
     if pos < len(page):
-        here.parts.append(page[pos:])
+        path.here.parts.append(page[pos:])
     prune(body)
     return root
 
 
-def _out_of_head(here: Node, content) -> Node:
-    """Content ends a head whose end tag is left out."""
-    return here.up if here.tag == "head" and content else here
+def _text_and_articles(markup: str) -> tuple[int, bool]:
+    """Characters of text, and whether there is an ``article`` or ``main``; not counting noscript elements."""
+    pos = chars = 0
+    found = False
+    for m in _MARKUP.finditer(markup):
+        chars += len("".join(markup[pos:m.start()].split()))
+        found = found or (m["tag"] or "").lower() in ("article", "main")
+        pos = m.end()
+    return chars + len("".join(markup[pos:].split())), found
 
 
 def prune(body: Node) -> None:
@@ -155,51 +233,83 @@ def prune(body: Node) -> None:
         order.append(node)
         node.parts = [None if isinstance(p, Node) and p.furniture == "sure" else p for p in node.parts]
         todo += [p for p in node.parts if isinstance(p, Node)]
+    size: dict[Node, int] = {}
+    nodes: dict[Node, int] = {}
+    headed: dict[Node, bool] = {}
+    for node in reversed(order):
+        inner = [p for p in node.parts if isinstance(p, Node)]
+        size[node] = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str)) + sum(size[p] for p in inner)
+        nodes[node] = 1 + sum(nodes[p] for p in inner)
+        headed[node] = bool(node.tag in HEADINGS and size[node]) or any(headed[p] for p in inner)
+    _mark_headers(order, headed)
+    _mark_comments(order, size, nodes)
     if not any(n.furniture for n in order):
         return
-    size: dict[Node, int] = {}
-    rest: dict[Node, int] = {}            # the same without named parts inside
-    marks: dict[Node, list[int]] = {}     # articles, first headings and paragraphs, without those of named parts inside
+    rest: dict[Node, int] = {}            # the size without marked parts inside
+    marks: dict[Node, list[int]] = {}     # articles, first headings and paragraphs, without those of marked parts inside
     for node in reversed(order):
         inner = [p for p in node.parts if isinstance(p, Node)]
-        here = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
-        size[node] = here + sum(size[p] for p in inner)
-        rest[node] = here + sum(rest[p] for p in inner if not p.furniture)
+        rest[node] = size[node] - sum(size[p] if p.furniture else size[p] - rest[p] for p in inner)
         own = [node.tag in ("article", "main"), node.tag == "h1", node.tag == "p"] if rest[node] else [0, 0, 0]
         marks[node] = [sum(x) for x in zip(own, *[marks[p] for p in inner if not p.furniture])]
     article = lambda m: bool(m[0] or (m[1] and m[2]))
-    work = [(body, article(marks[body]))]
+    work = [(body, bool(marks[body][0]), article(marks[body]))]
     while work:
-        node, outside = work.pop()
+        node, element, outside = work.pop()        # whether the page marks its article outside of the parts
         for i, p in enumerate(node.parts):
             if not isinstance(p, Node):
                 continue
-            inside = outside
+            inner = element, outside
             if p.furniture:
                 inside = article(marks[p])
-                if 2 * size[p] <= size[body] or (outside and not inside):
+                goes = 2 * size[p] <= size[body] or (outside and (not inside or p.furniture == "comments"))
+                if p.furniture == "wrapper" and marks[p][0] and not element:
+                    goes = False
+                if goes:
                     node.parts[i] = None
                     continue
-                inside = inside or outside
-            work.append((p, inside))
-
-
-def _implied_ends(here: Node, root: Node, tag: str) -> Node:
-    """Closes what a start tag closes: an open paragraph before a block, a list item before the next."""
-    if tag in BLOCKS:
-        node = here
-        while node is not root and node.tag != "p" and node.tag not in BLOCKS:
-            node = node.up
-        if node.tag == "p":
-            here = node.up
-    if tag in ENDS:
-        ended, shields = ENDS[tag]
-        node = here
-        while node is not root and node.tag not in ended and node.tag not in shields:
-            node = node.up
-        if node.tag in ended:
-            here = node.up
-    return here
+                inner = bool(marks[p][0]) or element, inside or outside
+            work.append((p, *inner))
+
+
+def _mark_headers(order: list[Node], headed: dict[Node, bool]) -> None:
+    """The header of an article that holds a heading is no furniture."""
+    within: dict[Node, bool] = {}
+    for node in order:
+        within[node] = node.tag in ("article", "main") or within.get(node.up, False)
+        if node.tag == "header" and node.furniture == "wrapper" and within[node] and headed[node]:
+            node.furniture = ""
+
+
+def _mark_comments(order: list[Node], size: dict[Node, int], nodes: dict[Node, int]) -> None:
+    """Marks parts that a heading of reader comments begins, and lists right behind such a heading."""
+    says: set[Node] = set()          # headings of comments, and nodes that hold nothing but one
+    for node in reversed(order):
+        if 0 < size[node] <= COMMENTS_CHARS and nodes[node] <= COMMENTS_CHARS:
+            if node.tag in HEADINGS:
+                if _COMMENTS.fullmatch(" ".join(blocks(node))):
+                    says.add(node)
+            elif any(isinstance(p, Node) and p in says and size[p] == size[node] for p in node.parts):
+                says.add(node)
+    if not says:
+        return
+    for node in order:
+        first, heading = True, None
+        for p in node.parts:
+            if p is None or (not p.strip() if isinstance(p, str) else not size[p]):
+                continue
+            if isinstance(p, str):
+                heading = None
+            elif p in says:
+                if first and node.tag not in NEVER_FURNITURE:
+                    node.furniture = "comments"
+                    break
+                heading = p
+            elif heading is not None and p.tag in COMMENTS_LISTS:
+                heading.furniture = p.furniture = "comments"
+            else:
+                heading = None
+            first = False
 
 
 def density(chars: int, link_chars: int, tags: int, link_tags: int, link_share: float) -> float:
