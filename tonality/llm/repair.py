@@ -42,7 +42,12 @@ LEAST_USES = 8        # a pair is frequent if so many of its places do not overl
 _HEAD = struct.Struct("<4sIIIQIQBB")   # magic, first nonterminal, rules, rounds, symbols, documents, ids, bits of symbol and length
 
 
-SLOT_BITS = 20
+SLOT_BITS = 18
+
+
+def _slots(pair: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _ranked_pairs(pair: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,32 +55,37 @@ def _ranked_pairs(pair: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.
 
     Pairs are first counted by a hash slot; only those in slots with enough
     uses are sorted and counted exactly.  Of pairs that share a slot the most
-    frequent is taken (the others' turn comes in a later round).
+    frequent is taken (the others' turn comes in a later round).  The ranks
+    have one more place before the first position and one behind the last.
     """
-    with np.errstate(over="ignore"):
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-    full = np.bincount(slot[usable], minlength=1 << SLOT_BITS) >= LEAST_USES
-    maybe = np.flatnonzero(usable & full[slot])
-    values, counts = np.unique(pair[maybe], return_counts=True)
+    at = np.flatnonzero(usable)
+    slot = _slots(pair[at])
+    enough = (np.bincount(slot, minlength=1 << SLOT_BITS) >= LEAST_USES)[slot]
+    at, slot = at[enough], slot[enough]
+    ordered = np.sort(pair[at])
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(at) else at
+    counts = np.diff(starts, append=len(at))
     often = np.flatnonzero(counts >= LEAST_USES)
-    best = values[often[np.argsort(-counts[often], kind="stable")[:RULES]]]
-    with np.errstate(over="ignore"):
-        best_slot = ((best * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    best = ordered[starts[often[np.argsort(-counts[often], kind="stable")[:RULES]]]]
     in_slot = np.full(1 << SLOT_BITS, RULES, np.int32)
-    in_slot[best_slot[::-1]] = np.arange(len(best), dtype=np.int32)[::-1]
-    rank = np.full(len(pair), RULES, np.int32)
-    got = in_slot[slot[maybe]]
-    right = np.append(best, np.uint64(0))[np.minimum(got, len(best))] == pair[maybe]
-    rank[maybe[right]] = got[right]
+    in_slot[_slots(best)[::-1]] = np.arange(len(best), dtype=np.int32)[::-1]
+    got = in_slot[slot]
+    right = np.append(best, np.uint64(0))[np.minimum(got, len(best))] == pair[at]
+    rank = np.full(len(pair) + 2, RULES, np.int32)
+    rank[at[right] + 1] = got[right]
     return best, rank
 
 
 def _apart(pair: np.ndarray) -> np.ndarray:
     """Places that do not overlap the one before with the same pair: every other one of a run of one symbol."""
-    at = np.arange(len(pair))
-    new = np.ones(len(pair), bool)
-    new[1:] = pair[1:] != pair[:-1]
-    return (at - np.maximum.accumulate(np.where(new, at, 0))) % 2 == 0
+    out = np.ones(len(pair), bool)
+    again = np.flatnonzero(pair[1:] == pair[:-1]) + 1
+    if len(again):
+        new = np.ones(len(again), bool)                   # the first repetition of its run
+        new[1:] = again[1:] != again[:-1] + 1
+        n = np.arange(len(again))
+        out[again] = (n - np.maximum.accumulate(np.where(new, n, 0))) & 1 == 1
+    return out
 
 
 def _bits(values: np.ndarray) -> int:
@@ -125,13 +135,12 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> bytes:
         values, rank = _ranked_pairs(pair, ~last[:-1] & _apart(pair))
         if not len(values):
             break
-        around = np.concatenate([[RULES], rank, [RULES]])
-        take = (rank < RULES) & (rank < around[:-2]) & (rank < around[2:])
-        uses = np.bincount(rank[take], minlength=len(values))
+        before, rank, behind = rank[:-2], rank[1:-1], rank[2:]
+        at = np.flatnonzero((rank < before) & (rank < behind))   # one with no rank is below none
+        uses = np.bincount(rank[at], minlength=len(values))
         keep = np.flatnonzero(uses >= LEAST_USES)             # the most frequent pair is always among them
         number = np.full(RULES + 1, -1, np.int64)
         number[keep] = np.arange(len(keep))
-        at = np.flatnonzero(take)
         at = at[number[rank[at]] >= 0]
         seq[at] = (first + n_rules + number[rank[at]]).astype(np.uint64)
         gone = np.zeros(len(seq), bool)
