@@ -61,6 +61,15 @@ def test_small_caches_give_the_same(monkeypatch):
     assert list(forced_bpe.ForcedBPE(config).encode(texts)) == want
 
 
+def test_splitting_of_spaces_and_marks_is_the_librarys():
+    import random
+    enc, rng = byte_bpe.ByteEncoder(open(BYTE, encoding="utf-8").read()), random.Random(3)
+    texts = ["".join(rng.choice(" \n\t\r\u3000'sltvremdS\u00e91\u0662.-,x\u0085\u200b\u2603") for _ in range(rng.randint(0, 14)))
+             for _ in range(5000)]
+    got = [list(np.frombuffer(b, "<u4")) for b in enc.encode(texts)]
+    assert got == [enc.tok.encode(s, add_special_tokens=False).ids for s in texts]
+
+
 def test_byte_encoder_is_the_librarys():
     ours, lib = byte_bpe.ByteEncoder(open(BYTE, encoding="utf-8").read()), reference(BYTE)
     texts = [t or "" for _, t in rows()] + ODD

@@ -21,8 +21,9 @@ from pyspark.sql import SparkSession
 
 from tonality.llm.forced_bpe import byte_alphabet
 
-# Fixed value: the splitting pattern of byte-level vocabularies of this kind.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the splitting pattern of byte-level vocabularies of this kind, in tiktoken's public form
+# without backtracking; its parts are those of 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 _ENCODERS: dict[str, "ByteEncoder"] = {}
 

@@ -198,19 +198,27 @@ class Shard:
         self.sym_ends, self.ends = take(n_docs), take(n_docs)
         self.left, self.right = unpacked(n_rules, bits), unpacked(n_rules, bits)
         self.size, self.seq = unpacked(n_rules, size_bits), unpacked(n_seq, bits)
+        self._length = np.concatenate([[1], self.size]).astype(np.int64)     # of an id, and of each rule
         self._starts: np.ndarray | None = None
 
+    def _lengths(self, symbols: np.ndarray) -> np.ndarray:
+        """How many ids each symbol stands for."""
+        return self._length[np.maximum(symbols.astype(np.int64) - (self.first - 1), 0)]
+
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids of a run of symbols: rules are undone round by round, the last one first."""
-        out = symbols
-        for lo, hi in reversed(list(zip([0, *self.rounds], self.rounds))):
-            is_rule = (out >= self.first + lo) & (out < self.first + hi)
-            if is_rule.any():
-                at = np.flatnonzero(is_rule)
-                rule = out[at] - self.first
-                out = np.repeat(out, is_rule.astype(np.int64) + 1)
-                at = at + np.arange(len(at))
-                out[at], out[at + 1] = self.left[rule], self.right[rule]
+        """The ids of a run of symbols: each is put where its ids begin, then every rule is undone in its place."""
+        lengths = self._lengths(symbols)
+        ends = np.cumsum(lengths)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+        at = ends - lengths
+        out[at] = symbols
+        at = at[symbols >= self.first]
+        while len(at):
+            rule = out[at] - self.first
+            left, right = self.left[rule], self.right[rule]
+            behind = at + self._lengths(left)
+            out[at], out[behind] = left, right
+            at = np.concatenate([at[left >= self.first], behind[right >= self.first]])
         return out
 
     def document(self, i: int) -> np.ndarray:
@@ -220,10 +228,7 @@ class Shard:
     def ids(self, lo: int, hi: int) -> np.ndarray:
         """The ids at positions ``[lo, hi)``, from the expansion lengths of the symbols that cover them."""
         if self._starts is None:
-            size = np.ones(len(self.seq), np.int64)
-            rule = self.seq >= self.first
-            size[rule] = self.size[self.seq[rule] - self.first]
-            self._starts = np.concatenate([[0], np.cumsum(size)])
+            self._starts = np.concatenate([[0], np.cumsum(self._lengths(self.seq))])
         lo, hi = max(0, lo), min(hi, self.n_tokens)
         if lo >= hi:
             return np.empty(0, np.uint32)
