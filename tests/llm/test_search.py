@@ -78,3 +78,18 @@ def test_scan_abandons_and_keeps_the_nearest():
     hits = sum(len(set(at[who == i]) & set(np.argsort(((x - v) ** 2).sum(1))[:10])) for i, v in enumerate(q))
     assert hits / 300 >= 0.98
     assert np.allclose(turn @ turn.T, np.eye(64))
+
+
+@pytest.mark.parametrize("n", [3, 84, 85, 600, 3000])
+def test_scan_over_strips_hands_on_all_ties(n):
+    rng = np.random.default_rng(n)
+    x, q = rng.normal(size=(n, 48)), rng.normal(size=(30, 48))
+    x[n // 2:n // 2 + 3] = x[0]                     # copies in several strips
+    who, at = A.scan(q, x, 10)
+    found = set(zip(who.tolist(), at.tolist()))
+    wanted = 0
+    for i, v in enumerate(q):
+        dist = ((x - v) ** 2).sum(1)
+        near = np.flatnonzero(dist <= np.sort(dist)[min(n, 10) - 1])
+        wanted += sum((i, j) in found for j in near.tolist()) / len(near)
+    assert wanted / len(q) >= 0.98 and len(found) == len(who)

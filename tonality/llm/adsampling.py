@@ -7,7 +7,8 @@ by a random rotation and assigned to the nearest of a set of centroids (an
 inverted list each).  A query scans its ``probes`` nearest lists.  Within a
 list, candidates are compared column block by column block: after each block a
 hypothesis test on the partial distance abandons those that are, at the set
-confidence, beyond the query's k-th best so far; only survivors are finished.
+confidence, beyond the query's k-th best so far in that list (or that part
+of a long list); only survivors are finished and tighten it.
 
 Candidates found are scored exactly, in double precision, on the original
 vectors.
@@ -40,6 +41,7 @@ MAX_LISTS = 4096
 BLOCK = 4096            # vectors that a task compares at once
 GROUP = 8               # lists dealt out together
 QUERY_PART = 4096       # queries that a task compares at once, about
+STRIP = 512             # candidates after which a query's bound is tightened
 COLUMNS = 16            # dimensions compared between two tests
 EPSILON = 2.1           # the test's confidence: larger abandons later
 PROBES = 0.6            # share of the lists that a query scans, at least MIN_PROBES
@@ -102,37 +104,39 @@ def scan(q: np.ndarray, x: np.ndarray, k: int, epsilon: float = EPSILON,
          columns: int = COLUMNS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs ``(query, candidate)`` of positions: each rotated query's ``k`` nearest by the adaptive scan.
 
-    A query's bound is its k-th distance among the first candidates.  All
-    queries go through the column blocks together; pairs that fail the test
-    are dropped after each block.
+    The first candidates are compared in full; a query's bound is its k-th
+    distance.  Then come strips of candidates: a strip's pairs go through the
+    column blocks together, those that fail the test are dropped after each
+    block, and the survivors tighten the bounds before the next strip.
     """
     (n, dim), n_q = x.shape, len(q)
     head = min(n, max(4 * k, 64))
-    first = _apart(q, x[:head])
-    bound = np.partition(first, k - 1, axis=1)[:, k - 1] if head >= k else np.full(n_q, np.inf)
-    who, at = np.divmod(np.arange(n_q * (n - head)), max(1, n - head))
-    part, seen = np.zeros(len(who)), 0
-    at += head
-    while seen < dim and len(who):
-        cols = slice(seen, min(dim, seen + columns))
-        if seen == 0:
-            part = _apart(q[:, cols], x[head:, cols]).ravel()
-        else:
-            part = part + ((q[who, cols] - x[at, cols]) ** 2).sum(1)
-        seen = cols.stop
-        if seen < dim:                          # estimate from the columns seen, against a widened bound
-            stay = part * (dim / seen) <= bound[who] * (1 + epsilon / np.sqrt(seen)) ** 2
-            who, at, part = who[stay], at[stay], part[stay]
-    who = np.concatenate([np.repeat(np.arange(n_q), head), who])
-    at = np.concatenate([np.tile(np.arange(head), n_q), at])
-    dist = np.concatenate([first.ravel(), part])
+    who, at = np.repeat(np.arange(n_q), head), np.tile(np.arange(head), n_q)
+    who, at, dist, bound = _nearest(who, at, _apart(q, x[:head]).ravel(), n_q, k)
+    for low in range(head, n, STRIP):
+        strip = x[low:low + STRIP]
+        new, place = np.divmod(np.arange(n_q * len(strip)), len(strip))
+        part = _apart(q[:, :columns], strip[:, :columns]).ravel()
+        for seen in range(columns, dim, columns):   # estimate from the columns seen, against a widened bound
+            stay = np.flatnonzero(part * (dim / seen) <= bound[new] * (1 + epsilon / np.sqrt(seen)) ** 2)
+            new, place = new[stay], place[stay]
+            cols = slice(seen, seen + columns)
+            part = part[stay] + ((q[new, cols] - strip[place, cols]) ** 2).sum(1)
+        who, at, dist, bound = _nearest(np.concatenate([who, new]), np.concatenate([at, place + low]),
+                                        np.concatenate([dist, part]), n_q, k)
+    return who, at
+
+
+def _nearest(who: np.ndarray, at: np.ndarray, dist: np.ndarray, n_q: int, k: int) -> tuple[np.ndarray, ...]:
+    """Each query's ``k`` nearest pairs, with all ties at the k-th distance, and that distance (infinite below ``k``)."""
     order = np.lexsort((dist, who))
     who, at, dist = who[order], at[order], dist[order]
-    begin = np.searchsorted(who, np.arange(n_q))
-    nth = np.arange(len(who)) - begin[who]
-    last = np.minimum(begin + k, np.append(begin[1:], len(who))) - 1
-    take = (nth < k) | (dist <= dist[last][who] * (1 + 1e-12))   # ties at the k-th distance are all handed on
-    return who[take], at[take]
+    edges = np.searchsorted(who, np.arange(n_q + 1))
+    bound = np.full(n_q, np.inf)
+    enough = np.flatnonzero(np.diff(edges) >= k)
+    bound[enough] = dist[edges[enough] + k - 1]
+    take = dist <= bound[who] * (1 + 1e-12)
+    return who[take], at[take], dist[take], bound
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
