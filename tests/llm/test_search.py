@@ -94,3 +94,40 @@ def test_scan_over_strips_hands_on_all_ties(n):
         near = np.flatnonzero(dist <= np.sort(dist)[min(n, 10) - 1])
         wanted += sum((i, j) in found for j in near.tolist()) / len(near)
     assert wanted / len(q) >= 0.98 and len(found) == len(who)
+
+
+@pytest.mark.parametrize("spread, most", [(0.7, 0.2), (None, 0.9)])
+def test_recall_with_lists_left_out(spread, most):
+    """The lists to scan follow from the data's structure; those that are left out cost at most a tenth of the neighbours."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((20_000, 32))
+    if spread:
+        x = rng.standard_normal((100, 32))[rng.integers(0, 100, len(x))] * 2 + spread * x
+    ix = A.Index(x, float((x ** 2).sum(1).max()), len(x), 20)
+    assert ix.probes <= most * len(ix.centers)
+    turned, of = ix.candidates(x), A._closest(ix.candidates(x), ix.centers)
+    asked = ix.queries(x[:40])
+    hits = 0
+    for i, lists in enumerate(np.argsort(ix.distances(asked), axis=1)[:, :ix.probes]):
+        product = x @ x[i]
+        bound, found = np.full(1, np.inf), []
+        for one in lists:
+            here = np.flatnonzero(of == one)
+            found += here[A.scan(asked[i:i + 1], turned[here], 21, bound=bound)[1]].tolist()
+        found = sorted(set(found) - {i}, key=lambda j: -product[j])[:20]
+        product[i] = -np.inf
+        hits += len(set(found) & set(np.argsort(-product)[:20].tolist()))
+    assert hits / 800 >= 0.9
+
+
+def test_search_of_clustered_vectors_leaves_lists_out(spark):
+    rng = np.random.default_rng(2)
+    x = (rng.standard_normal((40, 16))[rng.integers(0, 40, 6000)] * 2 + 0.6 * rng.standard_normal((6000, 16))).astype(np.float32).astype(float)
+    got = found(A.search(table(spark, enumerate(x.tolist())), F.col("vec_id") % 20 == 0, k=20))
+    assert A.Index(x, float((x ** 2).sum(1).max()), len(x), 20).probes < 40
+    hits = 0
+    for i, near in got.items():
+        product = x @ x[i]
+        product[i] = -np.inf
+        hits += len(set(near) & set(np.argsort(-product)[:20].tolist()))
+    assert len(got) == 300 and hits / 6000 >= 0.9

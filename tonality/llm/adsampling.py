@@ -4,11 +4,14 @@ Largest inner product, found as a nearest-neighbour search: a vector is
 extended by one component that brings all candidates to one length, so the
 nearest extended vector has the largest product.  Extended vectors are turned
 by a random rotation and assigned to the nearest of a set of centroids (an
-inverted list each).  A query scans its ``probes`` nearest lists.  Within a
-list, candidates are compared column block by column block: after each block a
-hypothesis test on the partial distance abandons those that are, at the set
-confidence, beyond the query's k-th best so far in that list (or that part
-of a long list); only survivors are finished and tighten it.
+inverted list each).  A query scans its ``probes`` nearest lists: as many as
+hold the share ``RECALL`` of true neighbours among vectors of a sample that the
+centroids were not fitted on, so their number follows from the data's
+structure, not from the table's size.  Candidates are compared column block by
+column block: after each block a hypothesis test on the partial distance
+abandons those that are, at the set confidence, beyond the query's k-th best so
+far; only survivors are finished and tighten it.  A task scans a query's lists
+nearest first and hands its bound on from one to the next.
 
 Candidates found are scored exactly, in double precision, on the original
 vectors.
@@ -44,8 +47,11 @@ QUERY_PART = 4096       # queries that a task compares at once, about
 STRIP = 512             # candidates after which a query's bound is tightened
 COLUMNS = 16            # dimensions compared between two tests
 EPSILON = 2.1           # the test's confidence: larger abandons later
-PROBES = 0.6            # share of the lists that a query scans, at least MIN_PROBES
-MIN_PROBES = 64
+RECALL = 0.96           # share of the held-out sample's neighbours that the scanned lists hold
+PROBES = None           # a share of the lists to scan instead of what RECALL needs
+HELD_OUT = 5            # one in so many vectors of the sample is kept from the centroids
+HELD_OUT_QUERIES = 1000
+ROWS = 4096             # rows compared with all centroids at once
 SEED = 7
 
 
@@ -61,11 +67,18 @@ def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def _closest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Each row's nearest centroid, some rows at a time."""
+    size = (centers ** 2).sum(1)
+    return np.concatenate([np.empty(0, np.int64)] + [np.argmin(size - 2 * x[i:i + ROWS] @ centers.T, axis=1)
+                                                     for i in range(0, len(x), ROWS)])
+
+
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     rng = np.random.default_rng(SEED)
     centers = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
-        near = np.argmin((centers ** 2).sum(1) - 2 * x @ centers.T, axis=1)
+        near = _closest(x, centers)
         sums = np.zeros_like(centers)
         np.add.at(sums, near, x)
         n = np.bincount(near, minlength=k)
@@ -76,16 +89,37 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 class Index:
-    """What tasks need: the rotation, the length all candidates are brought to, and the centroids."""
+    """What tasks need: the rotation, the length all candidates are brought to, the centroids and how many lists to scan."""
 
-    def __init__(self, sample: np.ndarray, max_norm2: float, n_rows: int):
+    def __init__(self, sample: np.ndarray, max_norm2: float, n_rows: int, k: int = 20):
         self.dim = sample.shape[1] + 1
         self.turn = rotation(self.dim)
         self.max_norm2 = max_norm2
-        x = self.candidates(sample)
+        held = np.arange(len(sample)) % HELD_OUT == HELD_OUT - 1
+        x = self.candidates(sample[~held])
         lists = int(min(MAX_LISTS, max(1, round(np.sqrt(n_rows))), max(1, len(x) // 8)))
         self.centers = _kmeans(x, lists)
-        self.probes = min(lists, max(MIN_PROBES, round(PROBES * lists)))
+        self.probes = self._needed(sample[held], n_rows, k) if PROBES is None else max(1, round(PROBES * lists))
+
+    def _needed(self, held: np.ndarray, n_rows: int, k: int) -> int:
+        """The least number of lists that holds ``RECALL`` of the held-out vectors' nearest held-out vectors.
+
+        Of ``k`` neighbours in the table, the held-out vectors are that share (one at least, which errs to more lists).
+        """
+        n = min(len(held) - 1, max(1, -(-k * len(held) // n_rows)))
+        if n < 1:
+            return len(self.centers)
+        of, places = _closest(self.candidates(held), self.centers), []
+        for low in range(0, min(len(held), HELD_OUT_QUERIES), 100):
+            q = held[low:min(low + 100, HELD_OUT_QUERIES)]
+            product = q @ held.T
+            product[np.arange(len(q)), low + np.arange(len(q))] = -np.inf
+            near = np.argpartition(-product, n - 1, axis=1)[:, :n]
+            apart = self.distances(self.queries(q))
+            reached = np.take_along_axis(apart, of[near], axis=1)
+            places.append((apart[:, None, :] < reached[:, :, None]).sum(2).ravel())
+        place = np.sort(np.concatenate(places))
+        return int(place[max(0, int(np.ceil(RECALL * len(place))) - 1)]) + 1
 
     def candidates(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0.0, self.max_norm2 - (x ** 2).sum(1)))
@@ -100,19 +134,22 @@ class Index:
         return (self.centers ** 2).sum(1) - 2 * x @ self.centers.T
 
 
-def scan(q: np.ndarray, x: np.ndarray, k: int, epsilon: float = EPSILON,
-         columns: int = COLUMNS) -> tuple[np.ndarray, np.ndarray]:
+def scan(q: np.ndarray, x: np.ndarray, k: int, epsilon: float = EPSILON, columns: int = COLUMNS,
+         bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs ``(query, candidate)`` of positions: each rotated query's ``k`` nearest by the adaptive scan.
 
-    The first candidates are compared in full; a query's bound is its k-th
-    distance.  Then come strips of candidates: a strip's pairs go through the
-    column blocks together, those that fail the test are dropped after each
-    block, and the survivors tighten the bounds before the next strip.
+    ``bound`` holds the distance beyond which a query wants no candidate
+    (infinite: not known yet) and is tightened in place.  While one is
+    infinite, the first candidates are compared in full.  Then come strips of
+    candidates: a strip's pairs go through the column blocks together, those
+    that fail the test are dropped after each block, and the survivors tighten
+    the bounds before the next strip.
     """
     (n, dim), n_q = x.shape, len(q)
-    head = min(n, max(4 * k, 64))
+    bound = np.full(n_q, np.inf) if bound is None else bound
+    head = 0 if np.isfinite(bound).all() else min(n, max(4 * k, 64))
     who, at = np.repeat(np.arange(n_q), head), np.tile(np.arange(head), n_q)
-    who, at, dist, bound = _nearest(who, at, _apart(q, x[:head]).ravel(), n_q, k)
+    who, at, dist = _nearest(who, at, _apart(q, x[:head]).ravel(), bound, k)
     for low in range(head, n, STRIP):
         strip = x[low:low + STRIP]
         new, place = np.divmod(np.arange(n_q * len(strip)), len(strip))
@@ -122,21 +159,20 @@ def scan(q: np.ndarray, x: np.ndarray, k: int, epsilon: float = EPSILON,
             new, place = new[stay], place[stay]
             cols = slice(seen, seen + columns)
             part = part[stay] + ((q[new, cols] - strip[place, cols]) ** 2).sum(1)
-        who, at, dist, bound = _nearest(np.concatenate([who, new]), np.concatenate([at, place + low]),
-                                        np.concatenate([dist, part]), n_q, k)
+        who, at, dist = _nearest(np.concatenate([who, new]), np.concatenate([at, place + low]),
+                                 np.concatenate([dist, part]), bound, k)
     return who, at
 
 
-def _nearest(who: np.ndarray, at: np.ndarray, dist: np.ndarray, n_q: int, k: int) -> tuple[np.ndarray, ...]:
-    """Each query's ``k`` nearest pairs, with all ties at the k-th distance, and that distance (infinite below ``k``)."""
+def _nearest(who: np.ndarray, at: np.ndarray, dist: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Each query's ``k`` nearest pairs within its bound, with all ties at the k-th distance, to which the bound falls."""
     order = np.lexsort((dist, who))
     who, at, dist = who[order], at[order], dist[order]
-    edges = np.searchsorted(who, np.arange(n_q + 1))
-    bound = np.full(n_q, np.inf)
+    edges = np.searchsorted(who, np.arange(len(bound) + 1))
     enough = np.flatnonzero(np.diff(edges) >= k)
-    bound[enough] = dist[edges[enough] + k - 1]
+    bound[enough] = np.minimum(bound[enough], dist[edges[enough] + k - 1])
     take = dist <= bound[who] * (1 + 1e-12)
-    return who[take], at[take], dist[take], bound
+    return who[take], at[take], dist[take]
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -171,13 +207,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     distinct = via_table(distinct.withColumn("c", F.xxhash64("h", "v")), "vectors")
     n_rows = distinct.count()
     sample = distinct.select("v").orderBy(F.xxhash64(F.lit(SEED), "v")).limit(SAMPLE).toPandas()
-    index = spark.sparkContext.broadcast(Index(np.stack(sample["v"].to_numpy()), float(shape.norm2), n_rows))
+    index = spark.sparkContext.broadcast(Index(np.stack(sample["v"].to_numpy()), float(shape.norm2), n_rows, k))
 
     def to_list(batches):
         ix = index.value
         for b in batches:
             x = ix.candidates(_matrix(b.column(1)))
-            near = np.argmin(ix.distances(x), axis=1) if len(x) else np.empty(0)
+            near = _closest(x, ix.centers)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near.astype(np.int32)), b.column(1)], ["c", "list", "v"])
 
     n_groups = max(1, -(-len(index.value.centers) // GROUP))
@@ -219,13 +255,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
             probes = left.column("lists").combine_chunks()
             q_of = np.repeat(np.arange(len(qv)), np.diff(probes.offsets.to_numpy()))
             list_of, x_list = probes.flatten().to_numpy(), right.column("list").to_numpy()
+            centers = ix.centers[left.column("grp")[0].as_py()::n_groups]
+            apart = ((centers ** 2).sum(1) - 2 * q_turned @ centers.T)[q_of, list_of // n_groups]
+            order = np.lexsort((apart, q_of))               # a query's lists, the nearest first
+            q_of, list_of = q_of[order], list_of[order]
+            turn = np.arange(len(q_of)) - np.searchsorted(q_of, q_of)
+            bound = np.full(len(qv), np.inf)
             whos, ats = [], []
-            for one in np.unique(x_list):
-                asking, here = q_of[list_of == one], np.flatnonzero(x_list == one)
-                if len(asking):
-                    who, at = scan(q_turned[asking], x_turned[here], k + 1)
-                    whos.append(asking[who])
-                    ats.append(here[at])
+            for now in range(int(turn.max()) + 1):
+                for one in np.unique(list_of[turn == now]):
+                    asking, here = q_of[(turn == now) & (list_of == one)], np.flatnonzero(x_list == one)
+                    if len(here):
+                        wanted = bound[asking]
+                        who, at = scan(q_turned[asking], x_turned[here], k + 1, bound=wanted)
+                        bound[asking] = wanted
+                        whos.append(asking[who])
+                        ats.append(here[at])
             if whos:
                 who, at = np.concatenate(whos), np.concatenate(ats)
                 score = (qv[who] * xv[at]).sum(1)
