@@ -21,6 +21,10 @@ same is done with the keys.  Sorting is by 64-bit content hashes (a suffix by
 96 bits), not by bytes: only runs of equal suffixes matter here, and their
 order inside, which is the corpus's.
 
+Batches are cut by bytes: a batch holds ``batch_bytes`` of text and what its
+last key adds, however texts are spread over keys.  Their last keys, 8 bytes a
+batch, are all that is broadcast; for very large tables choose larger batches.
+
 Scale: what is dealt out is one entry a phrase (or suffix) and batch, so a
 string that a third of all documents share makes at most one entry a batch.
 Entries travel as arrays; answers are one byte each, in the order sent.
@@ -36,14 +40,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonality.llm.common import mix64, pieces, range_bounds, runs_of, shuffle_parts, utf8, workers_import
+from tonality.llm.common import drop_table, mix64, pieces, range_bounds, runs_of, shuffle_parts, utf8, via_table, workers_import
 
 WIDTH = 50
 GRAM = 24
 BATCH_BYTES = 2 << 20   # text of a batch, about: what a worker holds at once is some dozen times that
+RANGES = 256            # key ranges, at most, over which texts' bytes are summed in two levels
 PIECE = 1 << 18         # bytes whose strings are hashed at once
 _ALONE, _SEEN, _MIXED = 0, 1, 2
 _MULTI = np.uint64(0)
@@ -336,23 +341,46 @@ def _kept(batch: Batch, mask: np.ndarray, whole_characters: bool) -> pa.Table:
                      "starts": pa.array(cols[2], pa.list_(pa.int64())), "lengths": pa.array(cols[3], pa.list_(pa.int64()))})
 
 
+def _last_keys(plain: DataFrame, parts: int, batch_bytes: int) -> np.ndarray:
+    """The last key of each batch, ascending: running sums of the texts' bytes in key order, over ranges and inside them.
+
+    There are at least about ``parts`` batches, so that small tables are spread too.
+    """
+    sizes = via_table(plain.where("key IS NOT NULL").groupBy(F.col("key").cast("long").alias("key"))
+                      .agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")), "sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    share = max(1, min(batch_bytes, -(-total // parts)))
+    cuts = F.array(*[F.lit(b) for b in range_bounds(sizes, "key", min(parts, RANGES))]).cast("array<bigint>")
+    before = Window.partitionBy("range").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (sizes.withColumn("range", F.size(F.filter(cuts, lambda b: b < F.col("key"))))
+              .withColumn("batch", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / share)))
+    last = placed.groupBy("range", "batch").agg(F.max("key").alias("last")).select("last").toArrow().column(0)
+    drop_table(sizes)
+    return np.sort(last.to_numpy().astype(np.int64))
+
+
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM,
-                whole_characters: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+                whole_characters: bool = False, carry: tuple[str, ...] = (), batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``(key, *carry, n_bytes, kept binary, starts, lengths)``: what is left of each row, and the removed runs.
 
     ``whole_characters`` shrinks removed runs to whole characters, so that
-    ``kept`` is text again.  Keys are whole numbers.
+    ``kept`` is text again.  Keys are whole numbers, others are refused.
     """
     spark = docs.sparkSession
     workers_import(spark)
     kind = dict(docs.dtypes)[key]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"keys are whole numbers, {key} is {kind}")
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("boolean")
     plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), rest.alias("rest"))
     parts = shuffle_parts(spark)
-    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bounds = range_bounds(plain, "key", max(parts, -(-size // BATCH_BYTES)))
-    number = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b < F.col("key")))
-    batched = plain.where("key IS NOT NULL").withColumn("batch", number).repartition(parts, "batch")
+    last_keys = spark.sparkContext.broadcast(_last_keys(plain, parts, batch_bytes))
+
+    @F.arrow_udf("int")
+    def number(keys: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(last_keys.value, keys.to_numpy(zero_copy_only=False)).astype(np.int32))
+
+    batched = plain.where("key IS NOT NULL").withColumn("batch", number("key")).repartition(parts, "batch")
 
     def send_phrases(group, table):
         batch = Batch(table, width, gram)
