@@ -58,7 +58,8 @@ def test_no_rows(spark):
     assert prefix_free.deduplicate(documents(spark, [])).count() == 0
 
 
-def test_many_batches_change_nothing(spark):
+def test_many_batches_and_buckets_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(prefix_free, "BUCKET_BYTES", 500)
     got = found_kept(prefix_free.deduplicate(documents(spark, small_rows()), batch_bytes=700))
     assert got == brute_kept(small_rows(), 50)
 
@@ -66,7 +67,8 @@ def test_many_batches_change_nothing(spark):
 def test_batches_are_cut_by_bytes(spark):
     sizes = [(i, 3000 if 100 <= i < 140 else 10) for i in range(400)] + [(7, 10), (10 ** 12, 10), (-5, 0), (None, 500)]
     table = documents(spark, [(i, "x" * n) for i, n in sizes]).selectExpr("doc_id AS key", "text")
-    last = prefix_free._last_keys(table, 4, 6000)
+    last, total = prefix_free._last_keys(table, 4, 6000)
+    assert total == sum(n for i, n in sizes if i is not None)
     assert (np.diff(last) > 0).all() and last[-1] == 10 ** 12
     batch = {}
     for i, n in sizes:
@@ -75,7 +77,8 @@ def test_batches_are_cut_by_bytes(spark):
     assert max(batch) == len(last) - 1
     assert all(sum(b) <= 6000 + 3000 for b in batch.values())
     assert 120_000 / 9000 <= len(batch) <= 40
-    assert len(prefix_free._last_keys(table.where("false"), 4, 6000)) == 0
+    none, total = prefix_free._last_keys(table.where("false"), 4, 6000)
+    assert len(none) == total == 0
 
 
 def test_other_keys_are_refused(spark):

@@ -27,6 +27,8 @@ batch, are all that is broadcast; for very large tables choose larger batches.
 
 Scale: what is dealt out is one entry a phrase (or suffix) and batch, so a
 string that a third of all documents share makes at most one entry a batch.
+The buckets they are dealt to grow with the text, so that the entries that a
+task sorts at once stay about as many at every size.
 Entries travel as arrays; answers are one byte each, in the order sent.
 
 Null and empty texts and texts shorter than ``width`` stay whole.  Rows with
@@ -48,6 +50,7 @@ from tonality.llm.common import drop_table, mix64, pieces, range_bounds, runs_of
 WIDTH = 50
 GRAM = 24
 BATCH_BYTES = 2 << 20   # text of a batch, about: what a worker holds at once is some dozen times that
+BUCKET_BYTES = 32 << 20 # text, about, whose phrases or suffixes are judged at once
 RANGES = 256            # key ranges, at most, over which texts' bytes are summed in two levels
 PIECE = 1 << 18         # bytes whose strings are hashed at once
 _ALONE, _SEEN, _MIXED = 0, 1, 2
@@ -341,10 +344,10 @@ def _kept(batch: Batch, mask: np.ndarray, whole_characters: bool) -> pa.Table:
                      "starts": pa.array(cols[2], pa.list_(pa.int64())), "lengths": pa.array(cols[3], pa.list_(pa.int64()))})
 
 
-def _last_keys(plain: DataFrame, parts: int, batch_bytes: int) -> np.ndarray:
-    """The last key of each batch, ascending: running sums of the texts' bytes in key order, over ranges and inside them.
+def _last_keys(plain: DataFrame, parts: int, batch_bytes: int) -> tuple[np.ndarray, int]:
+    """The last key of each batch, ascending, and the texts' bytes in all.
 
-    There are at least about ``parts`` batches, so that small tables are spread too.
+    Running sums of the bytes in key order are taken over ranges and inside them.  There are at least about ``parts`` batches, so that small tables are spread too.
     """
     sizes = via_table(plain.where("key IS NOT NULL").groupBy(F.col("key").cast("long").alias("key"))
                       .agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")), "sizes")
@@ -356,7 +359,7 @@ def _last_keys(plain: DataFrame, parts: int, batch_bytes: int) -> np.ndarray:
               .withColumn("batch", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / share)))
     last = placed.groupBy("range", "batch").agg(F.max("key").alias("last")).select("last").toArrow().column(0)
     drop_table(sizes)
-    return np.sort(last.to_numpy().astype(np.int64))
+    return np.sort(last.to_numpy().astype(np.int64)), total
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM,
@@ -374,7 +377,9 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("boolean")
     plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), rest.alias("rest"))
     parts = shuffle_parts(spark)
-    last_keys = spark.sparkContext.broadcast(_last_keys(plain, parts, batch_bytes))
+    last, total = _last_keys(plain, parts, batch_bytes)
+    last_keys = spark.sparkContext.broadcast(last)
+    buckets = max(parts, -(-total // BUCKET_BYTES))
 
     @F.arrow_udf("int")
     def number(keys: pa.Array) -> pa.Array:
@@ -385,7 +390,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     def send_phrases(group, table):
         batch = Batch(table, width, gram)
         values, contents, _ = batch.triggers()
-        return _send(group[0].as_py(), 0, values, parts,
+        return _send(group[0].as_py(), 0, values, buckets,
                      [(values & np.uint64(0xFFFFFFFF)).astype("<u4"), ((values >> np.uint64(32)) & np.uint64(0xFF)).astype("u1"),
                       contents.astype("<u8")])
 
@@ -396,7 +401,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
         batch = Batch(table, width, gram)
         values, _, numbered = batch.triggers()
         _, _, sent, check, _ = _distinct_suffixes(batch, _codes(answers, 0, len(values)), numbered)
-        return _send(group[0].as_py(), 1, sent, parts, [sent.astype("<u8"), check])
+        return _send(group[0].as_py(), 1, sent, buckets, [sent.astype("<u8"), check])
 
     out_schema = f"key {kind}, rest {dict(plain.dtypes)['rest']}, n_bytes long, kept binary, starts array<long>, lengths array<long>"
 
