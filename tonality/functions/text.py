@@ -1,8 +1,9 @@
 """Column expressions for the text steps T1-T7, T10, T11.
 
 Every function here takes and returns a ``Column`` and is built only from
-``pyspark.sql.functions``, so it runs inside whole-stage codegen on the
-executors; nothing is a Python UDF.
+``pyspark.sql.functions``, so it runs on the executors' JVM; nothing is a
+Python UDF.  Lambdas over arrays (``filter``, ``transform``) are evaluated
+outside whole-stage code, everything else inside it.
 """
 
 from __future__ import annotations
