@@ -185,3 +185,20 @@ def test_full_texts_notices_and_owner_lines(spark):
              (208, "MIT", "Copyright The X Authors\n" + MIT), (209, None, MIT.replace("the following", "no")), (210, None, "(c) you may")]
     got = {(r.doc_id, r.license_id) for r in licenses.scan(documents(spark, [(i, t) for i, _, t in some])).where("unit = 'text'").collect()}
     assert got == {(i, tag) for i, tag, _ in some if tag}
+
+
+def test_hits_leave_a_long_document_without_its_text(spark):
+    """What is joined with the items' texts holds the words beside an item, not all of a document's hashes."""
+    plan = decontaminate.leaks(documents(spark), items(spark, bench_rows()))._jdf.queryExecution().optimizedPlan().toString()
+    after = [line for line in plan.split("\n") if re.search(r"Project \[.*\bat#", line) and "item_at" in line]
+    assert after and all("slice(" in line and not re.search(r"[\[,] ?hashes#\d+[,\]]", line) for line in after)
+
+
+def test_a_long_document_full_of_items_and_copies_of_items(spark):
+    some = bench_rows()
+    text = " ".join(t for _, t in some if t)
+    bench = [(n + 1000 * c, t) for c in range(3) for n, t in some if n is not None]
+    docs = [(1, " ".join([text] * 20)), (2, text)]
+    got = {(r.doc_id, r.item_id): r[2:] for r in decontaminate.leaks(documents(spark, docs), items(spark, bench)).collect()}
+    assert brute_leaks(docs, bench) <= set(got) and {n // 1000 for _, n in got} == {0, 1, 2}
+    assert all(v == got[d, n % 1000] for (d, n), v in got.items())

@@ -13,10 +13,13 @@ the patterns).  Items for whose length the spaced masks do not reach that are
 looked up by a run of words so short that some such run must be equal, down to
 the whole item; documents are cut into these runs only if such items occur.
 
-Native expressions only.  The benchmark is the stated query set: it is taken
-in blocks of at most ``block_words`` words, each broadcast (a proven bound:
-three seeds a word, 40 bytes each), whatever its size; the documents are not
-shuffled and the check runs beside their own words.  Seeds of words are
+Native expressions only.  The benchmark is the stated query set: equal texts
+are one, and they are taken in blocks of about ``block_words`` words, each
+broadcast by itself (three seeds a word, 40 bytes each): where there are
+several, a block's pairs are written before the next one is taken, so that
+executors hold one.  The documents are not shuffled.  A hit leaves its
+document with the words beside the item only, never with the whole text: a
+long document full of hits costs the hits times an item.  Seeds of words are
 64-bit hashes; the check compares hashes of words too.
 
 Words are runs of letters and digits, lower case; punctuation is dropped.
@@ -32,6 +35,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonality.llm.common import via_table
+
 #: kept positions of each mask
 MASKS = ((0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 7, 9), (0, 3, 4, 5, 7, 8))
 SPAN = max(max(m) for m in MASKS) + 1
@@ -98,7 +103,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     ``first_word`` (its smallest; below 0 if the item's beginning is cut).
     """
     items = benchmark.select(F.col(f"`{item}`").alias("item"), word_hashes(F.col(f"`{item_text}`")).alias("item_hashes")) \
-        .where(F.size("item_hashes") > 0)
+        .where(F.size("item_hashes") > 0).withColumn("text_no", F.xxhash64("item_hashes"))
     n_blocks, widths = _sizes(items, window, block_words)
     of_width = {w: masks_for(w, agree) for w in widths}
     masks = list(dict.fromkeys(m for w in widths for m in of_width[w]))
@@ -114,27 +119,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         F.lit(_span(m)).alias("span")) for n, m in enumerate(masks)])
     found = None
     for b in range(n_blocks):
-        block = items.where(F.pmod(F.xxhash64("item", "item_hashes"), F.lit(n_blocks)) == b)
-        item_seeds = (block.where(F.size("item_hashes") >= least)
-                      .select("item", "item_hashes", _positions("item_hashes", least).alias("item_at"))
-                      .select("item", "item_hashes", "item_at", F.inline(of_item)).where("seed IS NOT NULL"))
-        lookup = item_seeds.select("seed", F.xxhash64("item", "item_hashes").alias("item_no"), "item_at", "span").distinct()
-        texts = block.select(F.xxhash64("item", "item_hashes").alias("item_no"), "item", "item_hashes").distinct()
-        hits = (seeds.join(F.broadcast(lookup), "seed")
-                .join(F.broadcast(texts), "item_no")
-                .select("key", "item", "hashes", "item_hashes", "item_at", "span",
-                        (F.col("at") - F.col("item_at")).alias("first_word")))
-        found = _verified(hits, window, agree) if found is None else found.unionByName(_verified(hits, window, agree))
-    pairs = found.groupBy("key", "item").agg(
-        *[f(c).cast("long").alias(c) for f, c in ((F.max, "item_words"), (F.max, "matched_words"),
-                                                  (F.max, "window_words"), (F.min, "first_word"))])
-    return pairs.withColumnRenamed("key", key).withColumnRenamed("item", item)
+        block = items.where(F.pmod("text_no", F.lit(n_blocks)) == b)
+        texts = block.select("text_no", "item_hashes").distinct()
+        item_seeds = (texts.where(F.size("item_hashes") >= least)
+                      .select("text_no", "item_hashes", _positions("item_hashes", least).alias("item_at"))
+                      .select("text_no", F.size("item_hashes").alias("item_words"), "item_at", F.inline(of_item))
+                      .where("seed IS NOT NULL"))
+        first = F.col("at") - F.col("item_at")
+        begin = F.greatest(first, F.lit(0))
+        hits = (seeds.join(F.broadcast(item_seeds.distinct()), "seed")
+                .select("key", "text_no", "item_at", "span", first.alias("first_word"),
+                        F.slice("hashes", begin + 1, first + F.col("item_words") - begin).alias("beside"))
+                .join(F.broadcast(texts), "text_no"))
+        pairs = (_verified(hits, window, agree).groupBy("key", "text_no").agg(*_best())
+                 .join(F.broadcast(block.select("text_no", "item").distinct()), "text_no").drop("text_no"))
+        if n_blocks > 1:
+            pairs = via_table(pairs, "leaks")
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.groupBy("key", "item").agg(*_best()).withColumnRenamed("key", key).withColumnRenamed("item", item)
+
+
+def _best() -> list[Column]:
+    return [f(c).cast("long").alias(c) for f, c in ((F.max, "item_words"), (F.max, "matched_words"),
+                                                    (F.max, "window_words"), (F.min, "first_word"))]
 
 
 def _verified(hits: DataFrame, window: int, agree: float) -> DataFrame:
+    before = F.least("first_word", F.lit(0))            # words of the item that stand before the document
+
     def same(j: Column) -> Column:
-        place = F.col("first_word") + j
-        return (place >= 0) & (F.get(F.col("hashes"), place) == F.get(F.col("item_hashes"), j))
+        place = before + j
+        return (place >= 0) & (F.get(F.col("beside"), place) == F.get(F.col("item_hashes"), j))
 
     def agreeing(lo: Column, hi: Column) -> Column:
         return F.size(F.filter(F.sequence(lo, hi), same))
@@ -144,7 +159,7 @@ def _verified(hits: DataFrame, window: int, agree: float) -> DataFrame:
     first = F.greatest(F.lit(0), F.col("item_at") + F.col("span") - width)
     last = F.greatest(first, F.least(F.col("item_at"), length - width))
     best = F.array_max(F.transform(F.sequence(first, last), lambda s: agreeing(s, s + width - 1)))
-    out = hits.select("key", "item", "first_word", length.alias("item_words"), width.alias("width"),
+    out = hits.select("key", "text_no", "first_word", length.alias("item_words"), width.alias("width"),
                       agreeing(F.lit(0), length - 1).alias("matched_words"), best.alias("window_words"))
     return out.where(F.col("window_words") >= F.ceil(F.lit(agree) * F.col("width"))).drop("width")
 
