@@ -205,3 +205,27 @@ def test_components(spark):
             up[max(a, b)] = min(a, b)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: top(x) for x in up}
+
+
+def test_pairs_that_are_only_tried_are_not_given_out(spark, monkeypatch):
+    """24 texts, each pair just below the similarity: their maps let many pairs pass, their members none."""
+    base = [f"w{i}" for i in range(298)]
+    some = []
+    for v in range(24):
+        w = list(base)
+        for e in range(3):
+            w[4 * (v + 24 * e) + 3] = f"edit{v}x{e}"
+        some.append((v, " ".join(w)))
+    some += [(100, some[0][1]), (101, some[0][1] + " end")]
+    written = {}
+    plain = jaccard.via_table
+
+    def counting(df, name):
+        out = plain(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "via_table", counting)
+    assert found_classes(jaccard.classes(documents(spark, some))) == brute_classes(some)
+    assert written["left"][0] < 24
+    assert max(max(n) for name, n in written.items() if name in ("pairs", "links", "left")) <= 5 * 24

@@ -15,9 +15,11 @@ found; so with two more entries of each list that still holds several
 components.  Then the pairs of different components that are left in a list are
 tested: all of them, so no link between components is lost.  Sets that meet in
 one list mostly meet in many, so lists with the same least set are
-scanned together and give out a pair once.  A test first
+scanned together and try a pair once.  A test first
 bounds the difference by parity maps, whose bits grow with the set, and then counts the common
-members.
+members.  In the second round both happen where the lists are scanned: a first scan names the sets that have a
+partner by their maps, a second one gets the members of these and gives out links that join
+components, fewer than sets.
 
 Scale: rarity is a sketch of fixed size; a list is dealt over more tasks the
 more frequent its member, and in blocks in the second round; copies are
@@ -316,9 +318,8 @@ def _first_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "sig long, k long, n int, kind byte, u long, un int")
 
 
-def _member_sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``(k, members)`` of the sets in ``pairs (u, v)``, read again from one document each."""
-    asked = pairs.select(F.col("u").alias("k")).unionAll(pairs.select(F.col("v").alias("k"))).distinct()
+def _member_sets(docs: DataFrame, asked: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``(k, members)`` of the sets ``asked (k)``, read again from one document each."""
     chosen = docs.join(nodes.select("key", "k").join(asked, "k"), "key")
 
     def run(batches):
@@ -356,21 +357,25 @@ def _close(differ: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
     return differ <= total - 2 * -(-percent * total // (100 + percent))
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets (sorted members) reach the similarity."""
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` that are links, by counting common members; written as a table."""
     pairs = via_table(pairs, "pairs")
-    members = via_table(_member_sets(docs, pairs, nodes, width), "members")
+    asked = pairs.select(F.col("u").alias("k")).unionAll(pairs.select(F.col("v").alias("k"))).distinct()
+    members = via_table(_member_sets(docs, asked, nodes, width), "members")
     both = (pairs.join(members.select(F.col("k").alias("u"), F.col("members").alias("um")), "u")
             .join(members.select(F.col("k").alias("v"), F.col("members").alias("vm")), "v"))
 
     def run(batches):
         for b in batches:
-            ok = []
-            for x, y in zip(b.column("um"), b.column("vm")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                ok.append(100 * common >= percent * (len(x) + len(y) - common))
+            ok = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                  for x, y in zip(b.column("um"), b.column("vm"))]
             yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
     out = via_table(both.mapInArrow(run, "u long, v long"), "links")
@@ -399,12 +404,12 @@ def _more_stars(lists: DataFrame, known: DataFrame, turn: int, percent: int) ->
     return both.select(F.least("k", "c.k").alias("u"), F.greatest("k", "c.k").alias("v")).distinct()
 
 
-def _left_pairs(lists: DataFrame, known: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that a list still holds, where the parity maps allow a link.
+def _left_rows(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """``(batch, block, inner, side, k, n, component)``: the lists that still hold several components, dealt out to be scanned.
 
     A list is cut into sides of about ``SIDE`` entries; each pair of sides is
     scanned by itself, together with those of all lists that have the same least entry: sets that meet
-    in many lists mostly meet there, so that a pair is given out about once and a
+    in many lists mostly meet there, so that a pair is tried about once and a
     map is sent once, not for each list.
     """
     named = _named(lists, known)
@@ -417,51 +422,86 @@ def _left_pairs(lists: DataFrame, known: DataFrame, nodes: DataFrame, percent: i
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))))
     x, y = F.least("side", "other"), F.greatest("side", "other")
     batch = F.pmod(F.xxhash64("head", x, y), F.lit(64 * shuffle_parts(lists.sparkSession))).cast("int")
-    rows = via_table(rows.select(batch.alias("batch"), F.xxhash64("sig", x, y).alias("block"), (x == y).alias("inner"),
-                                 "side", "k", "n", "component"), "mixed")
-    asked = rows.select(F.col("batch").alias("for"), F.col("k").alias("name")).distinct()
-    maps = asked.join(nodes.select(F.col("k").alias("name"), "map"), "name").select("for", "name", "map")
-
-    def run(table, known_maps):
-        empty = np.empty(0, np.int64)
-        if not table.num_rows:
-            return pa.table({"u": empty, "v": empty})
-        block, side, k, n, comp = (table.column(c).to_numpy() for c in ("block", "side", "k", "n", "component"))
-        inner = table.column("inner").to_numpy()
-        names = known_maps.column("name").to_numpy()
-        by_name = np.argsort(names)
-        held = Maps(known_maps.column("map").to_pylist())
-        at = by_name[np.searchsorted(names, k, sorter=by_name)]           # each entry's map
-        order = np.lexsort((k, block))
-        cut = np.append(np.flatnonzero(np.diff(block[order])) + 1, len(order))
-        seen, found, start = set(), [], 0
-        for end in cut:
-            rows = order[start:end]
-            start = end
-            same = (k[rows].tobytes(), bool(inner[rows[0]]))
-            if same in seen:                                              # a list of the same sets has been scanned
+    return rows.select(batch.alias("batch"), F.xxhash64("sig", x, y).alias("block"), (x == y).alias("inner"),
+                       "side", "k", "n", "component")
+
+
+def _close_pairs(table: pa.Table, known: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch's lists, the pairs of different components whose parity maps allow a link.
+
+    ``known (name, map)`` are the sets' maps.  Returns each set's component and the pairs, as positions in ``known``."""
+    empty = np.empty(0, np.int64)
+    names = known.column("name").to_numpy()
+    component = np.zeros(len(names), np.int64)
+    if not table.num_rows or not len(names):
+        return component, empty, empty
+    block, side, k, n, comp = (table.column(c).to_numpy() for c in ("block", "side", "k", "n", "component"))
+    inner = table.column("inner").to_numpy()
+    by_name = np.argsort(names)
+    held = Maps(known.column("map").to_pylist())
+    at = by_name[np.searchsorted(names, k, sorter=by_name)]           # each entry's map
+    component[at] = comp
+    order = np.lexsort((k, block))
+    cut = np.append(np.flatnonzero(np.diff(block[order])) + 1, len(order))
+    seen, found, start = set(), [], 0
+    for end in cut:
+        rows = order[start:end]
+        start = end
+        same = (k[rows].tobytes(), bool(inner[rows[0]]))
+        if same in seen:                                              # a list of the same sets has been scanned
+            continue
+        seen.add(same)
+        for p, i in enumerate(rows[:-1]):
+            rest = rows[p + 1:]
+            rest = rest[(comp[rest] != comp[i]) & ((side[rest] != side[i]) | inner[i])]
+            small, large = np.minimum(n[rest], n[i]).astype(np.int64), np.maximum(n[rest], n[i])
+            rest = rest[100 * small >= percent * large]
+            if not len(rest):
                 continue
-            seen.add(same)
-            for p, i in enumerate(rows[:-1]):
-                rest = rows[p + 1:]
-                rest = rest[(comp[rest] != comp[i]) & ((side[rest] != side[i]) | inner[i])]
-                small, large = np.minimum(n[rest], n[i]).astype(np.int64), np.maximum(n[rest], n[i])
-                rest = rest[100 * small >= percent * large]
-                if not len(rest):
-                    continue
-                total = n[rest].astype(np.int64) + n[i]
-                rest = rest[_close(held.differ(np.full(len(rest), at[i]), at[rest]), total, percent)]
-                if len(rest):
-                    found.append(at[i] * len(names) + at[rest])           # k rises within a list, so the order is fixed
-            if len(found) > 1000:
-                found = [np.unique(np.concatenate(found))]
-        code = np.unique(np.concatenate(found)) if found else empty
-        u, v = names[code // len(names)], names[code % len(names)]
-        return pa.table({"u": u.astype(np.int64), "v": v.astype(np.int64)})
-
-    pairs = rows.groupBy("batch").cogroup(maps.groupBy("for")).applyInArrow(run, "u long, v long")
-    out = via_table(pairs.distinct(), "left")
-    drop_table(rows)
+            total = n[rest].astype(np.int64) + n[i]
+            rest = rest[_close(held.differ(np.full(len(rest), at[i]), at[rest]), total, percent)]
+            if len(rest):
+                found.append(at[i] * len(names) + at[rest])           # k rises within a list, so the order is fixed
+        if len(found) > 1000:
+            found = [np.unique(np.concatenate(found))]
+    code = np.unique(np.concatenate(found)) if found else empty
+    return component, code // len(names), code % len(names)
+
+
+def _left_links(docs: DataFrame, lists: DataFrame, known: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``(u, v)`` that join the components which the lists still hold several of; written as a table.
+
+    Every pair of different components is tried, but neither scan gives out pairs that are only tried."""
+    rows = via_table(_left_rows(lists, known), "mixed")
+    asked = rows.select(F.col("batch").alias("for"), F.col("k").alias("name")).distinct()
+    maps = nodes.select(F.col("k").alias("name"), "map")
+
+    def name(table, held):
+        _, u, v = _close_pairs(table, held, percent)
+        at = np.unique(np.concatenate([u, v]))
+        return pa.table({"for": held.column("for").to_numpy()[at], "name": held.column("name").to_numpy()[at]})
+
+    near = via_table(rows.groupBy("batch").cogroup(asked.join(maps, "name").select("for", "name", "map").groupBy("for"))
+                     .applyInArrow(name, "for int, name long"), "near")
+    members = via_table(_member_sets(docs, near.select(F.col("name").alias("k")).distinct(), nodes, width), "members")
+    sets = (near.join(maps, "name").join(members.withColumnRenamed("k", "name"), "name")
+            .select("for", "name", "map", "members"))
+    some = rows.join(sets.select(F.col("for").alias("batch"), F.col("name").alias("k")), ["batch", "k"], "left_semi")
+
+    def join(table, held):
+        component, us, vs = _close_pairs(table, held, percent)
+        names = held.column("name").to_numpy()
+        of = [np.frombuffer(x.as_buffer(), np.uint64) for x in held.column("members")]
+        u, v = [], []
+        for i, j in zip(us, vs):
+            if component[i] != component[j] and _linked(of[i], of[j], percent):
+                component[component == component[j]] = component[i]
+                u.append(names[i]), v.append(names[j])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    out = via_table(some.groupBy("batch").cogroup(sets.groupBy("for")).applyInArrow(join, "u long, v long"), "left")
+    for used in (rows, near, members):
+        drop_table(used)
     return out
 
 
@@ -493,10 +533,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     for turn in range(STAR_TURNS):
         links = links.unionAll(_links(plain, _may_link(_more_stars(lists, known, turn, percent), nodes, percent), nodes, width, percent))
         known = components(links)
-    left = _left_pairs(lists, known, nodes, percent)
-    more = _links(plain, left, nodes, width, percent)
-    for used in (first, left):
-        drop_table(used)
+    more = _left_links(plain, lists, known, nodes, width, percent)
+    drop_table(first)
     final = components(links.unionAll(more)) if more.limit(1).count() else known
 
     named = (nodes.select("k", "key").join(final.withColumnRenamed("node", "k"), "k", "left")
