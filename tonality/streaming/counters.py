@@ -13,8 +13,10 @@ Calls before the watermark are late and dropped (Spark itself drops those before
 is ``expire`` past the last call, the state is cleared; a call after that is a first one, by
 its own time and not by when the timer ran, so batch and stream give the same rows.
 
-State per instance is one row and the calls of the watermark's delay.  Calls of one
-instance are taken in order, thus by one task; instances are spread over all.
+State per instance is one row and the calls of the watermark's delay, as blocks: the calls that an
+instance has in a batch are one entry, so that state is read and written by the batch, not by the call.
+Calls of one instance are taken in order, thus by one task; instances are spread over all.
+Calls without a time never pass; ones without an id come last of those of their time.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import posixpath
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,59 +44,78 @@ def growth(value: int | None, before: int | None) -> int | None:
     return value if value < before else value - before
 
 
+def _block(frame: pd.DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """A row of whole numbers per call: the columns, null as 0, and a bit for each that is null."""
+    out = np.zeros((len(frame), len(columns) + 1), np.int64)
+    for i, c in enumerate(columns):
+        null = frame[c].isna().to_numpy(bool)
+        out[~null, i] = frame[c][~null].to_numpy().astype(np.int64)
+        out[:, -1] |= null.astype(np.int64) << i
+    return out
+
+
 class CounterState(StatefulProcessor):
     def __init__(self, values: Sequence[str], expire_us: int):
         self.values, self.expire_us = list(values), expire_us
+        self.width = 2 + len(self.values) + 1
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        row = "start_us long, event_id long, " + ", ".join(f"{v} long" for v in self.values)
         self.handle = handle
-        self.last = handle.getValueState("last", row)
-        self.waiting = handle.getListState("waiting", row)
+        self.last = handle.getValueState("last", "call binary")
+        self.waiting = handle.getListState("waiting", "calls binary")
+
+    def _calls(self, blob: bytes) -> np.ndarray:
+        return np.frombuffer(bytes(blob), np.int64).reshape(-1, self.width)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        columns = ["start_us", "event_id", *self.values]
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        earliest = None
-        for batch in rows:
-            new = [tuple(None if pd.isna(x) else int(x) for x in r) for r in batch[columns].itertuples(index=False)]
-            new = [r for r in new if r[0] >= passed]        # the calls before the watermark have been given out
-            if not new:
-                continue
-            self.waiting.appendList(new)
-            first = min(r[0] for r in new)
-            earliest = first if earliest is None else min(earliest, first)
-        if earliest is not None:
-            self._wake(earliest)
+        new = [_block(batch, ["start_us", "event_id", *self.values]) for batch in rows]
+        new = [b[(b[:, 0] >= passed) & (b[:, -1] & 1 == 0)] for b in new]      # those before the watermark have been given out
+        new = [b for b in new if len(b)]
+        if new:
+            self.waiting.appendList([(b.tobytes(),) for b in new])
+            self._wake(min(int(b[:, 0].min()) for b in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
-        ready = [r for r in rows if r[0] < passed]
-        rest = rows[len(ready):]
-        last = tuple(self.last.get()) if self.last.exists() else None
-        out = []
-        for r in ready:
-            known = last is not None and r[0] - last[0] <= self.expire_us
-            out.append((key[0], *r[:2], *[growth(a, b) if known else None
-                                          for a, b in zip(r[2:], (last or r)[2:], strict=True)]))
-            last = r
-        if ready:
+        blocks = [self._calls(r[0]) for r in self.waiting.get()]
+        calls = np.concatenate(blocks) if blocks else np.empty((0, self.width), np.int64)
+        calls = calls[np.lexsort((calls[:, 1], calls[:, -1] >> 1 & 1, calls[:, 0]))]
+        n = int(np.searchsorted(calls[:, 0], passed))
+        ready, rest = calls[:n], calls[n:]
+        kept = self.last.get()
+        last = self._calls(kept[0]) if kept is not None else None
+        out = self._grown(key[0], ready, last) if n else None
+        if n:
+            last = ready[-1:]
             self.waiting.clear()
-            if rest:
-                self.waiting.appendList(rest)
-        if rest:
-            self._wake(rest[0][0])
-        if last is not None and not rest and passed > last[0] + self.expire_us:
-            self.last.clear()
-        elif ready:
-            self.last.update(last)
-            self._wake(last[0] + self.expire_us)
-        if out:
-            names = ["instance", "start_us", "event_id", *[f"{v}_delta" for v in self.values]]
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.astype({f"{v}_delta": "Int64" for v in self.values})
+            if len(rest):
+                self.waiting.appendList([(rest.tobytes(),)])
+        if len(rest):
+            self._wake(int(rest[0, 0]))
+        if last is not None and not len(rest) and passed > last[0, 0] + self.expire_us:
+            if kept is not None:
+                self.last.clear()
+        elif n:
+            self.last.update((last.tobytes(),))
+            self._wake(int(last[0, 0]) + self.expire_us)
+        if out is not None:
+            yield out
+
+    def _grown(self, instance, ready: np.ndarray, last: np.ndarray | None) -> pd.DataFrame:
+        """The calls, each with what :func:`growth` makes of it and the one before."""
+        before = np.concatenate([ready[:1] if last is None else last, ready[:-1]])
+        known = ready[:, 0] - before[:, 0] <= self.expire_us
+        if last is None:
+            known[0] = False
+        out = pd.DataFrame({"instance": pd.Series([instance] * len(ready), dtype=object), "start_us": ready[:, 0],
+                            "event_id": pd.arrays.IntegerArray(ready[:, 1].copy(), (ready[:, -1] >> 1 & 1).astype(bool))})
+        for i, v in enumerate(self.values, 2):
+            null = ~known | ((ready[:, -1] | before[:, -1]) >> i & 1).astype(bool)
+            grown = np.where(ready[:, i] < before[:, i], ready[:, i], ready[:, i] - before[:, i])
+            out[f"{v}_delta"] = pd.arrays.IntegerArray(grown, null)
+        return out
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(us // 1000 + 1)
