@@ -68,13 +68,16 @@ def q_title_sentiment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("title_request_stream_incremental", title_sentiment_sql(RESOLVE_CTES))
 def q_title_request_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews arrive in four micro-batches and are scored once each; requests are answered from the totals."""
+    """Reviews arrive in four micro-batches and are scored once each; requests are answered from the totals.
+
+    A micro-batch is a quarter of the files; as many as shuffles have partitions are written, not four."""
     arriving, asked = (shared_dir(spark, "arriving", uuid.uuid4().hex) for _ in range(2))
     reviews = title_reviews(spark, sf_dir)
-    reviews.repartition(4).write.parquet(arriving)
+    reviews.repartition(4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)).write.parquet(arriving)
+    files = len(spark.read.schema(reviews.schema).parquet(arriving).inputFiles())
     title_requests(spark, sf_dir).write.parquet(asked)
     vocab = freeze_vocabulary(fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS))
-    stream = file_stream(spark, arriving, reviews.schema, max_files_per_trigger=1)
+    stream = file_stream(spark, arriving, reviews.schema, max_files_per_trigger=max(1, -(-files // 4)))
     scoring, root = start_review_totals(spark, stream, vocab, pinned_scorer, max_words=MAX_WORDS, max_len=MAX_LEN, compact_every=3)
     try:
         scoring.processAllAvailable()
