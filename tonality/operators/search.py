@@ -13,7 +13,9 @@ An inverted index replaces the comparison of every request with every title:
   at the request's ``RARE`` rarest ones (of three characters, or of the whole request
   if that is shorter).  A gram that no title holds ends the search.  Postings carry the
   key's length (a shorter title cannot match), and a candidate has to appear under each of the
-  looked-up grams before its title is fetched and compared.
+  looked-up grams before its title is fetched and compared.  They also carry a signature of the
+  title's runs of three characters, a bit for each: where a posting lacks a bit of the request it goes at once, so
+  that what is shuffled is about the hits, not the requests times the titles that share a gram.
 * Postings of a frequent gram are dealt to ``salts`` parts by title, about
   ``PART`` each, and a request visits all parts: no task holds a whole list.
 * Spellings of one key are searched once, the best title of a key is a combinable minimum, and the
@@ -39,11 +41,12 @@ from tonality.sources.stages import read_stage, write_stage
 GRAM = 3            # characters of a gram; shorter ones serve shorter requests
 RARE = 2            # grams of a request that are looked up
 PART = 100_000      # postings of a gram that stay together
+SIGNATURE = 4       # 64-bit words of a title's signature
 
 
 @dataclass(frozen=True)
 class TitleIndex:
-    """The written tables of an index: ``titles (id, title, key)``, ``postings (gram, salt, id, size)`` and
+    """The written tables of an index: ``titles (id, title, key)``, ``postings (gram, salt, id, size, signature)`` and
     ``grams (gram, titles, salts)``."""
     titles: DataFrame
     postings: DataFrame
@@ -71,6 +74,28 @@ def asked_grams(key: Column) -> Column:
     return F.when(F.length(key) < GRAM, F.array(key)).otherwise(_of_characters(key, lambda c: _runs(c, GRAM)))
 
 
+def signature(key: Column) -> Column:
+    """A bit for each run of ``GRAM`` characters, as a struct of 64-bit words: a key's bits are set in any key that contains it."""
+    hashes = F.transform(_of_characters(key, lambda c: _runs(c, GRAM)), lambda g: F.xxhash64(g))
+    none = F.struct(*[F.lit(0).cast("long").alias(f"s{n}") for n in range(SIGNATURE)])
+
+    def add(bits: Column, h: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 8), F.lit(64)).cast("int"))
+        return F.struct(*[F.when(F.pmod(h, F.lit(SIGNATURE)) == n, bits[f"s{n}"].bitwiseOR(bit)).otherwise(bits[f"s{n}"])
+                          .alias(f"s{n}") for n in range(SIGNATURE)])
+
+    return F.aggregate(hashes, none, add)
+
+
+def _holds(held: str, asked: str) -> Column:
+    """Whether a signature has all bits of another."""
+    every = F.lit(True)
+    for n in range(SIGNATURE):
+        bits = F.col(f"{asked}.s{n}")
+        every = every & (F.col(f"{held}.s{n}").bitwiseAND(bits) == bits)
+    return every
+
+
 def index_titles(catalogue: DataFrame, path: str | None = None, title_col: str = "title", part: int = PART) -> TitleIndex:
     """Writes the index of a catalogue below ``path`` (by default a new shared folder).
 
@@ -82,13 +107,14 @@ def index_titles(catalogue: DataFrame, path: str | None = None, title_col: str =
     titles = (catalogue.select(title.alias("title")).distinct().withColumn("key", title_key("title"))
               .where(F.col("key") != "").select(F.xxhash64("title").alias("id"), "title", "key"))
     write_stage(titles, posixpath.join(path, "titles"))
-    held = read_stage(spark, posixpath.join(path, "titles")).select(
-        "id", F.length("key").alias("size"), F.explode_outer(all_grams(F.col("key"))).alias("gram"))
+    each = read_stage(spark, posixpath.join(path, "titles")).select(        # once a title, not once a posting
+        "id", F.length("key").alias("size"), signature(F.col("key")).alias("signature"), all_grams(F.col("key")).alias("grams"))
+    held = each.select("id", "size", "signature", F.explode_outer("grams").alias("gram"))
     counted = held.groupBy("gram").agg(F.count(F.lit(1)).alias("titles"))
     write_stage(counted.withColumn("salts", F.ceil(F.col("titles") / part).cast("int")), posixpath.join(path, "grams"))
     frequent = read_stage(spark, posixpath.join(path, "grams")).where(F.col("salts") > 1).select("gram", "salts")
     salt = F.pmod(F.col("id"), F.coalesce(F.col("salts"), F.lit(1)).cast("long")).cast("int")
-    postings = held.join(frequent, "gram", "left").select("gram", salt.alias("salt"), "id", "size")
+    postings = held.join(frequent, "gram", "left").select("gram", salt.alias("salt"), "id", "size", "signature")
     write_stage(postings, posixpath.join(path, "postings"))
     return open_index(spark, path)
 
@@ -108,12 +134,18 @@ def _lookups(keys: DataFrame, index: TitleIndex) -> DataFrame:
         "key", F.length("key").alias("size"), F.slice("grams", 1, RARE).alias("rare"))
 
 
+def held_titles(look: DataFrame, index: TitleIndex) -> DataFrame:
+    """The postings under each looked-up gram of titles that can contain the key."""
+    return look.join(index.postings, ["gram", "salt"]).where((F.col("size") >= F.col("least")) & _holds("signature", "bits"))
+
+
 def first_hits(keys: DataFrame, index: TitleIndex) -> DataFrame:
     """``(key, title)``: of the titles that contain each distinct key, the shortest, then the smallest."""
-    look = (_lookups(keys, index).select("key", "size", F.size("rare").alias("asked"), F.explode_outer("rare").alias("g"))
-            .select("key", "asked", F.col("size").alias("least"), F.col("g.gram").alias("gram"),
+    look = (_lookups(keys, index).withColumn("bits", signature(F.col("key")))
+            .select("key", "size", "bits", F.size("rare").alias("asked"), F.explode_outer("rare").alias("g"))
+            .select("key", "asked", "bits", F.col("size").alias("least"), F.col("g.gram").alias("gram"),
                     F.explode_outer(F.sequence(F.lit(0), F.col("g.salts") - 1)).alias("salt")))
-    held = look.join(index.postings, ["gram", "salt"]).where(F.col("size") >= F.col("least"))
+    held = held_titles(look, index)
     candidates = held.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n"), F.first("asked").alias("asked")) \
         .where(F.col("n") >= F.col("asked")).select(F.col("key").alias("wanted"), "id")
     hits = candidates.join(index.titles, "id").where(F.contains("key", "wanted"))
