@@ -89,3 +89,18 @@ def test_verdicts_of_searched_titles(spark):
     got = {r.request: (r.title, r.n_reviews, r.sentiment, r.status)
            for r in score_titles(requests, cat, reviews, scorer, vocab=vocab, max_words=10, max_len=2, index=index_titles(cat)).collect()}
     assert got == {"matrix": ("The Matrix", 2, "Positive", "ok"), "hea": ("Heat", 1, "Negative", "ok"), "alien": (None, 0, None, "invalid_title")}
+
+
+def test_postings_of_titles_that_cannot_contain_the_request_go_at_once(spark, monkeypatch):
+    from tonality.operators import search
+    titles = [f"the {a}{b} of {c}" for a in ("red", "blue", "green") for b in "abcdefgh" for c in ("north", "south", "west")]
+    requests = [t[4:] for t in titles[::5]]
+    seen, plain = [], search.held_titles
+
+    def counting(look, index):
+        seen.append((look.join(index.postings, ["gram", "salt"]).count(), plain(look, index).count()))
+        return plain(look, index)
+
+    monkeypatch.setattr(search, "held_titles", counting)
+    assert found(spark, requests, titles) == brute(requests, titles)
+    assert seen[0][1] <= 2 * 2 * len(requests) < seen[0][0]

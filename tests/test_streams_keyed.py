@@ -168,3 +168,27 @@ def test_repeated_requests_count_once_and_late_ones_are_kept_aside(spark, tmp_pa
     closed = batch.where((F.col("window_start_s") + 3600) * 1_000_000 <= t0 + 59 * 7 * MINUTE - delay)
     got = spark.read.parquet(out).select(*cols)
     assert sorted(map(str, got.collect())) == sorted(map(str, closed.collect())) and got.count() > 3
+
+
+def test_calls_of_a_batch_are_one_entry_of_state(spark, tmp_path):
+    """Without a time they go, without an id they come last, and what waits is kept by the batch."""
+    rows = [(i if i % 10 else None, m, 1, 10 * i) for i, m in enumerate([*range(30), 29])]
+    glob = calls(spark, str(tmp_path / "in"), [rows])
+    none = [(99, None, 1, "view", 1.0, '{"k": 1}')]
+    spark.createDataFrame(none, EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/f0")
+    log = request_log(file_stream(spark, glob, EVENTS)).withColumn("sent", F.col("mem_after_bytes") / (1 << 20))
+    q, out = start_counter_stream(spark, log, str(tmp_path / "s"), values=("sent",), watermark="10 minutes")
+    finish(q)
+    got = sorted((r.start_us, r.sent_delta) for r in spark.read.parquet(out).collect())
+    assert len(got) == 19 and got[0][1] is None and {d for _, d in got[1:]} == {10}
+    state = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    assert max(state) < 15
+
+
+def test_reviews_are_dealt_to_four_folders_of_several_files(spark):
+    from tonality.plans.title_queries import _quarters
+    reviews = spark.createDataFrame([("t", i // 2, "good") for i in range(400)], REVIEWS)
+    _, folders = _quarters(spark, reviews)
+    parts = [spark.read.schema(REVIEWS).parquet(f) for f in folders]
+    assert all(len(p.inputFiles()) > 1 and 80 < p.count() < 120 for p in parts)
+    assert sorted(r.doc_id for p in parts for r in p.collect()) == sorted(i // 2 for i in range(400))

@@ -5,6 +5,7 @@ Titles are the first sentences of the documents (and the sources), requests are
 
 from __future__ import annotations
 
+import posixpath
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,21 +67,40 @@ def q_title_sentiment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("score", F.round("score", 6))
 
 
+def _quarters(spark: SparkSession, reviews: DataFrame) -> tuple[str, list[str]]:
+    """Deals reviews out to four folders of as many files together as shuffles have partitions; copies of a row go to
+    different ones.  Returns an empty folder and what to move there, one after the other."""
+    held, arriving = (shared_dir(spark, kind, uuid.uuid4().hex) for kind in ("held", "arriving"))
+    parts = 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    reviews.repartition(parts).withColumn("quarter", F.spark_partition_id() % 4).write.partitionBy("quarter").parquet(held)
+    return arriving, [posixpath.join(held, f"quarter={i}") for i in range(4)]
+
+
+def _arrive(spark: SparkSession, folder: str, arriving: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place(folder)):                  # few reviews leave a quarter empty
+        files.mkdirs(place(arriving))
+        if not files.rename(place(folder), place(arriving, posixpath.basename(folder).replace("=", "-"))):
+            raise OSError(f"{folder} could not be moved to {arriving}")
+
+
 @register("title_request_stream_incremental", title_sentiment_sql(RESOLVE_CTES))
 def q_title_request_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews arrive in four micro-batches and are scored once each; requests are answered from the totals.
 
-    A micro-batch is a quarter of the files; as many as shuffles have partitions are written, not four."""
-    arriving, asked = (shared_dir(spark, "arriving", uuid.uuid4().hex) for _ in range(2))
+    A micro-batch is a folder of many files; as many as shuffles have partitions are written, not four."""
+    asked = shared_dir(spark, "arriving", uuid.uuid4().hex)
     reviews = title_reviews(spark, sf_dir)
-    reviews.repartition(4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)).write.parquet(arriving)
-    files = len(spark.read.schema(reviews.schema).parquet(arriving).inputFiles())
+    arriving, quarters = _quarters(spark, reviews)
     title_requests(spark, sf_dir).write.parquet(asked)
     vocab = freeze_vocabulary(fit_vocabulary(tokenize(labelled_reviews(spark, sf_dir)), MAX_WORDS))
-    stream = file_stream(spark, arriving, reviews.schema, max_files_per_trigger=max(1, -(-files // 4)))
+    stream = file_stream(spark, posixpath.join(arriving, "*"), reviews.schema)
     scoring, root = start_review_totals(spark, stream, vocab, pinned_scorer, max_words=MAX_WORDS, max_len=MAX_LEN, compact_every=3)
     try:
-        scoring.processAllAvailable()
+        for quarter in quarters:
+            _arrive(spark, quarter, arriving)
+            scoring.processAllAvailable()
         answering, out = start_verdict_stream(spark, file_stream(spark, asked, "request string"), title_catalogue(spark, sf_dir), root)
         try:
             answering.processAllAvailable()
