@@ -77,6 +77,18 @@ def test_byte_encoder_is_the_librarys():
         assert ids == packed(lib.encode(text, add_special_tokens=False).ids), text[:80]
 
 
+def test_splitting_without_looking_ahead_is_the_librarys():
+    import random
+    enc, rng = byte_bpe.ByteEncoder(open(BYTE, encoding="utf-8").read()), random.Random(5)
+    parts = [" ", "\n", "\t ", "\n\n", "\u3000", "\x85", "\xa0 ", "\x1c", "\u2028", "\u200b", "it's", "'ll", "\u00e9l", "12", "\u0662", ".,", "\u2603"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
+    near = [t for t in texts if not byte_bpe.SPACES.search(t)]
+    assert 1000 < len(near) < 4000 and sum("\n\n" in t for t in near) > 100
+    assert [enc.near.encode_ordinary(t) for t in near] == [enc.tok.encode(t, add_special_tokens=False).ids for t in near]
+    got = [list(np.frombuffer(b, "<u4")) for b in enc.encode(texts)]
+    assert got == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def _other_files():
     spec = json.load(open(BYTE, encoding="utf-8"))
     assert byte_bpe.is_plain(spec)
@@ -113,6 +125,24 @@ def test_runs_shrink_to_about_their_logarithm(unit):
     assert (shard.expand(shard.seq) == a).all() and (shard.ids(7001, 7043) == a[7001:7043]).all()
 
 
+def test_later_rounds_look_only_at_places_that_may_be_frequent(monkeypatch):
+    rng = np.random.default_rng(7)
+    phrases = [rng.integers(0, 20_000, 6) for _ in range(400)]
+    ids = np.concatenate([np.concatenate([phrases[p], rng.integers(0, 20_000, 4)]) for p in rng.zipf(1.3, 9000) % 400])
+    looked, slots = [], repair._slots
+    monkeypatch.setattr(repair, "_slots", lambda pair: (looked.append(len(pair)), slots(pair))[1])
+    shard = repair.Shard(repair.compress(ids.astype(np.uint32), np.arange(1000, len(ids) + 1, 1000)))
+    assert len(shard.rounds) >= 4 and (shard.expand(shard.seq) == ids).all()
+    assert sum(looked) < 2.5 * len(ids)                   # all places in each round: 4.3 times the ids
+
+
+def test_runs_of_one_id_are_cut_at_the_ends_of_documents():
+    a, ends = np.full(24, 5, np.uint32), np.array([e for i in range(0, 24, 3) for e in (i + 1, i + 3)])
+    shard = repair.Shard(repair.compress(a, ends))         # eight documents of two ids, apart by one of one id
+    assert len(shard.left) == 1 and len(shard.seq) == 16
+    assert [shard.document(i).tolist() for i in range(4)] == [[5], [5, 5], [5], [5, 5]]
+
+
 def test_no_frequent_pair_is_left_and_ids_take_less_than_two_bytes():
     import pandas as pd
 

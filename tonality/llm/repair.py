@@ -50,36 +50,32 @@ def _slots(pair: np.ndarray) -> np.ndarray:
         return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _ranked_pairs(pair: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent usable pairs, best first, and each position's rank (``RULES`` where none).
+def _ranked_pairs(at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent pairs, best first; the places left of ``at``, their pairs and ranks (``RULES`` where none).
 
-    Pairs are first counted by a hash slot; only those in slots with enough
-    uses are sorted and counted exactly.  Of pairs that share a slot the most
-    frequent is taken (the others' turn comes in a later round).  The ranks
-    have one more place before the first position and one behind the last.
+    ``at`` are ascending places inside documents, ``pair`` the pairs there.  Pairs are first counted by a
+    hash slot; places whose slot has too few uses are left out, only the others are sorted and counted exactly.
+    Of pairs that share a slot the most frequent is taken (the others' turn comes in a later round).
     """
-    at = np.flatnonzero(usable)
-    slot = _slots(pair[at])
-    enough = (np.bincount(slot, minlength=1 << SLOT_BITS) >= LEAST_USES)[slot]
-    at, slot = at[enough], slot[enough]
-    ordered = np.sort(pair[at])
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(at) else at
-    counts = np.diff(starts, append=len(at))
+    slot, apart = _slots(pair), _apart(at, pair)
+    enough = (np.bincount(slot[apart], minlength=1 << SLOT_BITS) >= LEAST_USES)[slot]
+    at, pair, slot, apart = at[enough], pair[enough], slot[enough], apart[enough]
+    ordered = np.sort(pair[apart])
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.empty(0, np.int64)
+    counts = np.diff(starts, append=len(ordered))
     often = np.flatnonzero(counts >= LEAST_USES)
     best = ordered[starts[often[np.argsort(-counts[often], kind="stable")[:RULES]]]]
     in_slot = np.full(1 << SLOT_BITS, RULES, np.int32)
     in_slot[_slots(best)[::-1]] = np.arange(len(best), dtype=np.int32)[::-1]
-    got = in_slot[slot]
-    right = np.append(best, np.uint64(0))[np.minimum(got, len(best))] == pair[at]
-    rank = np.full(len(pair) + 2, RULES, np.int32)
-    rank[at[right] + 1] = got[right]
-    return best, rank
+    rank = in_slot[slot]
+    rank[(np.append(best, np.uint64(0))[np.minimum(rank, len(best))] != pair) | ~apart] = RULES
+    return best, at, pair, rank
 
 
-def _apart(pair: np.ndarray) -> np.ndarray:
+def _apart(at: np.ndarray, pair: np.ndarray) -> np.ndarray:
     """Places that do not overlap the one before with the same pair: every other one of a run of one symbol."""
     out = np.ones(len(pair), bool)
-    again = np.flatnonzero(pair[1:] == pair[:-1]) + 1
+    again = np.flatnonzero((pair[1:] == pair[:-1]) & (at[1:] == at[:-1] + 1)) + 1
     if len(again):
         new = np.ones(len(again), bool)                   # the first repetition of its run
         new[1:] = again[1:] != again[:-1] + 1
@@ -122,31 +118,44 @@ def _unpack(data: np.ndarray, n: int, bits: int) -> np.ndarray:
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> bytes:
-    """A shard's payload: ``ids`` of documents that end before the positions ``ends`` (ascending)."""
-    seq = ids.astype(np.uint64)
+    """A shard's payload: ``ids`` of documents that end before the positions ``ends`` (ascending).
+
+    A round looks only at ``at``, the places where a pair may be frequent.  A pair gets no more frequent while
+    its symbols stay, so a place found rare is looked at again only after a replacement beside it.
+    """
+    seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     first = int(seq.max()) + 1 if len(seq) else 1
     rules: list[np.ndarray] = []
     rounds: list[int] = []
     n_rules = 0
-    while len(seq) > 1:
-        pair = (seq[:-1] << np.uint64(32)) | seq[1:]
-        values, rank = _ranked_pairs(pair, ~last[:-1] & _apart(pair))
+    at = np.flatnonzero(~last[:-1])
+    while len(at):
+        values, at, pair, rank = _ranked_pairs(at, (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1])
         if not len(values):
             break
-        before, rank, behind = rank[:-2], rank[1:-1], rank[2:]
-        at = np.flatnonzero((rank < before) & (rank < behind))   # one with no rank is below none
-        uses = np.bincount(rank[at], minlength=len(values))
+        beside = at[1:] == at[:-1] + 1
+        lower = rank < RULES
+        lower[1:] &= ~beside | (rank[1:] < rank[:-1])
+        lower[:-1] &= ~beside | (rank[:-1] < rank[1:])
+        put = np.flatnonzero(lower)
+        uses = np.bincount(rank[put], minlength=len(values))
         keep = np.flatnonzero(uses >= LEAST_USES)             # the most frequent pair is always among them
-        number = np.full(RULES + 1, -1, np.int64)
+        number = np.full(len(values), -1, np.int64)
         number[keep] = np.arange(len(keep))
-        at = at[number[rank[at]] >= 0]
-        seq[at] = (first + n_rules + number[rank[at]]).astype(np.uint64)
-        gone = np.zeros(len(seq), bool)
-        gone[at + 1] = True
-        last[at] |= last[at + 1]
-        seq, last = seq[~gone], last[~gone]
+        number = number[rank[put]]
+        put, number = at[put[number >= 0]], number[number >= 0]
+        seq[put] = first + n_rules + number
+        last[put] |= last[put + 1]
+        look = np.zeros(len(seq), bool)
+        look[at] = True
+        look[put] = True
+        look[put[put > 0] - 1] = True
+        look &= ~last
+        stay = np.ones(len(seq), bool)
+        stay[put + 1] = False
+        seq, last, at = seq[stay], last[stay], np.flatnonzero(look[stay])
         rules.append(values[keep])
         n_rules += len(keep)
         rounds.append(n_rules)
