@@ -104,3 +104,33 @@ def test_postings_of_titles_that_cannot_contain_the_request_go_at_once(spark, mo
     monkeypatch.setattr(search, "held_titles", counting)
     assert found(spark, requests, titles) == brute(requests, titles)
     assert seen[0][1] <= 2 * 2 * len(requests) < seen[0][0]
+
+
+def test_tiers_of_title_lengths(spark, monkeypatch):
+    """Whatever tiers the titles fall into: equal lengths stay together, marks make a title longer than its key."""
+    from tonality.operators import search
+    monkeypatch.setattr(search, "FIRST", 40, raising=False)
+    rng = random.Random(3)
+    titles = ["".join(rng.choices("abc -!", [5, 4, 1, 2, 1, 1], k=rng.choice([1, 2, 3, 5, 8, 13, 40, 120]))) for _ in range(300)] + TITLES
+    requests = [t[i:i + n] for t in titles if t for i, n in ((0, 2), (1, 4), (3, 7), (0, 200))] + ["bcbcbcbc", "ccc c", "a" * 130, "Ab!"] + REQUESTS
+    cat = spark.createDataFrame([(t,) for t in titles], "title string")
+    index = index_titles(cat, part=50)
+    assert index.tiers.count() > 3
+    got = search_titles(spark.createDataFrame([(r,) for r in requests], "request string"), index).collect()
+    assert {r.request: (r.title, r.status) for r in got} == brute(requests, titles) and len(got) == len(set(requests))
+
+
+def test_a_request_that_many_titles_contain_meets_only_the_shortest(spark, monkeypatch):
+    from tonality.operators import search
+    titles = [f"{a}{b}matrix" + "x" * n for n in range(0, 120, 4) for a in "abcdefgh" for b in "stuv"]
+    requests = ["matrix", "atri", "trix", "hvmatrix" + "x" * 116]
+    seen, plain = [], search.held_titles
+
+    def counting(look, index):
+        seen.append(plain(look, index).count())
+        return plain(look, index)
+
+    monkeypatch.setattr(search, "FIRST", 500, raising=False)
+    monkeypatch.setattr(search, "held_titles", counting)
+    assert found(spark, requests, titles) == brute(requests, titles)
+    assert sum(seen) < len(titles)

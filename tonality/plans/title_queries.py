@@ -19,6 +19,7 @@ from tonality.plans.registry import (MAX_LEN, MAX_WORDS, RESOLVE_CTES, _resolve_
                                      title_sentiment_sql)
 from tonality.plans.serving import score_titles
 from tonality.session import shared_dir
+from tonality.sources.stages import read_stage, write_stage
 from tonality.sources.tables import labelled_reviews, table, title_catalogue, title_reviews
 from tonality.streaming.metrics import file_stream
 from tonality.streaming.scoring import freeze_vocabulary
@@ -29,7 +30,8 @@ CONTAINS = "rk.k <> '' AND contains(ck.k, rk.k)"
 
 def _first_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
-    return docs.select(F.get(F.split("text", "[.\n]"), 0).alias("title"), "source")
+    lines = docs.select(F.get(F.split("text", "[.\n]", 2), 0).alias("title"), "source")
+    return read_stage(spark, write_stage(lines, shared_dir(spark, "first-sentences", uuid.uuid4().hex)))     # read five times
 
 
 @register("title_search_contains", f"""
