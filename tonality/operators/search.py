@@ -173,7 +173,7 @@ def open_index(spark: SparkSession, path: str) -> TitleIndex:
 
 def _lookups(keys: DataFrame, index: TitleIndex) -> DataFrame:
     """``(key, size, tiers, rare)``: each key's rarest grams and the tiers that hold all its grams; keys without such a tier are gone."""
-    dealt = keys.repartition(_parts(keys.sparkSession), "key")          # a few MB of keys have many grams
+    dealt = keys.repartition(2 * _parts(keys.sparkSession), "key")     # a few MB give many; as many as before would be left out
     each = dealt.select("key", F.explode_outer(asked_grams(F.col("key"))).alias("gram")).withColumn("slot", _slot("gram"))
     known = each.join(F.broadcast(index.slots), "slot", "left").groupBy("key").agg(      # SLOTS rows at most
         F.bit_and(F.coalesce("tiers", F.lit(0).cast("long"))).alias("tiers"),
